@@ -6,6 +6,7 @@ from granary.operators.cleaning import (
     clean_text,
     conform,
     dedupe,
+    evaluate_once,
     handle_missing,
     normalize_key,
     null_markers,

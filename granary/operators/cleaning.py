@@ -184,6 +184,18 @@ def handle_missing(
     raise ValueError("strategy must be 'drop', or 'fill' with fill_values")
 
 
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed here and only here.
+
+    A filter on computed columns is otherwise pushed below the computation, and
+    each mention of a column there repeats its whole expression: parsing runs
+    several times a row and generated code outgrows what can be compiled. The
+    one-element generator keeps filters above it. Use it after parsing, not on
+    stored columns, whose filters should reach the scan.
+    """
+    return df.select(F.inline(F.array(F.struct(*map(named, df.columns)))))
+
+
 def dedupe(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """One row per distinct row, or per key.
 

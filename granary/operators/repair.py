@@ -48,7 +48,13 @@ def repair_rows(
 def split_corrupt(
     df: DataFrame, corrupt_column: str = "_corrupt_record"
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows the reader accepted (without the corrupt column), and the others."""
+    """Rows the reader accepted (without the corrupt column), and the others.
+
+    Spark refuses to read the corrupt column alone, as a count of either part
+    would; the test on another column, which every row passes, avoids that.
+    """
     corrupt = named(corrupt_column)
-    good = df.filter(corrupt.isNull()).drop(corrupt_column)
-    return good, df.filter(corrupt.isNotNull())
+    other = named(next(name for name in df.columns if name != corrupt_column))
+    readable = F.length(F.coalesce(other.cast("string"), F.lit(""))) >= 0
+    good = df.filter(corrupt.isNull() & readable).drop(corrupt_column)
+    return good, df.filter(corrupt.isNotNull() & readable)

@@ -26,6 +26,7 @@ from granary.operators.cleaning import (
     clean_text,
     conform,
     dedupe,
+    evaluate_once,
     normalize_key,
     null_markers,
     null_sentinels,
@@ -170,6 +171,7 @@ def clean_production(df: DataFrame) -> DataFrame:
             cast_columns,
             {YEAR: "int", "produksi": "double", "luas_panen": "double", "produktivitas": "double"},
         )
+        .transform(evaluate_once)
         .transform(keep_valid, RULES["produksi_pangan"])
         .transform(clean_text, "komoditas")
         .transform(dedupe)  # the yield follows from the row, so it is added after the shuffle
@@ -199,6 +201,7 @@ def clean_prices(df: DataFrame) -> DataFrame:
             }
         )
         .transform(clean_text, "komoditas")
+        .transform(evaluate_once)
         .transform(keep_valid, RULES["harga_pangan"])
         .drop(YEAR)  # follows from the date, so it need not be shuffled
         .transform(dedupe)
@@ -229,6 +232,7 @@ def clean_weather(df: DataFrame, with_date: bool = False) -> DataFrame:
         )
         .transform(rename_columns, {"suhu": "suhu_rata_rata", "TANGGAL": "tanggal"})
         .transform(null_sentinels, {"curah_hujan": [8888]})
+        .transform(evaluate_once)
         .transform(keep_valid, RULES["cuaca"])
         .transform(dedupe)
     )
@@ -270,6 +274,7 @@ def clean_social(df: DataFrame) -> DataFrame:
             },
         )
         .transform(standardize_name, REGION)
+        .transform(evaluate_once)
         .transform(keep_valid, RULES["sosial_ekonomi"])
         .transform(dedupe)
         .transform(conform, SILVER_SCHEMAS["sosial_ekonomi"])
@@ -288,6 +293,7 @@ def clean_consumption(df: DataFrame) -> DataFrame:
         .transform(cast_columns, {YEAR: "int"})
         .transform(standardize_name, REGION)
         .transform(clean_text, "komoditas")
+        .transform(evaluate_once)
         .transform(keep_valid, RULES["konsumsi_pangan"])
         .transform(dedupe)
         .transform(conform, SILVER_SCHEMAS["konsumsi_pangan"])
@@ -313,6 +319,7 @@ def clean_index(df: DataFrame) -> DataFrame:
         .transform(null_markers, MARKERS)
         .transform(cast_columns, {YEAR: "int", "skor_ikp": "double", "kategori_ikp": "int"})
         .transform(standardize_name, REGION)
+        .transform(evaluate_once)
         .transform(keep_valid, RULES["ikp"])
         .transform(dedupe)
         .transform(conform, SILVER_SCHEMAS["ikp"])

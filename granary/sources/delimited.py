@@ -56,7 +56,12 @@ def read_delimited(
     if schema is None and infer_schema:
         settings["inferSchema"] = "true"
     if corrupt_column:
-        settings |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
+        settings |= {
+            "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": corrupt_column,
+            # A reader that parses only some columns takes wrong line shapes for right.
+            "columnPruning": "false",
+        }
         if schema is None:
             names = spark.read.options(**settings).csv(path).columns
             schema = T.StructType([T.StructField(name, T.StringType()) for name in names])

@@ -17,8 +17,6 @@ ROWS = "count(*)"
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 PRODUCTION_SPEC_COLUMNS = presets.DECLARED_COLUMNS["produksi_pangan"]
 
-Entry = tuple[str, str, str, str, str]  # check, column, metric, value, detail
-
 
 def tidy_sql(source: str, dataset: str, entries: Sequence[tuple]) -> str:
     """One tidy row per entry, each an aggregate over ``source``."""
@@ -191,20 +189,16 @@ def validity_entries(counts: Sequence[tuple[str, str, str]], columns: int) -> li
 
 
 RAW_PRODUCTION = list(VIEWS["raw_production"].columns)
+# The year check of text columns reads whole numbers only.
 RAW_VALIDITY = [
-    *[
-        (c, "marker_count", f"{c} IN {MARKERS_SQL}")
-        for c in RAW_PRODUCTION
-    ],
-    ("tahun", "year_out_of_range", "CAST(TRY_CAST(tahun AS DOUBLE) AS INTEGER) NOT BETWEEN 2000 AND 2030"),
+    *[(c, "marker_count", f"{c} IN {MARKERS_SQL}") for c in RAW_PRODUCTION],
+    (
+        "tahun",
+        "year_out_of_range",
+        "TRY_CAST(CASE WHEN contains(tahun, '.') THEN NULL ELSE tahun END AS INTEGER) "
+        "NOT BETWEEN 2000 AND 2030",
+    ),
 ]
-# The year check of text columns reads whole numbers only.
-RAW_VALIDITY[-1] = (
-    "tahun",
-    "year_out_of_range",
-    "TRY_CAST(CASE WHEN contains(tahun, '.') THEN NULL ELSE tahun END AS INTEGER) "
-    "NOT BETWEEN 2000 AND 2030",
-)
 
 
 @query(
@@ -219,7 +213,7 @@ def _validity(t: Tables) -> DataFrame:
     return tidy(g.validity(view(t, "raw_production"), spec))
 
 
-def production_validity(c: str = "") -> list[tuple[str, str, str]]:
+def production_validity() -> list[tuple[str, str, str]]:
     return [
         ("kabupaten_kota", "marker_count", f"kabupaten_kota IN {MARKERS_SQL}"),
         ("komoditas", "marker_count", f"komoditas IN {MARKERS_SQL}"),
@@ -411,7 +405,7 @@ def distinct_sql(source: str, dataset: str, columns: Sequence[str], text: Sequen
         ]
         if column in text:
             groups = f"(SELECT count(*) FROM (SELECT DISTINCT {column} FROM {source}))"
-            entries.append(("profile", column, "cardinality", f"least(5, {groups})"))
+            entries.append(("profile", column, "cardinality", f"max(least(5, {groups}))"))
         parts.append(tidy_sql(source, dataset, entries))
     return parts
 
@@ -426,9 +420,7 @@ def listed_sql(source: str, dataset: str, column: str) -> str:
     )
 
 
-def profile_sql(
-    source: str, dataset: str, types: dict[str, str], digits_from: str | None = None
-) -> str:
+def profile_sql(source: str, dataset: str, types: dict[str, str]) -> str:
     text = [name for name, kind in types.items() if kind == "string"]
     numbers = [name for name, kind in types.items() if kind in ("bigint", "int", "double")]
     kinds = [("profile", name, "data_type", "NULL", f"'{kind}'") for name, kind in types.items()]
@@ -455,11 +447,11 @@ LINE_TYPES = {
     "l_tax": "double",
     "l_returnflag": "string",
     "l_linestatus": "string",
-    "l_shipdate": "timestamp",
+    "l_shipdate": "timestamp_ntz",
 }
 
 
-@query("dq_profile")
+@query("dq_profile", profile_sql("lineitem", "lineitem", LINE_TYPES))
 def _profile(t: Tables) -> DataFrame:
     return tidy(g.profile(t.lineitem.select(*LINE_TYPES), "lineitem"))
 
@@ -566,8 +558,3 @@ ASSESS_SQL = " UNION ALL ".join(
 @query("dq_assess", with_views(ASSESS_SQL, "production"))
 def _assess(t: Tables) -> DataFrame:
     return tidy(g.assess(view(t, "production"), SPEC))
-
-
-from workload.catalog import ORACLE  # noqa: E402
-
-ORACLE["dq_profile"] = profile_sql("lineitem", "lineitem", LINE_TYPES)
