@@ -31,7 +31,7 @@ def parse_number(
 def parse_integer(text: Column, target: str = "int") -> Column:
     """Text to an integer type; a decimal fraction is cut off, as in "2018.0"."""
     whole = F.regexp_replace(F.trim(text), r"^([+-]?\d+)\.\d*$", "$1")
-    return whole.try_cast(target)
+    return F.coalesce(text.try_cast(target), whole.try_cast(target))
 
 
 def ratio(numerator: Column, denominator: Column, digits: int | None = None) -> Column:

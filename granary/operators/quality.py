@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions import label_by_threshold, named
-from granary.operators.cleaning import marker_values
+from granary.operators.cleaning import evaluate_once, marker_values
 from granary.operators.quantiles import (
     approximate_quantiles,
     as_number,
-    exact_quantiles,
     numeric_summary,
+    summary_and_quantiles,
 )
 from granary.spec import QualitySpec
 
@@ -83,6 +83,11 @@ def run_probes(df: DataFrame, dataset: str, probes: Sequence[Probe]) -> DataFram
     return _tidy(counted, dataset, [m for probe in probes for m in probe.metrics])
 
 
+def _count(predicate: Column) -> Column:
+    """Rows that meet a predicate. ``count_if`` would add a projection for each."""
+    return F.count(F.when(predicate, 1))
+
+
 def _percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part * 100.0, whole)
 
@@ -108,7 +113,7 @@ def completeness_probe(df: DataFrame) -> Probe:
         if isinstance(column.dataType, (T.FloatType, T.DoubleType)):
             missing |= F.isnan(cell)
         alias = f"missing_{at}"
-        probe.measures[alias] = F.count_if(missing)
+        probe.measures[alias] = _count(missing)
         count = F.col(alias)
         missing_total += count
         probe.metrics += [
@@ -133,7 +138,7 @@ def validity_probe(df: DataFrame, spec: QualitySpec) -> Probe:
 
     def count(column: str, metric: str, alias: str, predicate: Column) -> None:
         nonlocal total
-        probe.measures[alias] = F.count_if(predicate)
+        probe.measures[alias] = _count(predicate)
         total += F.col(alias)
         probe.metrics.append(Metric("validity", column, metric, F.col(alias)))
 
@@ -202,7 +207,7 @@ def outlier_probe(
             first, third = quartiles[name]
             low, high = first - 1.5 * (third - first), third + 1.5 * (third - first)
             alias = f"iqr_{at}"
-            probe.measures[alias] = F.count_if((value < F.lit(low)) | (value > F.lit(high)))
+            probe.measures[alias] = _count((value < F.lit(low)) | (value > F.lit(high)))
             probe.metrics += [
                 Metric("outliers", name, "iqr_outliers", F.col(alias)),
                 Metric("outliers", name, "lower_bound", F.lit(low)),
@@ -212,7 +217,7 @@ def outlier_probe(
         if z_limit is not None:
             alias = f"z_{at}"
             score = F.try_divide(value - F.lit(facts["mean"]), F.lit(facts["stddev"]))
-            probe.measures[alias] = F.count_if((F.abs(score) if two_sided else score) > z_limit)
+            probe.measures[alias] = _count((F.abs(score) if two_sided else score) > z_limit)
             probe.metrics.append(Metric("outliers", name, "z_score_outliers", F.col(alias)))
     return probe
 
@@ -244,9 +249,7 @@ def outliers_iqr(
     df: DataFrame, dataset: str, skip: Sequence[str] = (), method: str = "exact"
 ) -> DataFrame:
     """Values outside the quartiles by more than 1.5 interquartile ranges."""
-    names = numeric_columns(df, skip)
-    summary = numeric_summary(df, names)
-    quartiles = _quartiles(df, names, summary, method)
+    summary, quartiles = _summary_and_quartiles(df, numeric_columns(df, skip), method)
     return run_probes(df, dataset, [outlier_probe(summary, quartiles)])
 
 
@@ -263,11 +266,11 @@ def outliers_z(
     return run_probes(df, dataset, [probe])
 
 
-def _quartiles(df: DataFrame, names: Sequence[str], summary: dict, method: str) -> dict:
+def _summary_and_quartiles(df: DataFrame, names: Sequence[str], method: str) -> tuple[dict, dict]:
     if method == "exact":
-        return exact_quantiles(df, names, (0.25, 0.75), summary)
+        return summary_and_quantiles(df, names, (0.25, 0.75))
     if method == "approximate":
-        return approximate_quantiles(df, names, (0.25, 0.75))
+        return numeric_summary(df, names), approximate_quantiles(df, names, (0.25, 0.75))
     raise ValueError("method must be 'exact' or 'approximate'")
 
 
@@ -334,7 +337,7 @@ def _collapse(
         if entity:
             aggs.append(F.count("*").alias(entity))
             if entity == "regions":
-                aggs.append(F.count_if(F.col("_n") < rare_below).alias("_rare"))
+                aggs.append(_count(F.col("_n") < rare_below).alias("_rare"))
             merges[entity] = F.sum
         if following == "unique_keys" and region and region not in keys:
             raise ValueError("the region column must be one of the key columns")
@@ -472,21 +475,56 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
-def _distinct_metrics(counts: DataFrame, dataset: str, k: int | None = None) -> DataFrame:
-    """Distinct values and NULLs per column; with ``k`` also the listed cardinality."""
+def _cell_counts(df: DataFrame) -> DataFrame:
+    """(column, whole, real, text, rows) for every value of every column.
+
+    Like :func:`value_counts` without turning numbers into text: each value
+    stands in the one of the three fields that holds its type exactly.
+    """
+    cells = []
+    for column in df.schema.fields:
+        cell, kind = named(column.name), column.dataType
+        whole, real, text = F.lit(None), F.lit(None), F.lit(None)
+        if isinstance(kind, (T.IntegralType, T.BooleanType)):
+            whole = cell
+        elif isinstance(kind, T.DateType):
+            whole = F.unix_date(cell)
+        elif isinstance(kind, T.TimestampType):
+            whole = F.unix_micros(cell)
+        elif isinstance(kind, (T.FloatType, T.DoubleType)):
+            real = cell
+        else:
+            text = _as_text(column)
+        cells.append(
+            F.struct(
+                F.lit(column.name).alias("column"),
+                whole.cast("bigint").alias("whole"),
+                real.cast("double").alias("real"),
+                text.cast("string").alias("text"),
+            )
+        )
+    long = df.select(F.inline(F.array(*cells)))
+    return long.groupBy("column", "whole", "real", "text").agg(F.count("*").alias("rows"))
+
+
+def _distinct_metrics(counts: DataFrame, dataset: str, listed: Sequence[str], k: int) -> DataFrame:
+    """Distinct values and NULLs per column, and how many values are listed."""
+    missing = F.coalesce("whole", "real", F.when(F.col("text").isNotNull(), 0)).isNull()
     per_column = counts.groupBy("column").agg(
-        F.count("value").alias("distinct_count"),
-        F.sum(F.when(F.col("value").isNull(), F.col("rows")).otherwise(0)).alias("null_count"),
-        F.count("*").alias("groups"),
+        _count(~missing).alias("distinct_count"),
+        F.sum(F.when(missing, F.col("rows")).otherwise(0)).alias("null_count"),
+        F.least(F.count("*"), F.lit(k)).alias("cardinality"),
     )
-    values = {"distinct_count": F.col("distinct_count"), "null_count": F.col("null_count")}
-    if k is not None:
-        values["cardinality"] = F.least(F.col("groups"), F.lit(k))
-    structs = [
-        F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value"))
-        for metric, value in values.items()
-    ]
-    return per_column.select("column", F.inline(F.array(*structs))).select(
+    metrics = F.array(
+        *[
+            F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value"))
+            for name in ("distinct_count", "null_count", "cardinality")
+        ]
+    )
+    tidy = per_column.select("column", F.inline(metrics))
+    return tidy.filter(
+        (F.col("metric") != "cardinality") | F.col("column").isin(list(listed))
+    ).select(
         F.lit(dataset).alias("dataset"),
         F.lit("profile").alias("check"),
         "column",
@@ -496,11 +534,19 @@ def _distinct_metrics(counts: DataFrame, dataset: str, k: int | None = None) ->
     )
 
 
-def _listed_values(counts: DataFrame, dataset: str, k: int, order: str) -> DataFrame:
+def _listed_values(
+    counts: DataFrame, dataset: str, listed: Sequence[str], k: int, order: str
+) -> DataFrame:
+    """The first ``k`` values by frequency of each listed column.
+
+    The filter stays above the counts, so that both uses share their shuffle.
+    """
     by_count = F.col("rows").desc() if order == "desc" else F.col("rows").asc()
-    place = Window.partitionBy("column").orderBy(by_count, F.col("value").asc_nulls_first())
+    place = Window.partitionBy("column").orderBy(by_count, F.col("text").asc_nulls_first())
     return (
-        counts.withColumn("place", F.row_number().over(place))
+        evaluate_once(counts)
+        .filter(F.col("column").isin(list(listed)))
+        .withColumn("place", F.row_number().over(place))
         .filter(F.col("place") <= k)
         .select(
             F.lit(dataset).alias("dataset"),
@@ -508,7 +554,7 @@ def _listed_values(counts: DataFrame, dataset: str, k: int, order: str) -> DataF
             "column",
             F.concat(F.lit("value_"), F.col("place")).alias("metric"),
             F.col("rows").cast("double").alias("value"),
-            F.col("value").alias("detail"),
+            F.col("text").alias("detail"),
         )
     )
 
@@ -537,28 +583,26 @@ def profile(
     the same pass as the moments instead.
     """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    other = [name for name in df.columns if name not in text]
     probes = [_type_metrics(df), moments or moments_probe(df)]
-    parts = []
+    counted = df
     if approximate:
+        other = [name for name in df.columns if name not in text]
+        counted = df.select(*map(named, text))
         sketch = Probe()
         for at, name in enumerate(other):
             sketch.measures[f"distinct_{at}"] = F.approx_count_distinct(named(name))
-            sketch.measures[f"nulls_{at}"] = F.count_if(named(name).isNull())
+            sketch.measures[f"nulls_{at}"] = _count(named(name).isNull())
             sketch.metrics += [
                 Metric("profile", name, "distinct_count", F.col(f"distinct_{at}")),
                 Metric("profile", name, "null_count", F.col(f"nulls_{at}")),
             ]
         probes.append(sketch)
-    elif other:
-        parts.append(_distinct_metrics(value_counts(df, other), dataset))
-    if text:
-        counts = value_counts(df, text)
-        parts.append(_distinct_metrics(counts, dataset, k))
-        parts.append(_listed_values(counts, dataset, k, order))
     result = run_probes(df, dataset, probes)
-    for part in parts:
-        result = result.unionByName(part)
+    if counted.columns:
+        counts = _cell_counts(counted)
+        result = result.unionByName(_distinct_metrics(counts, dataset, text, k))
+        if text:
+            result = result.unionByName(_listed_values(counts, dataset, text, k, order))
     return result
 
 
@@ -578,9 +622,8 @@ def assess(
     """
     dataset = spec.dataset
     skip = [spec.year_column] if spec.year_column else []
-    summary = numeric_summary(df, numeric_columns(df))
+    summary, quartiles = _summary_and_quartiles(df, numeric_columns(df), quantiles)
     judged = {name: facts for name, facts in summary.items() if name not in skip}
-    quartiles = _quartiles(df, list(judged), judged, quantiles)
     moments = Probe(
         metrics=[
             Metric("profile", name, metric, F.lit(facts[metric]))

@@ -1,10 +1,11 @@
 """Exact quantiles of many columns without sorting or gathering the data.
 
 ``percentile`` and ``percentile_approx`` merge one buffer per task in a single
-reducer, which grows with the number of tasks. Here every pass counts rows per
-equal-width bin of the range that holds the wanted rank (counts combine on the
-map side, at most ``bins`` groups per range), and narrows the range to the one
-bin that holds it. Once few rows are left in the range, they are ranked.
+reducer, which grows with the number of tasks. Here a first pass counts rows
+per order of magnitude, and every further pass per equal-width bin of the range
+that holds the wanted rank; the range narrows to the one bin that holds it.
+Counts combine on the map side, so a pass shuffles a bounded number of groups
+per task. Once few rows are left in the range, they are ranked.
 """
 
 from __future__ import annotations
@@ -38,6 +39,14 @@ class _Search:
     def done(self) -> bool:
         return self.low == self.high
 
+    def enter(self, bins: Sequence) -> None:
+        """Narrow the range to the one of these bins that holds the rank."""
+        for found in bins:
+            if self.rank <= found["rows"]:
+                self.low, self.high, self.rows = found["low"], found["high"], found["rows"]
+                return
+            self.rank -= found["rows"]
+
 
 def as_number(name: str) -> Column:
     """The column as a finite double; NaN counts as missing."""
@@ -71,6 +80,55 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str
     }
 
 
+def _magnitude_bin(value: Column) -> Column:
+    """A bin that needs no known range: sign, and 32 steps per factor of two; monotone."""
+    step = F.floor(F.log2(F.abs(value)) * 32) + 40_000  # above 0 for every double
+    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * step).cast("int")
+
+
+def _first_pass(
+    df: DataFrame, columns: Sequence[str]
+) -> tuple[dict[str, dict[str, float]], dict[str, list]]:
+    """The summary and a first histogram of every column from one pass."""
+    cells = [
+        F.struct(F.lit(at).alias("column"), as_number(name).alias("value"))
+        for at, name in enumerate(columns)
+    ]
+    counted = (
+        df.select(F.inline(F.array(*cells)))
+        .filter("value IS NOT NULL")
+        .groupBy("column", _magnitude_bin(F.col("value")).alias("bin"))
+        .agg(
+            F.count("*").alias("rows"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            F.avg("value").alias("mean"),
+            F.var_pop("value").alias("spread"),
+        )
+        .collect()
+    )
+    histograms = {
+        name: sorted((r for r in counted if r["column"] == at), key=lambda r: r["bin"])
+        for at, name in enumerate(columns)
+    }
+    return {name: _merged_summary(bins) for name, bins in histograms.items()}, histograms
+
+
+def _merged_summary(bins: Sequence) -> dict[str, float]:
+    n = sum(b["rows"] for b in bins)
+    if not n:
+        return {"n": 0, "min": None, "max": None, "mean": None, "stddev": None}
+    mean = math.fsum(b["rows"] * b["mean"] for b in bins) / n
+    squares = math.fsum(b["rows"] * (b["spread"] + (b["mean"] - mean) ** 2) for b in bins)
+    return {
+        "n": n,
+        "min": min(b["low"] for b in bins),
+        "max": max(b["high"] for b in bins),
+        "mean": mean,
+        "stddev": math.sqrt(squares / (n - 1)) if n > 1 else None,
+    }
+
+
 def _bin_of(value: Column, low: float, high: float, bins: int) -> Column:
     """Bin of a value in [low, high]; monotone, with the ends in different bins."""
     if math.isinf(high - low):
@@ -111,17 +169,9 @@ def _narrow(df: DataFrame, searches: Sequence[_Search], bins: int) -> None:
         )
         .collect()
     )
-    histogram: dict[int, list] = {at: [] for at in range(len(spans))}
-    for row in counted:
-        histogram[row["span"]].append(row)
     for search in searches:
-        passed = 0
-        for row in sorted(histogram[spans.index(search.span)], key=lambda r: r["bin"]):
-            if search.rank <= passed + row["rows"]:
-                search.rank -= passed
-                search.low, search.high, search.rows = row["low"], row["high"], row["rows"]
-                break
-            passed += row["rows"]
+        at = spans.index(search.span)
+        search.enter(sorted((r for r in counted if r["span"] == at), key=lambda r: r["bin"]))
 
 
 def _rank(df: DataFrame, searches: Sequence[_Search]) -> None:
@@ -160,40 +210,47 @@ def _rank(df: DataFrame, searches: Sequence[_Search]) -> None:
         search.low = search.high = row["value"]
 
 
-def exact_quantiles(
+def summary_and_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    summary: dict[str, dict[str, float]] | None = None,
     bins: int = 1024,
     finish_rows: int = 100_000,
-) -> dict[str, list[float | None]]:
-    """Per column the smallest values with at least the given shares at or below.
+) -> tuple[dict[str, dict[str, float]], dict[str, list[float | None]]]:
+    """n, min, max, mean, stddev and exact quantiles of each column.
 
-    Runs a few jobs; each sends the driver at most ``bins`` rows per range. A
-    column without numbers gives None.
+    Runs a few jobs; each sends the driver a bounded number of bins per column.
+    A quantile is the smallest value with at least the given share of the
+    values at or below it; a column without numbers gives None.
     """
-    if summary is None:
-        summary = numeric_summary(df, columns)
+    if not columns:
+        return {}, {}
+    summary, histograms = _first_pass(df, columns)
     searches = []
     for column in columns:
-        facts = summary[column]
-        if facts["n"]:
-            for probability in probabilities:
-                rank = max(1, math.ceil(round(probability * facts["n"], 9)))
-                searches.append(
-                    _Search(column, probability, rank, facts["min"], facts["max"], facts["n"])
-                )
-    while True:
-        wide = [s for s in searches if not s.done and s.rows > finish_rows]
-        if not wide:
-            break
+        n = summary[column]["n"]
+        for probability in probabilities if n else ():
+            rank = max(1, math.ceil(round(probability * n, 9)))
+            search = _Search(column, probability, rank, 0.0, 0.0, n)
+            search.enter(histograms[column])
+            searches.append(search)
+    while wide := [s for s in searches if not s.done and s.rows > finish_rows]:
         _narrow(df, wide, bins)
-    close = [s for s in searches if not s.done]
-    if close:
+    if close := [s for s in searches if not s.done]:
         _rank(df, close)
     values = {(s.column, s.probability): s.low for s in searches}
-    return {c: [values.get((c, p)) for p in probabilities] for c in columns}
+    return summary, {c: [values.get((c, p)) for p in probabilities] for c in columns}
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    bins: int = 1024,
+    finish_rows: int = 100_000,
+) -> dict[str, list[float | None]]:
+    """The quantiles of :func:`summary_and_quantiles`."""
+    return summary_and_quantiles(df, columns, probabilities, bins, finish_rows)[1]
 
 
 def approximate_quantiles(
