@@ -2,7 +2,7 @@
 
 from granary.functions.bands import label_by_threshold, score_by_threshold
 from granary.functions.dates import date_from, year_from
-from granary.functions.names import named
+from granary.functions.names import literal, named, quoted
 from granary.functions.numbers import guarded_ratio, parse_integer, parse_number, ratio
 from granary.functions.text import join_key, standard_name, strip_symbols, tidy_text
 
@@ -11,9 +11,11 @@ __all__ = [
     "guarded_ratio",
     "join_key",
     "label_by_threshold",
+    "literal",
     "named",
     "parse_integer",
     "parse_number",
+    "quoted",
     "ratio",
     "score_by_threshold",
     "standard_name",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import named
+from granary.operators.cleaning import evaluate_once
 from granary.spec import Agg, Enrichment
 
 _FUNCTIONS = {
@@ -74,9 +75,12 @@ def _join_repeating(base: DataFrame, source: DataFrame, on: Sequence[str]) -> Da
 
     The matched part is an inner join: adaptive execution may split a heavy
     key on either side of it, which a left join does not allow on its right
-    side. The unmatched rows need only the distinct keys of the source.
+    side. The unmatched rows need only the distinct keys of the source. Both
+    parts read one and the same base: without :func:`evaluate_once` the inner
+    join would push its own key filter into it, and it would be built twice.
     """
     keys = list(on)
+    base = evaluate_once(base)
     columns = [*base.columns, *[name for name in source.columns if name not in keys]]
     matched = base.join(source, keys).select(*map(named, columns))
     known = source.select(*map(named, keys)).distinct()

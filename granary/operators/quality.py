@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.functions import label_by_threshold, named
+from granary.functions import label_by_threshold, literal, named, quoted
 from granary.operators.cleaning import evaluate_once, marker_values
 from granary.operators.quantiles import (
     approximate_quantiles,
-    as_number,
+    number_sql,
     numeric_summary,
     summary_and_quantiles,
 )
@@ -43,53 +43,56 @@ ISSUE_PENALTY = 10
 
 @dataclass
 class Metric:
+    """One value of the result, as SQL over the aggregates of its frame."""
+
     check: str
     column: str
     metric: str
-    value: Column
-    detail: Column | None = None
+    value: str
+    detail: str | None = None
 
 
 @dataclass
 class Probe:
-    """Aggregates by alias, and the metrics computed from these aliases."""
-
-    measures: dict[str, Column] = field(default_factory=dict)
-    metrics: list[Metric] = field(default_factory=list)
+    """Aggregates in SQL by alias, and the metrics computed from these aliases.
 
+    Both are SQL text because a wide table makes hundreds of them, which Spark
+    parses at once, while composing them as columns takes longer than the scan.
+    """
 
-def _metric_struct(dataset: str, metric: Metric) -> Column:
-    detail = F.lit(None) if metric.detail is None else metric.detail
-    return F.struct(
-        F.lit(dataset).alias("dataset"),
-        F.lit(metric.check).alias("check"),
-        F.lit(metric.column).alias("column"),
-        F.lit(metric.metric).alias("metric"),
-        metric.value.cast("double").alias("value"),
-        detail.cast("string").alias("detail"),
-    )
+    measures: dict[str, str] = field(default_factory=dict)
+    metrics: list[Metric] = field(default_factory=list)
 
 
 def _tidy(one_row: DataFrame, dataset: str, metrics: Sequence[Metric]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*[_metric_struct(dataset, m) for m in metrics])))
+    """Spread a row of aggregates into one row per metric."""
+    cells = [
+        f"{literal(m.check)}, {literal(m.column)}, {literal(m.metric)}, "
+        f"CAST({m.value} AS DOUBLE), CAST({literal(m.detail)} AS STRING)"
+        for m in metrics
+    ]
+    return one_row.selectExpr(
+        f"{literal(dataset)} AS dataset",
+        f"stack({len(cells)}, {', '.join(cells)}) AS (`check`, `column`, metric, value, detail)",
+    )
 
 
 def run_probes(df: DataFrame, dataset: str, probes: Sequence[Probe]) -> DataFrame:
     """All metrics of all probes from a single aggregation."""
-    measures = {"rows_": F.count("*")}
+    measures = {"rows_": "count(*)"}
     for probe in probes:
         measures.update(probe.measures)
-    counted = df.agg(*[measure.alias(alias) for alias, measure in measures.items()])
+    counted = df.selectExpr(*[f"{measure} AS {alias}" for alias, measure in measures.items()])
     return _tidy(counted, dataset, [m for probe in probes for m in probe.metrics])
 
 
-def _count(predicate: Column) -> Column:
+def _count(predicate: str) -> str:
     """Rows that meet a predicate. ``count_if`` would add a projection for each."""
-    return F.count(F.when(predicate, 1))
+    return f"count(CASE WHEN {predicate} THEN 1 END)"
 
 
-def _percent(part: Column, whole: Column) -> Column:
-    return F.try_divide(part * 100.0, whole)
+def _percent(part: str, whole: str) -> str:
+    return f"try_divide(({part}) * 100D, {whole})"
 
 
 def numeric_columns(df: DataFrame, skip: Sequence[str] = ()) -> list[str]:
@@ -105,27 +108,27 @@ def numeric_columns(df: DataFrame, skip: Sequence[str] = ()) -> list[str]:
 
 def completeness_probe(df: DataFrame) -> Probe:
     probe = Probe()
-    rows = F.col("rows_")
-    missing_total = F.lit(0)
     for at, column in enumerate(df.schema.fields):
-        cell = named(column.name)
-        missing = cell.isNull()
+        cell, count = quoted(column.name), f"missing_{at}"
+        missing = f"{cell} IS NULL"
         if isinstance(column.dataType, (T.FloatType, T.DoubleType)):
-            missing |= F.isnan(cell)
-        alias = f"missing_{at}"
-        probe.measures[alias] = _count(missing)
-        count = F.col(alias)
-        missing_total += count
+            missing += f" OR isnan({cell})"
+        probe.measures[count] = _count(missing)
         probe.metrics += [
             Metric("completeness", column.name, "null_count", count),
-            Metric("completeness", column.name, "null_percentage", _percent(count, rows)),
-            Metric("completeness", column.name, "completeness_score", _percent(rows - count, rows)),
+            Metric("completeness", column.name, "null_percentage", _percent(count, "rows_")),
+            Metric(
+                "completeness",
+                column.name,
+                "completeness_score",
+                _percent(f"rows_ - {count}", "rows_"),
+            ),
         ]
-    cells = rows * len(df.columns)
-    overall = _percent(cells - missing_total, cells)
+    cells = f"(rows_ * {len(df.columns)})"
+    overall = _percent(f"{cells} - ({' + '.join(probe.measures)})", cells)
     probe.metrics += [
         Metric("completeness", ALL_COLUMNS, "overall_completeness", overall),
-        Metric("completeness", ALL_COLUMNS, "threshold_met", (overall >= COMPLETENESS_MINIMUM)),
+        Metric("completeness", ALL_COLUMNS, "threshold_met", f"{overall} >= {COMPLETENESS_MINIMUM}"),
     ]
     return probe
 
@@ -133,37 +136,36 @@ def completeness_probe(df: DataFrame) -> Probe:
 def validity_probe(df: DataFrame, spec: QualitySpec) -> Probe:
     """Marker cells, negative cells where none may be, and years out of range."""
     probe = Probe()
-    rows = F.col("rows_")
-    total = F.lit(0)
 
-    def count(column: str, metric: str, alias: str, predicate: Column) -> None:
-        nonlocal total
+    def count(column: str, metric: str, alias: str, predicate: str) -> None:
         probe.measures[alias] = _count(predicate)
-        total += F.col(alias)
-        probe.metrics.append(Metric("validity", column, metric, F.col(alias)))
+        probe.metrics.append(Metric("validity", column, metric, alias))
 
     for at, column in enumerate(df.schema.fields):
-        cell = named(column.name)
+        cell = quoted(column.name)
         markers = marker_values(column.dataType, spec.markers)
         if markers:
-            count(column.name, "marker_count", f"markers_{at}", cell.isin(markers))
+            listed = ", ".join(map(literal, markers))
+            count(column.name, "marker_count", f"markers_{at}", f"{cell} IN ({listed})")
         numeric = isinstance(column.dataType, T.NumericType)
         if numeric and column.name in spec.non_negative:
-            count(column.name, "negative_count", f"negative_{at}", cell < 0)
+            count(column.name, "negative_count", f"negative_{at}", f"{cell} < 0")
         if column.name == spec.year_column:
             first, last = spec.year_range
-            year = cell if numeric else cell.try_cast("int")
-            count(column.name, "year_out_of_range", f"year_{at}", ~year.between(first, last))
-    cells = rows * len(df.columns)
-    share = F.try_divide(total, cells)
+            year = cell if numeric else f"try_cast({cell} AS INT)"
+            outside = f"{year} NOT BETWEEN {first} AND {last}"
+            count(column.name, "year_out_of_range", f"year_{at}", outside)
+    cells = f"(rows_ * {len(df.columns)})"
+    total = f"({' + '.join(probe.measures) or '0'})"
+    share = f"try_divide({total} * 1D, {cells})"
     probe.metrics += [
         Metric("validity", ALL_COLUMNS, "total_invalid_values", total),
-        Metric("validity", ALL_COLUMNS, "validity_score", _percent(cells - total, cells)),
+        Metric("validity", ALL_COLUMNS, "validity_score", _percent(f"{cells} - {total}", cells)),
         Metric(
             "validity",
             ALL_COLUMNS,
             "threshold_met",
-            F.coalesce(share < INVALID_SHARE_LIMIT, F.lit(True)),
+            f"coalesce({share} < {literal(INVALID_SHARE_LIMIT)}, true)",
         ),
     ]
     return probe
@@ -172,17 +174,11 @@ def validity_probe(df: DataFrame, spec: QualitySpec) -> Probe:
 def moments_probe(df: DataFrame) -> Probe:
     """Minimum, maximum, mean and sample deviation of the numeric columns."""
     probe = Probe()
+    functions = {"min": "min", "max": "max", "mean": "avg", "stddev": "stddev_samp"}
     for at, name in enumerate(numeric_columns(df)):
-        cell = as_number(name)
-        for metric, measure in (
-            ("min", F.min(cell)),
-            ("max", F.max(cell)),
-            ("mean", F.avg(cell)),
-            ("stddev", F.stddev(cell)),
-        ):
-            alias = f"{metric}_{at}"
-            probe.measures[alias] = measure
-            probe.metrics.append(Metric("profile", name, metric, F.col(alias)))
+        for metric, function in functions.items():
+            probe.measures[f"{metric}_{at}"] = f"{function}({number_sql(name)})"
+            probe.metrics.append(Metric("profile", name, metric, f"{metric}_{at}"))
     return probe
 
 
@@ -198,27 +194,28 @@ def outlier_probe(
     Columns without a deviation (fewer than two values) are left out.
     """
     probe = Probe()
-    rows = F.col("rows_")
     for at, (name, facts) in enumerate(summary.items()):
         if facts["stddev"] is None:
             continue
-        value = as_number(name)
+        value = number_sql(name)
         if quartiles is not None:
             first, third = quartiles[name]
-            low, high = first - 1.5 * (third - first), third + 1.5 * (third - first)
-            alias = f"iqr_{at}"
-            probe.measures[alias] = _count((value < F.lit(low)) | (value > F.lit(high)))
+            reach = 1.5 * (third - first)
+            low, high = literal(float(first - reach)), literal(float(third + reach))
+            count = f"iqr_{at}"
+            probe.measures[count] = _count(f"{value} < {low} OR {value} > {high}")
             probe.metrics += [
-                Metric("outliers", name, "iqr_outliers", F.col(alias)),
-                Metric("outliers", name, "lower_bound", F.lit(low)),
-                Metric("outliers", name, "upper_bound", F.lit(high)),
-                Metric("outliers", name, "outlier_percentage", _percent(F.col(alias), rows)),
+                Metric("outliers", name, "iqr_outliers", count),
+                Metric("outliers", name, "lower_bound", low),
+                Metric("outliers", name, "upper_bound", high),
+                Metric("outliers", name, "outlier_percentage", _percent(count, "rows_")),
             ]
         if z_limit is not None:
-            alias = f"z_{at}"
-            score = F.try_divide(value - F.lit(facts["mean"]), F.lit(facts["stddev"]))
-            probe.measures[alias] = _count((F.abs(score) if two_sided else score) > z_limit)
-            probe.metrics.append(Metric("outliers", name, "z_score_outliers", F.col(alias)))
+            mean, deviation = literal(float(facts["mean"])), literal(float(facts["stddev"]))
+            score = f"try_divide({value} - {mean}, {deviation})"
+            score = f"abs({score})" if two_sided else score
+            probe.measures[f"z_{at}"] = _count(f"{score} > {literal(float(z_limit))}")
+            probe.metrics.append(Metric("outliers", name, "z_score_outliers", f"z_{at}"))
     return probe
 
 
@@ -229,9 +226,9 @@ def check_schema(df: DataFrame, expected: Sequence[str], dataset: str) -> DataFr
     """Missing and extra columns; reads no data."""
     missing = [name for name in expected if name not in df.columns]
     extra = [name for name in df.columns if name not in expected]
-    metrics = [Metric("schema", name, "missing", F.lit(1)) for name in missing]
-    metrics += [Metric("schema", name, "extra", F.lit(1)) for name in extra]
-    metrics.append(Metric("schema", ALL_COLUMNS, "schema_valid", F.lit(0 if missing else 1)))
+    metrics = [Metric("schema", name, "missing", "1") for name in missing]
+    metrics += [Metric("schema", name, "extra", "1") for name in extra]
+    metrics.append(Metric("schema", ALL_COLUMNS, "schema_valid", "0" if missing else "1"))
     return _tidy(df.sparkSession.range(1), dataset, metrics)
 
 
@@ -337,7 +334,7 @@ def _collapse(
         if entity:
             aggs.append(F.count("*").alias(entity))
             if entity == "regions":
-                aggs.append(_count(F.col("_n") < rare_below).alias("_rare"))
+                aggs.append(F.count(F.when(F.col("_n") < rare_below, 1)).alias("_rare"))
             merges[entity] = F.sum
         if following == "unique_keys" and region and region not in keys:
             raise ValueError("the region column must be one of the key columns")
@@ -347,23 +344,22 @@ def _collapse(
 
 
 def _uniqueness_metrics(rows: bool, keys: bool) -> list[Metric]:
-    total = F.coalesce(F.col("_n"), F.lit(0))
+    total = "coalesce(_n, 0)"
     metrics = [Metric("uniqueness", ALL_COLUMNS, "total_rows", total)]
     if rows:
-        unique = F.coalesce(F.col("unique_rows"), F.lit(0))
+        unique = "coalesce(unique_rows, 0)"
+        repeated = f"{total} - {unique}"
         metrics += [
             Metric("uniqueness", ALL_COLUMNS, "unique_rows", unique),
-            Metric("uniqueness", ALL_COLUMNS, "duplicate_count", total - unique),
-            Metric(
-                "uniqueness", ALL_COLUMNS, "duplicate_percentage", _percent(total - unique, total)
-            ),
+            Metric("uniqueness", ALL_COLUMNS, "duplicate_count", repeated),
+            Metric("uniqueness", ALL_COLUMNS, "duplicate_percentage", _percent(repeated, total)),
             Metric("uniqueness", ALL_COLUMNS, "uniqueness_score", _percent(unique, total)),
         ]
     if keys:
-        unique_keys = F.coalesce(F.col("unique_keys"), F.lit(0))
+        unique_keys = "coalesce(unique_keys, 0)"
         metrics += [
             Metric("uniqueness", ALL_COLUMNS, "unique_keys", unique_keys),
-            Metric("uniqueness", ALL_COLUMNS, "key_duplicates", total - unique_keys),
+            Metric("uniqueness", ALL_COLUMNS, "key_duplicates", f"{total} - {unique_keys}"),
         ]
     return metrics
 
@@ -371,25 +367,20 @@ def _uniqueness_metrics(rows: bool, keys: bool) -> list[Metric]:
 def _consistency_metrics(
     spec: QualitySpec, region: str | None, year: str | None, ratio: bool
 ) -> list[Metric]:
-    metrics = []
-    issues = F.lit(0)
+    found = []
     if region:
-        metrics.append(Metric("consistency", region, "rare_values", F.col("_rare")))
-        issues += F.when(F.col("_rare") > 0, 1).otherwise(0)
+        found.append((region, "rare_values", "_rare", 0))
     if year:
-        span = F.col("_last") - F.col("_first")
-        metrics.append(Metric("consistency", year, "year_span", span))
-        issues += F.when(span > spec.max_year_span, 1).otherwise(0)
+        found.append((year, "year_span", "_last - _first", spec.max_year_span))
     if ratio:
-        bad = F.coalesce(F.col("_bad"), F.lit(0))
-        metrics.append(Metric("consistency", spec.ratio.stated, "ratio_mismatch", bad))
-        issues += F.when(bad > 0, 1).otherwise(0)
-    return metrics + [
+        found.append((spec.ratio.stated, "ratio_mismatch", "coalesce(_bad, 0)", 0))
+    flags = [f"CASE WHEN {value} > {limit} THEN 1 ELSE 0 END" for _, _, value, limit in found]
+    issues = f"({' + '.join(flags) or '0'})"
+    return [
+        *[Metric("consistency", column, metric, value) for column, metric, value, _ in found],
         Metric("consistency", ALL_COLUMNS, "consistency_issues", issues),
-        Metric(
-            "consistency", ALL_COLUMNS, "consistency_score", F.lit(100) - issues * ISSUE_PENALTY
-        ),
-        Metric("consistency", ALL_COLUMNS, "threshold_met", issues <= ISSUE_LIMIT),
+        Metric("consistency", ALL_COLUMNS, "consistency_score", f"100 - {issues} * {ISSUE_PENALTY}"),
+        Metric("consistency", ALL_COLUMNS, "threshold_met", f"{issues} <= {ISSUE_LIMIT}"),
     ]
 
 
@@ -511,7 +502,7 @@ def _distinct_metrics(counts: DataFrame, dataset: str, listed: Sequence[str], k:
     """Distinct values and NULLs per column, and how many values are listed."""
     missing = F.coalesce("whole", "real", F.when(F.col("text").isNotNull(), 0)).isNull()
     per_column = counts.groupBy("column").agg(
-        _count(~missing).alias("distinct_count"),
+        F.count(F.when(~missing, 1)).alias("distinct_count"),
         F.sum(F.when(missing, F.col("rows")).otherwise(0)).alias("null_count"),
         F.least(F.count("*"), F.lit(k)).alias("cardinality"),
     )
@@ -562,7 +553,7 @@ def _listed_values(
 def _type_metrics(df: DataFrame) -> Probe:
     return Probe(
         metrics=[
-            Metric("profile", f.name, "data_type", F.lit(None), F.lit(f.dataType.simpleString()))
+            Metric("profile", f.name, "data_type", "NULL", f.dataType.simpleString())
             for f in df.schema.fields
         ]
     )
@@ -590,11 +581,11 @@ def profile(
         counted = df.select(*map(named, text))
         sketch = Probe()
         for at, name in enumerate(other):
-            sketch.measures[f"distinct_{at}"] = F.approx_count_distinct(named(name))
-            sketch.measures[f"nulls_{at}"] = _count(named(name).isNull())
+            sketch.measures[f"distinct_{at}"] = f"approx_count_distinct({quoted(name)})"
+            sketch.measures[f"nulls_{at}"] = _count(f"{quoted(name)} IS NULL")
             sketch.metrics += [
-                Metric("profile", name, "distinct_count", F.col(f"distinct_{at}")),
-                Metric("profile", name, "null_count", F.col(f"nulls_{at}")),
+                Metric("profile", name, "distinct_count", f"distinct_{at}"),
+                Metric("profile", name, "null_count", f"nulls_{at}"),
             ]
         probes.append(sketch)
     result = run_probes(df, dataset, probes)
@@ -626,15 +617,15 @@ def assess(
     judged = {name: facts for name, facts in summary.items() if name not in skip}
     moments = Probe(
         metrics=[
-            Metric("profile", name, metric, F.lit(facts[metric]))
+            Metric("profile", name, metric, literal(facts[metric]))
             for name, facts in summary.items()
             for metric in ("min", "max", "mean", "stddev")
         ]
     )
     overview = Probe(
         metrics=[
-            Metric("overview", ALL_COLUMNS, "row_count", F.col("rows_")),
-            Metric("overview", ALL_COLUMNS, "column_count", F.lit(len(df.columns))),
+            Metric("overview", ALL_COLUMNS, "row_count", "rows_"),
+            Metric("overview", ALL_COLUMNS, "column_count", str(len(df.columns))),
         ]
     )
     aggregated = run_probes(

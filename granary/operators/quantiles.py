@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.functions import named
+from granary.functions import literal, quoted
 
 _LARGEST = 1.7976931348623157e308
 
@@ -48,12 +48,15 @@ class _Search:
             self.rank -= found["rows"]
 
 
+def number_sql(name: str) -> str:
+    """The column as a finite double, in SQL; NaN counts as missing."""
+    value = f"CAST({quoted(name)} AS DOUBLE)"
+    bounded = f"greatest(least({value}, {literal(_LARGEST)}), {literal(-_LARGEST)})"
+    return f"CASE WHEN NOT isnan({value}) THEN {bounded} END"
+
+
 def as_number(name: str) -> Column:
-    """The column as a finite double; NaN counts as missing."""
-    value = named(name).cast("double")
-    return F.when(
-        ~F.isnan(value), F.greatest(F.least(value, F.lit(_LARGEST)), F.lit(-_LARGEST))
-    )
+    return F.expr(number_sql(name))
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:

@@ -26,7 +26,10 @@ def drop_blank_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def metric_counts(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
     """Rows for which each predicate holds, as (metric, rows), in one pass."""
     counted = df.agg(
-        *[F.count_if(predicate).alias(f"m{i}") for i, predicate in enumerate(predicates.values())]
+        *[
+            F.count(F.when(predicate, 1)).alias(f"m{i}")
+            for i, predicate in enumerate(predicates.values())
+        ]
     )
     return counted.select(
         F.inline(

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granary.functions import literal, quoted
+
 logger = logging.getLogger(__name__)
 
 
@@ -46,10 +48,6 @@ def write_table(
     writer.save(path)
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def register_table(
     spark: SparkSession,
     name: str,
@@ -66,20 +64,20 @@ def register_table(
     partitions are brought in line with the directories.
     """
     database, table = name.split(".")
-    target = f"{_quoted(database)}.{_quoted(table)}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
+    target = f"{quoted(database)}.{quoted(table)}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {target}")
     data = [column for column in schema.fields if column.name not in partition_by]
     keys = [schema[key] for key in partition_by]
     columns = ", ".join(
-        f"{_quoted(column.name)} {column.dataType.simpleString()}" for column in [*data, *keys]
+        f"{quoted(column.name)} {column.dataType.simpleString()}" for column in [*data, *keys]
     )
     statement = f"CREATE TABLE IF NOT EXISTS {target} ({columns}) USING {fmt}"
     if partition_by:
-        statement += f" PARTITIONED BY ({', '.join(map(_quoted, partition_by))})"
+        statement += f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})"
     if location:
-        statement += " LOCATION '" + location.replace("'", "\\'") + "'"
+        statement += f" LOCATION {literal(location)}"
     spark.sql(statement)
     if partition_by and location:
         spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")

@@ -25,7 +25,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, frame)  # one schema look-up per table and query
+        return frame
 
 
 @dataclass(frozen=True)
