@@ -71,6 +71,8 @@ def _tidy(one_row: DataFrame, dataset: str, metrics: Sequence[Metric]) -> DataFr
         f"CAST({m.value} AS DOUBLE), CAST({literal(m.detail)} AS STRING)"
         for m in metrics
     ]
+    if not cells:
+        return _tidy(one_row, dataset, [Metric("", "", "", "NULL")]).filter("false")
     return one_row.selectExpr(
         f"{literal(dataset)} AS dataset",
         f"stack({len(cells)}, {', '.join(cells)}) AS (`check`, `column`, metric, value, detail)",
@@ -389,8 +391,11 @@ def ratio_mismatch(df: DataFrame, spec: QualitySpec) -> Column | None:
     check = spec.ratio
     if check is None or not {check.stated, check.numerator, check.denominator} <= set(df.columns):
         return None
-    over, under = named(check.numerator), named(check.denominator)
-    gap = F.abs(named(check.stated) - F.try_divide(over, under))
+    stated, over, under = (
+        named(name).try_cast("double")
+        for name in (check.stated, check.numerator, check.denominator)
+    )
+    gap = F.abs(stated - F.try_divide(over, under))
     return (over > 0) & (under > 0) & (gap > check.tolerance)
 
 

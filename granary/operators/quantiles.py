@@ -52,7 +52,8 @@ def number_sql(name: str) -> str:
     """The column as a finite double, in SQL; NaN counts as missing."""
     value = f"CAST({quoted(name)} AS DOUBLE)"
     bounded = f"greatest(least({value}, {literal(_LARGEST)}), {literal(-_LARGEST)})"
-    return f"CASE WHEN NOT isnan({value}) THEN {bounded} END"
+    # The bounds need the test for NULL: least and greatest pass over it.
+    return f"CASE WHEN {value} IS NOT NULL AND NOT isnan({value}) THEN {bounded} END"
 
 
 def as_number(name: str) -> Column:
@@ -121,8 +122,9 @@ def _merged_summary(bins: Sequence) -> dict[str, float]:
     n = sum(b["rows"] for b in bins)
     if not n:
         return {"n": 0, "min": None, "max": None, "mean": None, "stddev": None}
-    mean = math.fsum(b["rows"] * b["mean"] for b in bins) / n
-    squares = math.fsum(b["rows"] * (b["spread"] + (b["mean"] - mean) ** 2) for b in bins)
+    mean = sum(b["rows"] * b["mean"] for b in bins) / n
+    gaps = [b["mean"] - mean for b in bins]
+    squares = sum(b["rows"] * (b["spread"] + gap * gap) for b, gap in zip(bins, gaps))
     return {
         "n": n,
         "min": min(b["low"] for b in bins),

@@ -76,17 +76,20 @@ def run_silver(
 ) -> dict[str, dict]:
     """Clean the named raw files into tables; returns one summary per dataset.
 
-    Raw frames named in ``assessed`` are scored first; a low score is reported
+    Raw files named in ``assessed`` are scored first, with column types inferred
+    from their values, which takes scans of their own; a low score is reported
     and does not stop the run.
     """
     assessed = set(assessed)
     results = {}
     for name in names:
         source = presets.DATASETS[name].source
-        raw = read_source(spark, f"{raw_dir.rstrip('/')}/{name}.csv", source)
+        file = f"{raw_dir.rstrip('/')}/{name}.csv"
+        raw = read_source(spark, file, source)
         report = {}
         if name in assessed:
-            report = quality_report(assess(raw, presets.quality_spec(name))).first().asDict()
+            typed = read_source(spark, file, source, infer_schema=True)
+            report = quality_report(assess(typed, presets.quality_spec(name))).first().asDict()
             level = logging.INFO if report["overall_score"] >= 60 else logging.WARNING
             logger.log(level, "%s: raw quality %s", name, report)
         target = f"{silver_dir.rstrip('/')}/{name}"

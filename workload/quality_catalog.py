@@ -332,6 +332,24 @@ def _outliers_iqr_tailed(t: Tables) -> DataFrame:
     return tidy(g.outliers_iqr(_tailed(t), "events"))
 
 
+WEATHER_COLUMNS = ["curah_hujan", "suhu_rata_rata"]
+
+
+@query(
+    "dq_outliers_with_gaps",
+    with_views(
+        tidy_sql(
+            "weather",
+            "cuaca",
+            [e for c in WEATHER_COLUMNS for e in iqr_entries(c, "weather")],
+        ),
+        "weather",
+    ),
+)
+def _outliers_with_gaps(t: Tables) -> DataFrame:
+    return tidy(g.outliers_iqr(view(t, "weather"), "cuaca", skip=["tahun"]))
+
+
 @query("dq_outliers_iqr_approximate")
 def _outliers_iqr_approximate(t: Tables) -> DataFrame:
     lines = t.lineitem.select(*LINE_COLUMNS)
