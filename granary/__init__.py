@@ -54,6 +54,7 @@ from granary.sources.tables import (
     run_summary,
     stage,
     staging_folder,
+    table_counts,
     write_table,
 )
 from granary.spec import Agg, Enrichment, QualitySpec, RatioCheck, Rule, SourceSpec

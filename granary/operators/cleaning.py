@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -19,6 +20,8 @@ from granary.functions import (
     tidy_text,
 )
 
+logger = logging.getLogger(__name__)
+
 
 def marker_values(data_type: T.DataType, markers: Sequence[str]) -> list:
     """The markers a column of this type can hold: text as text, numbers as numbers."""
@@ -176,12 +179,16 @@ def add_ratio(
 def handle_missing(
     df: DataFrame, strategy: str = "drop", fill_values: Mapping[str, Any] | None = None
 ) -> DataFrame:
-    """Drop rows with any NULL, or fill NULLs per column."""
+    """Drop rows with any NULL ("drop"), or fill NULLs per column ("fill").
+
+    Anything else is reported and leaves the frame as it is.
+    """
     if strategy == "drop":
         return df.na.drop()
     if strategy == "fill" and fill_values:
         return df.na.fill(dict(fill_values))
-    raise ValueError("strategy must be 'drop', or 'fill' with fill_values")
+    logger.warning("no missing values handled: strategy %r, fill values %r", strategy, fill_values)
+    return df
 
 
 def evaluate_once(df: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from granary.functions import named
 from granary.spec import Rule
 
+_FEW_ROWS = 10_000
+
 
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that meet every rule."""
@@ -56,9 +58,11 @@ def missing_columns(df: DataFrame, expected: Sequence[str]) -> list[str]:
 def require(df: DataFrame, columns: Sequence[str], min_rows: int = 1) -> bool:
     """Whether the columns are there and there are at least ``min_rows`` rows.
 
-    Reads no more rows than it needs to decide.
+    Small minimums stop reading once enough rows are found; a limit and a count
+    would have every task send that many rows to one.
     """
     if missing_columns(df, columns):
         return False
-    probe = df.select(*map(named, columns)) if columns else df
-    return probe.limit(min_rows).count() >= min_rows
+    if min_rows <= _FEW_ROWS:
+        return len(df.select(F.lit(1)).take(min_rows)) >= min_rows
+    return df.count() >= min_rows

@@ -66,6 +66,17 @@ def _counts(dataset: presets.Dataset, cleaned: DataFrame) -> DataFrame:
     return metric_counts(cleaned, dataset.gate.counts())
 
 
+def _raw_quality(spark: SparkSession, name: str, file: str, silver_dir: str) -> dict:
+    """The quality report of a raw file, which is parsed once and then read by column."""
+    typed = read_source(spark, file, presets.DATASETS[name].source, infer_schema=True)
+    folder = staging_folder(spark, f"{silver_dir.rstrip('/')}_staging")
+    columnar, staged = stage(typed, folder)
+    try:
+        return quality_report(assess(columnar, presets.quality_spec(name))).first().asDict()
+    finally:
+        remove_folder(spark, staged)
+
+
 def run_silver(
     spark: SparkSession,
     raw_dir: str,
@@ -88,8 +99,7 @@ def run_silver(
         raw = read_source(spark, file, source)
         report = {}
         if name in assessed:
-            typed = read_source(spark, file, source, infer_schema=True)
-            report = quality_report(assess(typed, presets.quality_spec(name))).first().asDict()
+            report = _raw_quality(spark, name, file, silver_dir)
             level = logging.INFO if report["overall_score"] >= 60 else logging.WARNING
             logger.log(level, "%s: raw quality %s", name, report)
         target = f"{silver_dir.rstrip('/')}/{name}"

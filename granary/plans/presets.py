@@ -531,6 +531,7 @@ def mart_enriched(
         frame = sources.get(name)
         if frame is None:
             continue
+        frame = rename_columns(frame, {"nama_kabupaten": REGION})
         on = KEYS
         if name in province_wide:
             on, frame = [YEAR], frame.drop(REGION)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +84,20 @@ def register_table(
         spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
 
 
+def table_counts(spark: SparkSession, database: str) -> DataFrame:
+    """(table, rows) of every table of a database; Parquet answers from its footers."""
+    counts = [
+        spark.table(f"{quoted(database)}.{quoted(table.name)}").agg(
+            F.lit(table.name).alias("table"), F.count("*").alias("rows")
+        )
+        for table in spark.catalog.listTables(database)
+        if not table.isTemporary
+    ]
+    if not counts:
+        return spark.createDataFrame([], "table string, rows bigint")
+    return reduce(DataFrame.unionByName, counts)
+
+
 def staging_folder(spark: SparkSession, fallback: str) -> str:
     """The shared folder the cluster names for intermediate data, else ``fallback``."""
     return spark.conf.get("spark.checkpoint.dir", None) or fallback

@@ -112,6 +112,16 @@ def test_registered_table_follows_its_files(spark, years, tmp_path):
     spark.sql("DROP DATABASE shelf CASCADE")
 
 
+def test_table_counts(spark, years, tmp_path):
+    assert g.table_counts(spark, "default").columns == ["table", "rows"]
+    for name in ("one", "two"):
+        path = str(tmp_path / name)
+        g.write_table(years, path, "tahun")
+        g.register_table(spark, f"counted.{name}", years.schema, path, ["tahun"])
+    assert tuples(g.table_counts(spark, "counted")) == [("one", 3), ("two", 3)]
+    spark.sql("DROP DATABASE counted CASCADE")
+
+
 def test_load_table(spark, years):
     years.createOrReplaceTempView("some_years")
     assert g.load_table(spark, "some_years").count() == 3

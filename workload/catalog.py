@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -439,6 +440,26 @@ def _register_external_table(t: Tables) -> DataFrame:
     return t.spark.table(name).filter("tahun = 2001")
 
 
+@query(
+    "table_counts",
+    with_views(
+        "SELECT 'prices' AS \"table\", count(*) AS rows FROM price UNION ALL "
+        "SELECT 'rain', count(*) FROM weather",
+        "price",
+        "weather",
+    ),
+)
+def _table_counts(t: Tables) -> DataFrame:
+    database = f"granary_{uuid.uuid4().hex[:8]}"
+    for name, source, fmt in (("prices", "price", "parquet"), ("rain", "weather", "orc")):
+        frame = view(t, source)
+        path = scratch.folder(t.spark, name)
+        g.write_table(frame, path, "tahun", fmt=fmt)
+        table = f"{database}.{name}"
+        g.register_table(t.spark, table, frame.schema, path, ["tahun"], fmt=fmt)
+    return g.table_counts(t.spark, database)
+
+
 @query("load_optional_table", "SELECT n_name, CAST(1 AS INTEGER) AS found FROM nation")
 def _load_optional_table(t: Tables) -> DataFrame:
     t.nation.createOrReplaceTempView("granary_nations")
