@@ -18,6 +18,7 @@ from granary.operators.marts import (
     enrich,
     repeated_keys,
     summarize,
+    summarize_normalized,
     summarize_through,
     validate_mart,
 )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import named
-from granary.operators.cleaning import evaluate_once
+from granary.operators.cleaning import evaluate_once, normalize_key
 from granary.spec import Agg, Enrichment
 
 _FUNCTIONS = {
@@ -47,6 +47,24 @@ def _merged(agg: Agg, at: int) -> Column:
     return value.alias(agg.alias)
 
 
+def summarize_normalized(
+    df: DataFrame, column: str, keys: Sequence[str], aggs: Sequence[Agg]
+) -> DataFrame:
+    """:func:`summarize` with the key ``column`` normalised for joining.
+
+    Rows are aggregated by the stored spelling first, so that the normalising
+    runs once per spelling and not once per row; the few results are merged.
+    """
+    partial = df.groupBy(*map(named, keys)).agg(
+        *[measure for at, agg in enumerate(aggs) for measure in _partial(agg, at)]
+    )
+    return (
+        normalize_key(partial, column)
+        .groupBy(*map(named, keys))
+        .agg(*[_merged(agg, at) for at, agg in enumerate(aggs)])
+    )
+
+
 def summarize_through(
     df: DataFrame,
     dimension: DataFrame,

@@ -33,7 +33,7 @@ from granary.operators.cleaning import (
     rename_columns,
     standardize_name,
 )
-from granary.operators.marts import enrich, summarize
+from granary.operators.marts import enrich, summarize, summarize_normalized
 from granary.operators.repair import repair_rows, unpack_delimited
 from granary.operators.rules import drop_blank_rows, keep_valid, missing_columns
 from granary.spec import Agg, Enrichment, QualitySpec, RatioCheck, Rule, SourceSpec
@@ -532,14 +532,15 @@ def mart_enriched(
         if frame is None:
             continue
         frame = rename_columns(frame, {"nama_kabupaten": REGION})
-        on = KEYS
         if name in province_wide:
-            on, frame = [YEAR], frame.drop(REGION)
+            enrichments.append(Enrichment(name, frame.drop(REGION), [YEAR], aggs))
+        elif aggs:
+            summary = summarize_normalized(frame, REGION, KEYS, aggs)
+            enrichments.append(Enrichment(name, summary, KEYS, unique=True))
         else:
-            frame = normalize_key(frame, REGION)
-        single = unique_social and name == "sosial_ekonomi"
-        enrichments.append(Enrichment(name, frame, on, aggs, unique=single))
-    base = production_summary(normalize_key(production, REGION))
+            rows = normalize_key(frame, REGION)
+            enrichments.append(Enrichment(name, rows, KEYS, unique=unique_social))
+    base = summarize_normalized(production, REGION, KEYS, PRODUCTION_AGGS)
     joined = enrich(base, enrichments)
     with_ratio = add_ratio(
         joined,

@@ -55,6 +55,14 @@ def test_summarize_through_a_dimension(rows):
         g.summarize_through(facts, home, "link", KEYS, [Agg("count_distinct", "s", "k")])
 
 
+def test_summarize_normalized_merges_spellings(rows):
+    df = rows("region string, year int, v double", ("Kab. A", 1, 1.0), ("KAB A", 1, 3.0),
+              ("kab a", 1, 5.0), (None, 1, 7.0), ("kab a", 2, None))
+    aggs = [Agg("sum", "v", "total"), Agg("avg", "v", "mean"), Agg("count", "v", "n")]
+    direct = g.summarize(g.normalize_key(df, "region"), KEYS, aggs)
+    assert tuples(g.summarize_normalized(df, "region", KEYS, aggs)) == tuples(direct)
+
+
 def test_enrich_keeps_order_and_skips_absent_sources(base, rows):
     price = rows("region string, year int, p double", ("a", 1, 1.0), ("a", 1, 3.0))
     people = rows("region string, year int, n int", ("a", 1, 5), ("a", 1, 6), ("c", 1, 7))
