@@ -49,6 +49,18 @@ def write_table(
     writer.save(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system a path lies on, and the path for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def absolute_path(spark: SparkSession, path: str) -> str:
+    """The path a writer would use; a table would look below its database instead."""
+    system, target = _file_system(spark, path)
+    return system.makeQualified(target).toString()
+
+
 def register_table(
     spark: SparkSession,
     name: str,
@@ -78,7 +90,7 @@ def register_table(
     if partition_by:
         statement += f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})"
     if location:
-        statement += f" LOCATION {literal(location)}"
+        statement += f" LOCATION {literal(absolute_path(spark, location))}"
     spark.sql(statement)
     if partition_by and location:
         spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
@@ -115,8 +127,8 @@ def stage(df: DataFrame, folder: str) -> tuple[DataFrame, str]:
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library staged, on whatever file system it lies."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
 
 
 def run_summary(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -95,6 +95,34 @@ def test_repeating_source_equals_a_left_join(spark):
     assert tuples(out) == tuples(base.join(source, "k", "left").select("k", "v", "w"))
 
 
+def test_a_heavy_key_is_split(spark, tmp_path):
+    base = spark.range(2000).selectExpr("id AS k", "id AS v")
+    source = spark.range(0, 300_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 2000 END AS k", "id AS w", "uuid() AS pad"
+    )
+    source.write.parquet(str(tmp_path / "source"))
+    source = spark.read.parquet(str(tmp_path / "source"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        out = g.enrich(base, [Enrichment("s", source, ["k"])])
+        rows = out.groupBy().agg({"w": "count", "pad": "max"})
+        assert rows.collect()[0]["count(w)"] == 300_000
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_two_repeating_sources(base, rows):
     one = rows("region string, year int, x int", ("a", 1, 1), ("a", 1, 2))
     two = rows("region string, year int, y int", ("a", 1, 3), ("a", 1, 4), ("b", 1, 5))

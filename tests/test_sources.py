@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import tuples
 from pyspark.sql import types as T
@@ -112,6 +114,14 @@ def test_registered_table_follows_its_files(spark, years, tmp_path):
     spark.sql("DROP DATABASE shelf CASCADE")
 
 
+def test_relative_locations(spark, years, tmp_path):
+    path = os.path.relpath(tmp_path / "t", spark._jvm.System.getProperty("user.dir"))
+    g.write_table(years, path, "tahun")
+    g.register_table(spark, "nearby.years", years.schema, path, ["tahun"])
+    assert tuples(spark.table("nearby.years")) == tuples(years)
+    spark.sql("DROP DATABASE nearby CASCADE")
+
+
 def test_table_counts(spark, years, tmp_path):
     assert g.table_counts(spark, "default").columns == ["table", "rows"]
     for name in ("one", "two"):

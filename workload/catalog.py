@@ -19,6 +19,7 @@ from granary.functions import (
     year_from,
 )
 from granary.plans import presets
+from granary.plans.jobs import run_gold, run_silver
 from workload import scratch
 from workload.views import INDEX_HEADER, Tables, view, with_views
 
@@ -356,7 +357,7 @@ def _csv_roundtrip(t: Tables) -> DataFrame:
         F.col("o_totalprice").cast("decimal(12,2)").cast("string").alias("o_totalprice"),
         F.concat(F.lit("line one\n"), F.col("o_orderpriority")).alias("note"),
     )
-    path = scratch.write_csv(rows, "csv_roundtrip", ";")
+    path = scratch.write_csv(rows, scratch.folder(t.spark, "csv_roundtrip"), ";")
     return g.read_delimited(t.spark, path, ";")
 
 
@@ -366,7 +367,7 @@ def _csv_roundtrip(t: Tables) -> DataFrame:
 )
 def _csv_inferred_schema(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority")
-    path = scratch.write_csv(rows, "csv_inferred_schema", ",")
+    path = scratch.write_csv(rows, scratch.folder(t.spark, "csv_inferred_schema"), ",")
     return g.read_delimited(t.spark, path, infer_schema=True, multi_line=False)
 
 
@@ -379,7 +380,8 @@ def _csv_inferred_schema(t: Tables) -> DataFrame:
     ),
 )
 def _csv_source_spec(t: Tables) -> DataFrame:
-    path = scratch.write_csv(view(t, "raw_weather"), "csv_source_spec", ";")
+    path = scratch.folder(t.spark, "csv_source_spec")
+    scratch.write_csv(view(t, "raw_weather"), path, ";")
     spec = g.SourceSpec(
         "weather", ";", renames={"TANGGAL": "hari", "absent": "x"}, options={"nullValue": "-"}
     )
@@ -864,6 +866,22 @@ for _name, _sql in SILVER_SQL.items():
         return presets.DATASETS[DATASET_NAMES[name]].clean(view(t, f"raw_{name}"))
 
 
+def _raw_file(t: Tables, name: str, folder: str | None = None) -> str:
+    """The raw view as a delimited file in the layout of its source."""
+    raw = view(t, f"raw_{name}").withColumnsRenamed({"harga_pangan": "harga pangan"})
+    source = presets.SOURCES[DATASET_NAMES[name]]
+    path = f"{folder}/{source.name}.csv" if folder else scratch.folder(t.spark, source.name)
+    return scratch.write_csv(raw, path, source.separator)
+
+
+for _name, _sql in SILVER_SQL.items():
+
+    @query(f"csv_silver_{_name}", with_views(_sql, f"raw_{_name}"))
+    def _csv_silver(t: Tables, name=_name) -> DataFrame:
+        dataset = presets.DATASETS[DATASET_NAMES[name]]
+        return dataset.clean(g.read_source(t.spark, _raw_file(t, name), dataset.source))
+
+
 # ---------------------------------------------------------------- marts
 
 SCORE_SQL = (
@@ -955,6 +973,49 @@ def _mart_enriched_partial(t: Tables) -> DataFrame:
     return rounded(_mart(t, PARTIAL), *PARTIAL_MEASURES, "produksi_per_kapita")
 
 
+def silver_views(*names: str) -> str:
+    """Common table expressions of the raw views and, under plain names, their cleaned rows."""
+    return with_views("", *[f"raw_{name}" for name in names]) + ", ".join(
+        f", {name} AS ({SILVER_SQL[name]})" for name in names
+    ).replace(", , ", ", ")
+
+
+@query(
+    "mart_indicators_from_raw",
+    silver_views("production")
+    + " "
+    + with_rounding(
+        scored_sql(grouped_sql("production"), "total_produksi / 1000"),
+        [*measures("production"), "produksi_per_kapita"],
+    ),
+)
+def _mart_indicators_from_raw(t: Tables) -> DataFrame:
+    mart = presets.mart_indicators(presets.clean_production(view(t, "raw_production")))
+    return rounded(mart, *measures("production"), "produksi_per_kapita")
+
+
+@query(
+    "run_silver_and_gold",
+    silver_views("production", *ALL_SOURCES)
+    + " "
+    + with_rounding(
+        scored_sql(lower_keys(joined_sql(*ALL_SOURCES)), PER_CAPITA_SQL),
+        [*MART_MEASURES, "produksi_per_kapita"],
+    ),
+)
+def _run_silver_and_gold(t: Tables) -> DataFrame:
+    """From six raw files to the registered mart, as the jobs do it."""
+    folder = scratch.folder(t.spark, "run")
+    for name in DATASET_NAMES:
+        _raw_file(t, name, f"{folder}/raw")
+    suffix = uuid.uuid4().hex[:8]
+    silver, gold = f"granary_silver_{suffix}", f"granary_gold_{suffix}"
+    run_silver(t.spark, f"{folder}/raw", f"{folder}/silver", database=silver)
+    run_gold(t.spark, f"{folder}/gold", gold, silver)
+    mart = t.spark.table(f"{gold}.ketahanan_pangan_enriched")
+    return rounded(mart, *MART_MEASURES, "produksi_per_kapita")
+
+
 @query(
     "score_threshold",
     with_views(

@@ -32,8 +32,7 @@ def table(name: str) -> str:
     return f"granary_scratch.{name}_{uuid.uuid4().hex[:8]}"
 
 
-def write_csv(df: DataFrame, name: str, separator: str) -> str:
-    path = folder(df.sparkSession, name)
+def write_csv(df: DataFrame, path: str, separator: str) -> str:
     writer = df.write.option("header", True).option("sep", separator)
     writer.option("quote", '"').option("escape", '"').csv(path)
     return path

@@ -198,7 +198,7 @@ VIEWS: dict[str, View] = {
         lambda t: t.customer,
         "customer",
         {
-            "Kabupaten/Kota": "'Kab. Region  ' || cast(c_nationkey as string)",
+            "Kabupaten/Kota": "'Kab.  North-' || cast(c_nationkey as string)",
             "Tahun": "CASE WHEN c_custkey % 11 = 0 THEN ' ' WHEN c_custkey % 37 = 0 THEN NULL "
             "ELSE cast(2005 + c_custkey % 7 as string) END",
             "Jumlah_Penduduk": "CASE WHEN c_custkey % 13 = 0 THEN '-' "
@@ -213,7 +213,7 @@ VIEWS: dict[str, View] = {
         {
             "Tahun": "cast(year(o_orderdate) + 10 as string)",
             "Kabupaten_Kota": "CASE WHEN o_orderkey % 17 = 0 THEN ' ** ' "
-            "ELSE 'Kota-' || cast(o_custkey % 25 as string) END",
+            "ELSE 'Kab North-' || cast(o_custkey % 25 as string) END",
             "Komoditas": "o_orderpriority",
             "Konsumsi Pangan": "CASE WHEN o_orderkey % 23 = 0 THEN '1.234,5' "
             "WHEN o_orderkey % 29 = 0 THEN '-' ELSE "
@@ -224,9 +224,9 @@ VIEWS: dict[str, View] = {
         lambda t: t.part,
         "part",
         {
-            INDEX_HEADER: "cast(p_partkey as string) || ';18;Prov;Kab. ' || "
+            INDEX_HEADER: "cast(p_partkey as string) || ';18;Prov;Kab. North-' || "
             "cast(p_partkey % 25 as string) || ';18;Kabupaten' || CASE WHEN p_partkey % 13 = 0 "
-            "THEN '' ELSE ';' || cast(2018 + p_partkey % 7 as string) || ';' || "
+            "THEN '' ELSE ';' || cast(2005 + p_partkey % 7 as string) || ';' || "
             "cast(p_partkey % 105 as string) || '.5;' || CASE WHEN p_partkey % 6 = 0 THEN '#N/A' "
             "ELSE '3' END || ';' || cast(p_size % 8 as string) END",
         },
