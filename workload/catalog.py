@@ -994,14 +994,20 @@ def _mart_indicators_from_raw(t: Tables) -> DataFrame:
     return rounded(mart, *measures("production"), "produksi_per_kapita")
 
 
+# Sums of amounts in cents are compared in cents; at this size doubles hold no more.
+CENTS = ["total_konsumsi_per_kapita"]
+FINE = [name for name in [*MART_MEASURES, "produksi_per_kapita"] if name not in CENTS]
+
+
 @query(
     "run_silver_and_gold",
     silver_views("production", *ALL_SOURCES)
-    + " "
+    + f" SELECT * REPLACE ({rounded_sql(*CENTS, digits=2)}) FROM ("
     + with_rounding(
         scored_sql(lower_keys(joined_sql(*ALL_SOURCES)), PER_CAPITA_SQL),
-        [*MART_MEASURES, "produksi_per_kapita"],
-    ),
+        FINE,
+    )
+    + ")",
 )
 def _run_silver_and_gold(t: Tables) -> DataFrame:
     """From six raw files to the registered mart, as the jobs do it."""
@@ -1013,7 +1019,7 @@ def _run_silver_and_gold(t: Tables) -> DataFrame:
     run_silver(t.spark, f"{folder}/raw", f"{folder}/silver", database=silver)
     run_gold(t.spark, f"{folder}/gold", gold, silver)
     mart = t.spark.table(f"{gold}.ketahanan_pangan_enriched")
-    return rounded(mart, *MART_MEASURES, "produksi_per_kapita")
+    return rounded(rounded(mart, *FINE), *CENTS, digits=2)
 
 
 @query(

@@ -168,7 +168,7 @@ VIEWS: dict[str, View] = {
             "cast(cast(l_quantity as decimal(12,2)) as string) END",
             "luas_panen": "cast(cast(floor(l_extendedprice / 10000) as bigint) as string)",
             "produktivitas": "CASE WHEN l_partkey % 29 = 0 THEN '' ELSE "
-            "cast(cast(l_tax as decimal(12,2)) as string) END",
+            "cast(l_orderkey % 97 as string) END",
             "tahun": "CASE WHEN l_orderkey % 31 = 0 THEN '1899' WHEN l_orderkey % 37 = 0 THEN 'n.a.' "
             "WHEN l_orderkey % 41 = 0 THEN cast(year(l_shipdate) + 10 as string) || '.0' "
             "ELSE cast(year(l_shipdate) + 10 as string) END",
