@@ -7,6 +7,7 @@ import pytest
 pytest.importorskip("duckdb")
 import __spark_entry__ as entry  # noqa: E402
 import check_oracle  # noqa: E402
+from workload import catalog  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no driver tables")
@@ -17,7 +18,7 @@ def connection():
     return check_oracle.database(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, connection, name):
     verdict, _ = check_oracle.compare(spark, connection, FOLDER, name)
     assert not verdict.startswith("FAIL"), verdict
@@ -28,5 +29,5 @@ def test_entry(spark):
 
 
 def test_every_query_but_the_approximate_one_has_sql():
-    without = set(entry.queries()) - set(entry.oracle_sql())
+    without = set(catalog.QUERIES) - set(entry.oracle_sql())
     assert without == {"dq_outliers_iqr_approximate"}
