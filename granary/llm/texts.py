@@ -1,6 +1,6 @@
 """Whole texts of Arrow batches as flat byte arrays, and hashes of spans in them.
 
-A batch is cut into runs of rows of about a megabyte of text, so that a Python
+A batch is cut into runs of rows of about 256 KB of text, so that a Python
 worker holds small arrays whatever the batch size; a longer text is a run of its own.
 """
 
@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 WORD = 2**64
 
@@ -86,7 +86,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, for at least so many places."""
-    return _powers(1 << max(21, int(size).bit_length()))
+    return _powers(1 << max(19, int(size).bit_length()))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
