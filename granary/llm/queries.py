@@ -6,20 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import op1_mixing
+from granary.llm import op1_mixing, op2_language, op4_toxicity, op6_quality, op9_packing
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = op1_mixing.mix_sources(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs")
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return op2_language.identify(table(spark, folder, "documents"))
+
+
+def op4_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    return op4_toxicity.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return op6_quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return op9_packing.pack(table(spark, folder, "documents"), word_tokenizer())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": op1_mixing_sources,
+    "op2_language_id": op2_language_id,
+    "op4_toxicity_chain": op4_toxicity_chain,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {}
