@@ -187,13 +187,14 @@ def predict(documents: DataFrame, chain: Chain | None, categories: Sequence[str]
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(apply, ddl)
 
 
-def assess(documents: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, least: float = 0.5) -> DataFrame:
+def assess(documents: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, least: float = 0.1) -> DataFrame:
     """Chances of the categories of `labels`, junk first and toxic after it, for all documents.
 
     Learns from labelled documents outside one part of ids. The label table names two
     categories, low quality and toxic, so the chain has two links. Returns doc_id,
     held_out, p_junk, score (of toxic), predicted. Labels repeated for a document count
-    once, as the worst of them; rows with a null label do not teach.
+    once, as the worst of them; rows with a null label do not teach. A document is
+    predicted toxic from `least` on, which is about the share of toxic documents.
     """
     categories = ("junk", "toxic")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())

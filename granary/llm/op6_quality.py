@@ -64,6 +64,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     words = np.diff(bounds)
     owner = np.repeat(np.arange(n), words)
     triples, triple_owner = texts.shingles(hashes, bounds, 3)
+    again = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
     line_starts, line_ends, line_bounds = texts.spans(~_NEWLINE[data], offsets)
     lines = np.diff(line_bounds)
     line_hashes = texts.span_hashes(total, line_starts, line_ends)
@@ -95,6 +96,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             ratio(_distinct(owner, hashes, n), words),
             ratio(_distinct(triple_owner, triples, n), np.bincount(triple_owner, minlength=n)),
             ratio(_distinct(line_owner, line_hashes, n), lines),
+            ratio(np.bincount(owner[1:][again], minlength=n), words),
             ratio(np.bincount(owner, weights=wordless, minlength=n), words),
             ratio(np.bincount(owner, weights=odd_end, minlength=n), words),
             ratio(np.bincount(owner, weights=loud_end, minlength=n), words),
