@@ -25,54 +25,82 @@ from granary.llm import texts
 # Pieces of one length are ranked in so many parts, each by its own task.
 PARTS = 64
 # Strings between white space whose ids a worker remembers at most.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
+
+
+_PUNCTUATION = np.zeros(256, dtype=bool)
+_PUNCTUATION[[code for code in range(33, 127) if not chr(code).isalnum() and chr(code) != "'"]] = True
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+
+
+def separated(data: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Texts lower-cased in ASCII, with a blank wherever ASCII letters and punctuation meet.
+
+    The apostrophe does not count, as it may begin an ending of its own.
+    """
+    letter, sign = _ASCII_LETTER[data], _PUNCTUATION[data]
+    meets = np.flatnonzero((letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])) + 1
+    return np.insert(texts.LOWER[data], meets, 32).tobytes(), offsets + np.searchsorted(meets, offsets)
 
 
 class Encoder:
     """Ids of whole texts, as bytes of little-endian 32-bit numbers.
 
-    It serves tokenizers that split at white space and drop it: the ids of a text are
-    those of the strings between its white space, one after the other. Each distinct
-    string is encoded once and remembered.
+    It serves tokenizers that lower-case, and split at white space, which they drop, and
+    between letters and other signs: the ids of a text are then those of its strings one
+    after the other. Each distinct string is encoded once and remembered.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.memory: dict[bytes, bytes] = {}
-        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values() if token.special]
-        # A special token between two strings marks in the ids where one ends.
-        self.mark = special[-1] if special else None
-        self.mark_id = self.tokenizer.token_to_id(self.mark) if special else None
-
-    def _encode(self, strings: list[bytes]) -> list[bytes]:
-        decoded = [held.decode("utf-8", "replace") for held in strings]
-        if self.mark is None:
-            return [self.pack(e.ids) for e in self.tokenizer.encode_batch(decoded, add_special_tokens=False)]
-        ids = np.array(self.tokenizer.encode(self.mark.join(decoded), add_special_tokens=False).ids, dtype="<u4")
-        cuts = np.flatnonzero(ids == self.mark_id)
-        starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-        return [ids[a:b].tobytes() for a, b in zip(starts, ends)]
-
-    @staticmethod
-    def pack(ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def encode_all(self, held: list[bytes]) -> Iterator[bytes]:
-        """Ids of each text."""
-        split = [text.split() for text in held]
-        missing = list({string for strings in split for string in strings if string not in self.memory})
-        marked = [string for string in missing if self.mark is not None and b"<" in string]
-        plain = sorted(set(missing).difference(marked))
-        known = self.memory
-        if len(known) + len(missing) > REMEMBERED:
-            known = dict(known)
-        found = self._encode(plain) if plain else []
-        known.update(zip(plain, found))
-        for string in marked:
-            known[string] = self.pack(self.tokenizer.encode(string.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        for strings in split:
-            yield b"".join(map(known.__getitem__, strings))
+        self.room = remembered
+        self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        # A word's last id is one that stands at word ends only.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[place for token, place in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _whole(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _encode(self, strings: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct strings; plain words are encoded many at a time."""
+        decoded = {string: string.decode("utf-8", "replace") for string in strings}
+        plain = [string for string, word in decoded.items() if word.isalpha()]
+        found = {string: self._whole(string) for string, word in decoded.items() if not word.isalpha()}
+        lines = [" ".join(decoded[string] for string in plain[at : at + 100]) for at in range(0, len(plain), 100)]
+        encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.array([i for line in encoded for i in line.ids], dtype="<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(plain):
+            return found | {string: self._whole(string) for string in plain}
+        held, bounds = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        found.update((string, held[a:b]) for string, a, b in zip(plain, bounds, bounds[1:]))
+        return found
+
+    def encode_all(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of each text; null counts as empty."""
+        data, offsets = texts.flat(column)
+        held, bounds = separated(data, offsets)
+        raw = data.tobytes()
+        split = [held[a:b].split() for a, b in zip(bounds[:-1], bounds[1:])]
+        get = self.memory.get
+        found = [list(map(get, strings)) for strings in split]
+        missing = {string for strings, ids in zip(split, found) if None in ids for string, own in zip(strings, ids) if own is None}
+        fresh = self._encode(sorted(missing)) if missing else {}
+        for strings, ids, a, b in zip(split, found, offsets[:-1], offsets[1:]):
+            text = raw[a:b]
+            if any(token in text for token in self.special):
+                yield self._whole(text)
+            elif None in ids:
+                yield b"".join([fresh[string] if own is None else own for string, own in zip(strings, ids)])
+            else:
+                yield b"".join(ids)
+        if len(self.memory) < self.room:
+            self.memory.update(fresh)
 
 
 @lru_cache(maxsize=2)
@@ -92,9 +120,8 @@ def cut(documents: DataFrame, path: str, capacity: int) -> DataFrame:
         own = encoder(path)
         width = 4 * capacity
         for batch in texts.runs(batches):
-            held = batch.column("text").cast(pa.binary()).to_pylist()
             found: list[tuple] = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode_all([h or b"" for h in held])):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode_all(batch.column("text"))):
                 ids += b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
