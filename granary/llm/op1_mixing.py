@@ -23,7 +23,7 @@ KEY_RANGES = 4096
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _MEASURED = pa.schema(
-    [("doc_id", pa.int64()), ("source", pa.string()), ("size", pa.int64()), ("weight", pa.float64()), ("draw", pa.int64())]
+    [("doc_id", pa.int64()), ("source", pa.string()), ("row", pa.int64()), ("size", pa.int64()), ("weight", pa.float64()), ("draw", pa.int64())]
 )
 
 
@@ -46,6 +46,7 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _MEASURED,
             doc_id=batch.column("doc_id"),
             source=batch.column("source"),
+            row=batch.column("row"),
             size=np.diff(bounds),
             weight=np.maximum(0.1, letters / np.maximum(visible, 1)),
             draw=draw.view(np.int64),
@@ -89,6 +90,10 @@ def same_source(left: str, right: str) -> Column:
     return F.col(f"{left}.source").eqNullSafe(F.col(f"{right}.source"))
 
 
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "source", "text")
+
+
 def mix_sources(
     documents: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
@@ -97,16 +102,16 @@ def mix_sources(
 ) -> DataFrame:
     """What the mix takes of each document: one row per input row.
 
-    Columns: doc_id, source, size, weight, source_size, target, epochs, taken. `taken`
-    is `epochs * size`, plus `size` if the document is among those that fill the rest
+    Columns: doc_id, source, row (a hash of doc_id, source and text), size, weight,
+    source_size, target, epochs, taken. `taken` is `epochs * size`, plus `size` if the document is among those that fill the rest
     of its source's budget. Null and empty texts have size 0 and take 0. A null source
     is a source of its own, the last. Repeated rows are documents of their own; among
     rows alike in all columns it does not matter which is taken. An empty table gives
     an empty result. Extra columns are ignored. Rows with null doc_id keep it.
     """
-    schema = "doc_id long, source string, size long, weight double, draw long"
-    bounded = documents.select(F.col("doc_id").cast("long"), "source", "text")
-    measured = bounded.mapInArrow(measure, schema)
+    schema = "doc_id long, source string, row long, size long, weight double, draw long"
+    own = documents.select(F.col("doc_id").cast("long"), "source", "text", row_key().alias("row"))
+    measured = own.mapInArrow(measure, schema)
     uniform = (F.shiftrightunsigned("draw", 11).cast("double") + 0.5) / F.lit(float(2**53))
     key = -F.log(uniform) / F.col("weight")
     keyed = texts.checkpointed(
@@ -132,6 +137,7 @@ def mix_sources(
     return joined.select(
         "doc_id",
         "k.source",
+        "row",
         "size",
         "weight",
         "source_size",
@@ -139,3 +145,16 @@ def mix_sources(
         F.col("epochs").cast("int").alias("epochs"),
         (F.col("epochs") * F.col("size") + F.when(fills, F.col("size")).otherwise(0)).cast("long").alias("taken"),
     )
+
+
+def mixed_documents(documents: DataFrame) -> DataFrame:
+    """The documents in all their columns, each as often as the mix takes it.
+
+    Documents the mix does not take go, and with them those without words.
+    """
+    times = F.sum(F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(0)).cast("int")
+    taken = mix_sources(documents).groupBy("row").agg(times.alias("times")).where(F.col("times") > 0)
+    whole = documents.select(row_key().alias("row"), F.struct("*").alias("document"))
+    once = whole.join(taken, "row").dropDuplicates(["row"])
+    copies = once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return copies.select("document.*")

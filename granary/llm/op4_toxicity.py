@@ -66,8 +66,9 @@ class Chain:
 
 
 def chance(present: np.ndarray, earlier: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Chances of a category, without the last digits, which depend on a row's place in its batch."""
     k = present.shape[1]
-    return 1 / (1 + np.exp(-np.clip(present @ weights[:k] + earlier @ weights[k:-1] + weights[-1], -30, 30)))
+    return np.round(1 / (1 + np.exp(-np.clip(present @ weights[:k] + earlier @ weights[k:-1] + weights[-1], -30, 30))), 9)
 
 
 def logistic(present: np.ndarray, earlier: np.ndarray, label: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
@@ -115,18 +116,23 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield texts.rows(_FOUND, token=distinct.view(np.int64), kind=np.full(len(n), kind, dtype=np.int32), n=n)
 
 
-def fit(labelled: DataFrame, categories: Sequence[str], sample_docs: int = 20_000, keep: int = 128, least: float = 30.0) -> Chain | None:
-    """Learn from doc_id, text and a 0/1 column per category, on about `sample_docs` rows.
+def fit(
+    documents: DataFrame, labels: DataFrame, categories: Sequence[str], sample_docs: int = 20_000, keep: int = 128, least: float = 30.0
+) -> Chain | None:
+    """Learn from doc_id and text, and doc_id and a 0/1 column per category, on about `sample_docs` labels.
 
-    Tokens are kept by their chi-square with a category: at most `keep` per category,
-    and none below `least`, where chance alone would bring tokens in.
+    The sampled labels go to the documents, not the other way round: their number is
+    bounded, and so is what is broadcast. Tokens are kept by their chi-square with a
+    category: at most `keep` per category, and none below `least`, where chance alone
+    would bring tokens in.
     """
-    n = labelled.count()
+    n = labels.count()
     if not n:
         return None
     kind = sum((F.col(name).cast("int") * (1 << k) for k, name in enumerate(categories)), F.lit(0))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = labelled.where(draw < min(1.0, sample_docs / n)).select("doc_id", "text", kind.alias("kind"))
+    sampled = labels.where(draw < min(1.0, sample_docs / n)).select("doc_id", kind.alias("kind"))
+    sample = documents.select("doc_id", "text").join(F.broadcast(texts.checkpointed(sampled)), "doc_id")
     there = {row["kind"]: row["n"] for row in sample.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     rows = sum(there.values())
     counted = sample.mapInArrow(count_tokens, "token long, kind int, n long").groupBy("token")
@@ -202,8 +208,7 @@ def assess(documents: DataFrame, labels: DataFrame, parts: int = 5, part: int =
         F.max(1 - F.col("quality")).alias("junk"), F.max("toxic").alias("toxic")
     )
     hidden = held_out(F.col("doc_id"), parts, part)
-    own = documents.select(F.col("doc_id").cast("long"), "text")
-    chain = fit(own.where(~hidden).join(worst, "doc_id"), categories)
+    chain = fit(documents.select(F.col("doc_id").cast("long"), "text"), worst.where(~hidden), categories)
     return predict(documents, chain, categories).select(
         "doc_id",
         hidden.alias("held_out"),

@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from granary.llm import op1_mixing, op2_language, op4_toxicity, op6_quality, op9_packing
+from pyspark.sql import functions as F
+
+from granary.llm import (
+    op1_mixing,
+    op10_neighbours,
+    op2_language,
+    op3_ngram_join,
+    op4_toxicity,
+    op5_suffix_dedup,
+    op6_quality,
+    op7_lines,
+    op8_embeddings,
+    op9_packing,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,24 +40,110 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return op2_language.identify(table(spark, folder, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return op3_ngram_join.join(table(spark, folder, "documents"), size=3, per_cent=90)
+
+
 def op4_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
     return op4_toxicity.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = op5_suffix_dedup.remove_repeats(table(spark, folder, "documents"), size=200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return op6_quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = op7_lines.dedup_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return op8_embeddings.deduplicate(table(spark, folder, "embeddings"), least=0.95)
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return op9_packing.pack(table(spark, folder, "documents"), word_tokenizer())
 
 
+def op10_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    return op10_neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_language_id": op2_language_id,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_toxicity_chain": op4_toxicity_chain,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_learned_partitions": op10_learned_partitions,
 }
 
-ORACLE: dict[str, str] = {}
+_OP7 = """
+WITH cells AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM cells
+), repeated AS (
+  SELECT key, min(doc_id) AS first_doc FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), judged AS (
+  SELECT k.*, coalesce(r.first_doc <> k.doc_id, false) AS dropped
+  FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+_OP3 = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                      WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
+                 END AS grams
+  FROM split
+), sized AS (
+  SELECT doc_id, CAST(len(grams) AS BIGINT) AS n, md5(array_to_string(list_sort(grams), ' | ')) AS class, grams FROM sets
+), classes AS (
+  SELECT class, min(doc_id) AS rep, any_value(n) AS n, any_value(grams) AS grams FROM sized WHERE n > 0 GROUP BY class
+), cells AS (SELECT rep, n, unnest(grams) AS gram FROM classes),
+frequent AS (SELECT gram, count(*) AS c FROM cells GROUP BY gram HAVING count(*) > 1),
+overlaps AS (
+  SELECT a.rep AS x, b.rep AS y, a.n AS nx, b.n AS ny, count(*) AS o
+  FROM cells a JOIN frequent USING (gram) JOIN cells b USING (gram)
+  WHERE a.rep < b.rep AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY ALL
+), links AS (
+  SELECT x, y FROM overlaps WHERE 100 * o >= 90 * (nx + ny - o)
+), edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT rep AS node, rep AS seen FROM classes
+  UNION
+  SELECT r.node, e.y FROM reach r JOIN edges e ON r.seen = e.x
+), roots AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT s.doc_id, s.n AS n_shingles, coalesce(r.component, s.doc_id) AS component_id
+FROM sized s LEFT JOIN classes c ON s.class = c.class AND s.n > 0 LEFT JOIN roots r ON c.rep = r.node
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_ngram_jaccard_join": _OP3,
+    "op7_line_dedup": _OP7,
+}

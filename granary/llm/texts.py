@@ -15,7 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 RUN_BYTES = 1 << 18
-BASE = 0x9E3779B97F4A7C15 | 1
+BASE = 0x9E3779B97F4A7C15
+SECOND_BASE = 0xC2B2AE3D27D4EB4F
 WORD = 2**64
 
 # White space between words: blank, and the bytes 9 to 13.
@@ -76,17 +77,17 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-@lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    power = np.full(size, BASE, dtype=np.uint64)
-    inverse = np.full(size, pow(BASE, -1, WORD), dtype=np.uint64)
+@lru_cache(maxsize=2)
+def _powers(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    power = np.full(size, base, dtype=np.uint64)
+    inverse = np.full(size, pow(base, -1, WORD), dtype=np.uint64)
     power[0] = inverse[0] = 1
     return np.cumprod(power, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
 
 
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(size: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, for at least so many places."""
-    return _powers(1 << max(19, int(size).bit_length()))
+    return _powers(1 << max(19, int(size).bit_length()), base)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -98,17 +99,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def prefix_sums(codes: np.ndarray) -> np.ndarray:
+def prefix_sums(codes: np.ndarray, base: int = BASE) -> np.ndarray:
     """Running sums from which the hash of any span of codes follows."""
-    power, _ = powers(len(codes) + 1)
+    power, _ = powers(len(codes) + 1, base)
     total = np.zeros(len(codes) + 1, dtype=np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power[: len(codes)], out=total[1:])
     return total
 
 
-def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
     """Hashes of spans; equal spans have equal hashes wherever they stand."""
-    _, inverse = powers(len(total))
+    _, inverse = powers(len(total), base)
     return mix((total[ends] - total[starts]) * inverse[starts])
 
 
@@ -147,3 +148,35 @@ def rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) else pa.array(c, schema.field(k).type) for k, c in ((n, columns[n]) for n in schema.names)],
         schema=schema,
     )
+
+
+def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its count, one stretch after the other."""
+    return np.arange(int(counts.sum())) + np.repeat(starts - np.cumsum(counts) + counts, counts)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows alike in the integer keys, from sorted batches; a run is held whole."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(key).to_numpy(zero_copy_only=False) for key in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+        first = tuple(column[0] for column in columns)
+        new[0] = last is not None and first != last
+        last = tuple(column[-1] for column in columns)
+        cuts = np.flatnonzero(new).tolist()
+        at = 0
+        for cut in cuts:
+            if cut > at:
+                held.append(batch.slice(at, cut - at))
+            if held:
+                yield pa.Table.from_batches(held)
+            held, at = [], cut
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held)
