@@ -5,12 +5,9 @@ Each stage takes all that the one before kept, written as Parquet and read again
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import op1_mixing, op3_ngram_join, op6_quality, op7_lines, op9_packing
+from granary.llm import op1_mixing, op3_ngram_join, op6_quality, op7_lines, op9_packing, texts
 from granary.llm.queries import table, word_tokenizer
 
 
@@ -54,15 +51,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder.
 
-    Rows between stages are written to the folder in `spark.checkpoint.dir`, which all
-    executors share; a temporary one serves only where that is unset.
+    Rows between stages are written to the folder that all executors share.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="granary-pipeline-")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for place, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if place < len(STAGES) - 1:
-            docs.write.parquet(f"{folder}/{place}")
-            docs = spark.read.parquet(f"{folder}/{place}")
+            docs = texts.written(docs)
     return docs

@@ -45,7 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
     and contracts the edges; at least half of the nodes that still have edges vanish, so
     that the rounds grow with the logarithm of the nodes. Nothing is collected.
     """
-    edges = texts.checkpointed(
+    edges = texts.written(
         edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
     )
     steps = []
@@ -57,12 +57,12 @@ def components(edges: DataFrame) -> DataFrame:
         for _ in range(2):
             higher = step.select(F.col("node").alias("up"), F.col("up").alias("higher"))
             step = step.join(higher, "up").select("node", F.col("higher").alias("up"))
-        step = texts.checkpointed(step)
+        step = texts.written(step)
         steps.append(step)
         left = step.select(F.col("node").alias("a"), F.col("up").alias("x"))
         right = step.select(F.col("node").alias("b"), F.col("up").alias("y"))
         moved = edges.join(left, "a").join(right, "b")
-        edges = texts.checkpointed(
+        edges = texts.written(
             moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct()
         )
     if not steps:

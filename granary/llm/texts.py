@@ -6,13 +6,14 @@ worker holds small arrays whatever the batch size; a longer text is a run of its
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 RUN_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15
@@ -27,23 +28,39 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """The rows, cut off from their lineage, in the folder all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, which the session names in `spark.checkpoint.dir`.
 
-    The folder is the session's `spark.checkpoint.dir`; a temporary one serves only
-    where that is unset, as in tests on one machine.
+    A temporary one serves only where that is unset, as in tests on one machine.
     """
-    spark = frame.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="granary-checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        import tempfile
+
+        folder = tempfile.mkdtemp(prefix="granary-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The rows, cut off from their lineage; Spark removes the files once they are out of use."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint()
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, read again.
+
+    Unlike a checkpoint the table is as large to the optimizer as it is, not as what it was
+    made from; a loop of joins needs that. Its files stay, as checkpoints of a lost driver do.
+    """
+    path = f"{shared_folder(frame.sparkSession)}/granary-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def runs(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches, sliced into runs of rows with about RUN_BYTES bytes of text each."""
     for batch in batches:
