@@ -23,6 +23,7 @@ from granary.operators.marts import (
     validate_mart,
 )
 from granary.operators.quality import (
+    SCORED_CHECKS,
     assess,
     check_schema,
     completeness,

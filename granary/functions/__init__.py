@@ -3,12 +3,19 @@
 from granary.functions.bands import label_by_threshold, score_by_threshold
 from granary.functions.dates import date_from, year_from
 from granary.functions.names import literal, named, quoted
-from granary.functions.numbers import guarded_ratio, parse_integer, parse_number, ratio
+from granary.functions.numbers import (
+    guarded_ratio,
+    integer_sql,
+    parse_integer,
+    parse_number,
+    ratio,
+)
 from granary.functions.text import join_key, standard_name, strip_symbols, tidy_text
 
 __all__ = [
     "date_from",
     "guarded_ratio",
+    "integer_sql",
     "join_key",
     "label_by_threshold",
     "literal",

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from granary.functions.names import quoted
+
 
 def parse_number(
     text: Column,
@@ -29,9 +31,23 @@ def parse_number(
 
 
 def parse_integer(text: Column, target: str = "int") -> Column:
-    """Text to an integer type; a decimal fraction is cut off, as in "2018.0"."""
-    whole = F.regexp_replace(F.trim(text), r"^([+-]?\d+)\.\d*$", "$1")
-    return F.coalesce(text.try_cast(target), whole.try_cast(target))
+    """Text to an integer type; a decimal fraction is cut off, as in "2018.0".
+
+    One attempt serves both forms: what reads as a decimal is cut off at the point. Text
+    with an exponent, a type suffix, "NaN" or "Infinity" is no integer.
+    """
+    plain = F.trim(text)
+    whole = F.substring_index(plain, ".", 1)
+    fraction = F.substring(plain, F.length(whole) + 2, F.length(plain))
+    return F.when(F.translate(fraction, "0123456789", "") == "", whole.try_cast(target))
+
+
+def integer_sql(name: str, target: str = "int") -> str:
+    """:func:`parse_integer` of a column, as SQL text."""
+    plain = f"trim({quoted(name)})"
+    whole = f"substring_index({plain}, '.', 1)"
+    fraction = f"substring({plain}, length({whole}) + 2, length({plain}))"
+    return f"CASE WHEN translate({fraction}, '0123456789', '') = '' THEN try_cast({whole} AS {target}) END"
 
 
 def ratio(numerator: Column, denominator: Column, digits: int | None = None) -> Column:

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.functions import label_by_threshold, literal, named, quoted
+from granary.functions import integer_sql, label_by_threshold, literal, named, parse_integer, quoted
 from granary.operators.cleaning import evaluate_once, marker_values
 from granary.operators.quantiles import (
     approximate_quantiles,
@@ -40,6 +41,9 @@ INVALID_SHARE_LIMIT = 0.05
 ISSUE_LIMIT = 2
 ISSUE_PENALTY = 10
 
+# Characters by which listed values with equal counts are chosen before their texts are read.
+HEAD = 256
+
 
 @dataclass
 class Metric:
@@ -80,7 +84,13 @@ def _tidy(one_row: DataFrame, dataset: str, metrics: Sequence[Metric]) -> DataFr
 
 
 def run_probes(df: DataFrame, dataset: str, probes: Sequence[Probe]) -> DataFrame:
-    """All metrics of all probes from a single aggregation."""
+    """All metrics of all probes from a single aggregation.
+
+    Probes that measure nothing, such as column types, read no data.
+    """
+    metrics = [m for probe in probes for m in probe.metrics]
+    if not any(probe.measures for probe in probes) and not any("rows_" in m.value for m in metrics):
+        return _tidy(df.sparkSession.range(1), dataset, metrics)
     measures = {"rows_": "count(*)"}
     for probe in probes:
         measures.update(probe.measures)
@@ -154,7 +164,7 @@ def validity_probe(df: DataFrame, spec: QualitySpec) -> Probe:
             count(column.name, "negative_count", f"negative_{at}", f"{cell} < 0")
         if column.name == spec.year_column:
             first, last = spec.year_range
-            year = cell if numeric else f"try_cast({cell} AS INT)"
+            year = cell if numeric else integer_sql(column.name)
             outside = f"{year} NOT BETWEEN {first} AND {last}"
             count(column.name, "year_out_of_range", f"year_{at}", outside)
     cells = f"(rows_ * {len(df.columns)})"
@@ -224,14 +234,19 @@ def outlier_probe(
 # Checks that need only aggregates
 
 
-def check_schema(df: DataFrame, expected: Sequence[str], dataset: str) -> DataFrame:
-    """Missing and extra columns; reads no data."""
+def schema_probe(df: DataFrame, expected: Sequence[str]) -> Probe:
+    """Missing and extra columns."""
     missing = [name for name in expected if name not in df.columns]
     extra = [name for name in df.columns if name not in expected]
     metrics = [Metric("schema", name, "missing", "1") for name in missing]
     metrics += [Metric("schema", name, "extra", "1") for name in extra]
     metrics.append(Metric("schema", ALL_COLUMNS, "schema_valid", "0" if missing else "1"))
-    return _tidy(df.sparkSession.range(1), dataset, metrics)
+    return Probe(metrics=metrics)
+
+
+def check_schema(df: DataFrame, expected: Sequence[str], dataset: str) -> DataFrame:
+    """Missing and extra columns; reads no data."""
+    return run_probes(df, dataset, [schema_probe(df, expected)])
 
 
 def completeness(df: DataFrame, dataset: str) -> DataFrame:
@@ -321,7 +336,7 @@ def _collapse(
     merges = {"_n": F.sum, "_bad": F.sum}
     if year:
         number = df.schema[year].dataType
-        value = named(year) if isinstance(number, T.NumericType) else named(year).try_cast("int")
+        value = named(year) if isinstance(number, T.NumericType) else parse_integer(named(year))
         measured |= {"_first": value, "_last": value}
         merges |= {"_first": F.min, "_last": F.max}
     names = [name for name in wanted if name in keys or name == region]
@@ -472,40 +487,56 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def _cell_counts(df: DataFrame) -> DataFrame:
-    """(column, whole, real, text, rows) for every value of every column.
+    """(column, a, b, head, rows) for every value of every column; NULL has NULL for both.
 
-    Like :func:`value_counts` without turning numbers into text: each value
-    stands in the one of the three fields that holds its type exactly.
+    Whole numbers stand in ``a`` as they are. Other values stand as a 128-bit hash, so
+    that long text is not shuffled; ``head`` is the beginning of a text.
     """
     cells = []
     for column in df.schema.fields:
         cell, kind = named(column.name), column.dataType
-        whole, real, text = F.lit(None), F.lit(None), F.lit(None)
+        second, head = F.lit(0), F.lit(None)
         if isinstance(kind, (T.IntegralType, T.BooleanType)):
-            whole = cell
+            first = cell
         elif isinstance(kind, T.DateType):
-            whole = F.unix_date(cell)
+            first = F.unix_date(cell)
         elif isinstance(kind, T.TimestampType):
-            whole = F.unix_micros(cell)
-        elif isinstance(kind, (T.FloatType, T.DoubleType)):
-            real = cell
+            first = F.unix_micros(cell)
         else:
-            text = _as_text(column)
+            first, second = _text_hash(_as_text(column))
+        if isinstance(kind, T.StringType):
+            head = F.substring(cell, 1, HEAD)
+        there = cell.isNotNull()
         cells.append(
             F.struct(
                 F.lit(column.name).alias("column"),
-                whole.cast("bigint").alias("whole"),
-                real.cast("double").alias("real"),
-                text.cast("string").alias("text"),
+                F.when(there, first.cast("bigint")).alias("a"),
+                F.when(there, second.cast("bigint")).alias("b"),
+                head.cast("string").alias("head"),
             )
         )
     long = df.select(F.inline(F.array(*cells)))
-    return long.groupBy("column", "whole", "real", "text").agg(F.count("*").alias("rows"))
+    return long.groupBy("column", "a", "b", "head").agg(F.count("*").alias("rows"))
+
+
+def _text_hash(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text), F.xxhash64(F.lit("b"), text)
+
+
+def _tidy_metric(dataset: str, metric: str | Column, value: str, detail: Column | None = None) -> list[Column]:
+    return [
+        F.lit(dataset).alias("dataset"),
+        F.lit("profile").alias("check"),
+        F.col("column"),
+        (F.lit(metric) if isinstance(metric, str) else metric).alias("metric"),
+        F.col(value).cast("double").alias("value"),
+        (F.lit(None).cast("string") if detail is None else detail).alias("detail"),
+    ]
 
 
 def _distinct_metrics(counts: DataFrame, dataset: str, listed: Sequence[str], k: int) -> DataFrame:
     """Distinct values and NULLs per column, and how many values are listed."""
-    missing = F.coalesce("whole", "real", F.when(F.col("text").isNotNull(), 0)).isNull()
+    missing = F.col("a").isNull()
     per_column = counts.groupBy("column").agg(
         F.count(F.when(~missing, 1)).alias("distinct_count"),
         F.sum(F.when(missing, F.col("rows")).otherwise(0)).alias("null_count"),
@@ -518,41 +549,47 @@ def _distinct_metrics(counts: DataFrame, dataset: str, listed: Sequence[str], k:
         ]
     )
     tidy = per_column.select("column", F.inline(metrics))
-    return tidy.filter(
-        (F.col("metric") != "cardinality") | F.col("column").isin(list(listed))
-    ).select(
-        F.lit(dataset).alias("dataset"),
-        F.lit("profile").alias("check"),
-        "column",
-        "metric",
-        "value",
-        F.lit(None).cast("string").alias("detail"),
-    )
+    kept = tidy.filter((F.col("metric") != "cardinality") | F.col("column").isin(list(listed)))
+    return kept.select(*_tidy_metric(dataset, F.col("metric"), "value"))
 
 
 def _listed_values(
-    counts: DataFrame, dataset: str, listed: Sequence[str], k: int, order: str
+    df: DataFrame, counts: DataFrame, dataset: str, listed: Sequence[str], k: int, order: str
 ) -> DataFrame:
-    """The first ``k`` values by frequency of each listed column.
+    """The first ``k`` values by frequency of each listed column; ties go by text.
 
-    The filter stays above the counts, so that both uses share their shuffle.
+    Values are chosen by count and first characters, ties included, and only the texts of
+    the chosen ones are looked up by their hash; their number is not bounded, so that join
+    has no hint. Up to a ``k`` of 1,000 Spark cuts the groups before the shuffle.
     """
     by_count = F.col("rows").desc() if order == "desc" else F.col("rows").asc()
-    place = Window.partitionBy("column").orderBy(by_count, F.col("text").asc_nulls_first())
-    return (
+    place = Window.partitionBy("column").orderBy(by_count, F.col("head").asc_nulls_first())
+    chosen = (
         evaluate_once(counts)
         .filter(F.col("column").isin(list(listed)))
-        .withColumn("place", F.row_number().over(place))
+        .withColumn("place", F.rank().over(place))
         .filter(F.col("place") <= k)
-        .select(
-            F.lit(dataset).alias("dataset"),
-            F.lit("profile").alias("check"),
-            "column",
-            F.concat(F.lit("value_"), F.col("place")).alias("metric"),
-            F.col("rows").cast("double").alias("value"),
-            F.col("text").alias("detail"),
-        )
+        .select("column", "a", "b", "rows")
     )
+    cells = []
+    for name in listed:
+        first, second = _text_hash(named(name))
+        there = named(name).isNotNull()
+        key = [F.when(there, first).alias("a"), F.when(there, second).alias("b")]
+        cells.append(F.struct(F.lit(name).alias("column"), *key, named(name).alias("text")))
+    found = df.select(F.inline(F.array(*cells))).alias("cell")
+    same = F.col("cell.column") == F.col("one.column")
+    for key in ("a", "b"):
+        same &= F.col(f"cell.{key}").eqNullSafe(F.col(f"one.{key}"))
+    texts = (
+        found.join(chosen.alias("one"), same)
+        .groupBy("one.column", "one.a", "one.b", "one.rows")
+        .agg(F.min("cell.text").alias("text"))
+    )
+    by_text = Window.partitionBy("column").orderBy(by_count, F.col("text").asc_nulls_first())
+    placed = texts.withColumn("place", F.row_number().over(by_text)).filter(F.col("place") <= k)
+    metric = F.concat(F.lit("value_"), F.col("place"))
+    return placed.select(*_tidy_metric(dataset, metric, "rows", F.col("text")))
 
 
 def _type_metrics(df: DataFrame) -> Probe:
@@ -574,18 +611,17 @@ def profile(
 ) -> DataFrame:
     """Types, distinct values, NULLs, listed text values and numeric moments.
 
-    The listed values are the ``k`` rarest by default. Exact distinct counts
-    shuffle each distinct value once; ``approximate`` uses small sketches in
-    the same pass as the moments instead.
+    The listed values are the ``k`` rarest by default. Exact distinct counts shuffle a
+    short key of each distinct value; ``approximate`` takes all distinct counts from
+    small sketches in the same pass as the moments, and only the listed values need keys.
     """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     probes = [_type_metrics(df), moments or moments_probe(df)]
     counted = df
     if approximate:
-        other = [name for name in df.columns if name not in text]
         counted = df.select(*map(named, text))
         sketch = Probe()
-        for at, name in enumerate(other):
+        for at, name in enumerate(df.columns):
             sketch.measures[f"distinct_{at}"] = f"approx_count_distinct({quoted(name)})"
             sketch.measures[f"nulls_{at}"] = _count(f"{quoted(name)} IS NULL")
             sketch.metrics += [
@@ -596,14 +632,23 @@ def profile(
     result = run_probes(df, dataset, probes)
     if counted.columns:
         counts = _cell_counts(counted)
-        result = result.unionByName(_distinct_metrics(counts, dataset, text, k))
+        exact = _distinct_metrics(counts, dataset, text, k)
+        if approximate:
+            exact = exact.filter(F.col("metric") == "cardinality")
+        result = result.unionByName(exact)
         if text:
-            result = result.unionByName(_listed_values(counts, dataset, text, k, order))
+            result = result.unionByName(_listed_values(df, counts, dataset, text, k, order))
     return result
 
 
 # All together
 
+CHECKS = (
+    "overview", "schema", "completeness", "validity", "uniqueness", "consistency", "outliers", "profile",
+)
+# What the score and the report read.
+SCORED_CHECKS = ("overview", *SCORE_WEIGHTS)
+
 
 def assess(
     df: DataFrame,
@@ -611,56 +656,72 @@ def assess(
     quantiles: str = "exact",
     rows: str = "columns",
     approximate_profile: bool = False,
+    checks: Sequence[str] = CHECKS,
 ) -> DataFrame:
-    """Every check of ``spec`` on ``df``.
+    """The wanted checks of ``spec`` on ``df``.
 
-    The quartiles take a few small jobs up front; the result itself is lazy.
+    Without outliers and profile the result is lazy and takes two scans: one for all
+    column aggregates, one for the chain of groupings. Outliers take a few small jobs up
+    front for the quartiles; moments for the profile come along with them.
     """
+    unknown = set(checks).difference(CHECKS)
+    if unknown:
+        raise ValueError(f"unknown checks: {', '.join(sorted(unknown))}")
     dataset = spec.dataset
-    skip = [spec.year_column] if spec.year_column else []
-    summary, quartiles = _summary_and_quartiles(df, numeric_columns(df), quantiles)
-    judged = {name: facts for name, facts in summary.items() if name not in skip}
-    moments = Probe(
-        metrics=[
-            Metric("profile", name, metric, literal(facts[metric]))
-            for name, facts in summary.items()
-            for metric in ("min", "max", "mean", "stddev")
-        ]
-    )
-    overview = Probe(
+    probes, parts, moments = [], [], None
+    if "overview" in checks:
+        probes.append(_overview(df))
+    if "schema" in checks:
+        probes.append(schema_probe(df, spec.expected_columns))
+    if "completeness" in checks:
+        probes.append(completeness_probe(df))
+    if "validity" in checks:
+        probes.append(validity_probe(df, spec))
+    if "outliers" in checks:
+        summary, quartiles = _summary_and_quartiles(df, numeric_columns(df), quantiles)
+        judged = {name: facts for name, facts in summary.items() if name != spec.year_column}
+        probes.append(outlier_probe(judged, quartiles, z_limit=3.0))
+        moments = Probe(
+            metrics=[
+                Metric("profile", name, metric, literal(facts[metric]))
+                for name, facts in summary.items()
+                for metric in ("min", "max", "mean", "stddev")
+            ]
+        )
+    parts += _grouped_checks(df, spec, rows, checks)
+    if "profile" in checks:
+        parts.append(profile(df, dataset, spec.top_k, "asc", approximate_profile, moments))
+    if probes:
+        parts.insert(0, run_probes(df, dataset, probes))
+    if not parts:
+        return run_probes(df, dataset, [])
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _overview(df: DataFrame) -> Probe:
+    return Probe(
         metrics=[
             Metric("overview", ALL_COLUMNS, "row_count", "rows_"),
             Metric("overview", ALL_COLUMNS, "column_count", str(len(df.columns))),
         ]
     )
-    aggregated = run_probes(
-        df,
-        dataset,
-        [
-            overview,
-            completeness_probe(df),
-            validity_probe(df, spec),
-            outlier_probe(judged, quartiles, z_limit=3.0),
-        ],
-    )
+
+
+def _grouped_checks(
+    df: DataFrame, spec: QualitySpec, rows: str, checks: Sequence[str]
+) -> list[DataFrame]:
+    """Uniqueness and consistency, from one chain of groupings where the keys allow it."""
     keys = [name for name in spec.key_columns if name in df.columns]
-    region, year = _present(df, spec.region_column), _present(df, spec.year_column)
-    mismatch = ratio_mismatch(df, spec)
-    group_metrics = _uniqueness_metrics(True, bool(keys))
-    issue_metrics = _consistency_metrics(spec, region, year, mismatch is not None)
-    if keys and region and region not in keys:
-        groups = [uniqueness(df, dataset, keys, rows), consistency(df, spec)]
-    else:
-        grouped = _collapse(df, keys, region, year, mismatch, spec.rare_below, rows)
-        groups = [_tidy(grouped, dataset, group_metrics + issue_metrics)]
-    parts = [
-        check_schema(df, spec.expected_columns, dataset),
-        *groups,
-        profile(df, dataset, spec.top_k, "asc", approximate_profile, moments),
-    ]
-    for part in parts:
-        aggregated = aggregated.unionByName(part)
-    return aggregated
+    region = _present(df, spec.region_column)
+    unique, consistent = "uniqueness" in checks, "consistency" in checks
+    if not (unique and consistent) or (keys and region and region not in keys):
+        found = [uniqueness(df, spec.dataset, keys, rows)] if unique else []
+        return found + ([consistency(df, spec)] if consistent else [])
+    year, mismatch = _present(df, spec.year_column), ratio_mismatch(df, spec)
+    grouped = _collapse(df, keys, region, year, mismatch, spec.rare_below, rows)
+    metrics = _uniqueness_metrics(True, bool(keys))
+    metrics += _consistency_metrics(spec, region, year, mismatch is not None)
+    return [_tidy(grouped, spec.dataset, metrics)]
 
 
 def _pick(check: str, metric: str) -> Column:

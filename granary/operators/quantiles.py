@@ -111,13 +111,19 @@ def _first_pass(
         )
         .collect()
     )
-    histograms = {
-        name: sorted((r for r in counted if r["column"] == at), key=lambda r: r["bin"])
-        for at, name in enumerate(columns)
-    }
+    bins = _by(counted, "column")
+    histograms = {name: bins.get(at, []) for at, name in enumerate(columns)}
     return {name: _merged_summary(bins) for name, bins in histograms.items()}, histograms
 
 
+def _by(rows: Sequence, key: str) -> dict[int, list]:
+    """Rows by a key, in the order of their bins."""
+    found: dict[int, list] = {}
+    for row in sorted(rows, key=lambda r: r["bin"]):
+        found.setdefault(row[key], []).append(row)
+    return found
+
+
 def _merged_summary(bins: Sequence) -> dict[str, float]:
     n = sum(b["rows"] for b in bins)
     if not n:
@@ -174,9 +180,9 @@ def _narrow(df: DataFrame, searches: Sequence[_Search], bins: int) -> None:
         )
         .collect()
     )
+    found, places = _by(counted, "span"), {span: at for at, span in enumerate(spans)}
     for search in searches:
-        at = spans.index(search.span)
-        search.enter(sorted((r for r in counted if r["span"] == at), key=lambda r: r["bin"]))
+        search.enter(found.get(places[search.span], []))
 
 
 def _rank(df: DataFrame, searches: Sequence[_Search]) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import named
@@ -37,7 +37,7 @@ def repair_rows(
     ``empty_column``, are dropped. One pass, no branch on the data.
     """
     text, witness = named(packed_column), named(empty_column)
-    packed = text.contains(separator) & witness.isNull()
+    packed = is_packed(packed_column, empty_column, separator)
     fields = {name: F.regexp_extract(text, pattern, 1) for name, pattern in patterns.items()}
     usable = witness.isNotNull() | (packed & (fields[packed_column] != ""))
     return df.filter(usable).withColumns(
@@ -45,6 +45,18 @@ def repair_rows(
     )
 
 
+def is_packed(packed_column: str, empty_column: str, separator: str = ",") -> Column:
+    """True for rows whose whole text landed in ``packed_column``."""
+    return F.coalesce(named(packed_column).contains(separator), F.lit(False)) & named(empty_column).isNull()
+
+
+def is_corrupt(df: DataFrame, repairable: Column, corrupt_column: str = "_corrupt_record") -> Column:
+    """True for rows the reader did not accept and no repair takes back; never NULL."""
+    if corrupt_column not in df.columns:
+        return F.lit(False)
+    return named(corrupt_column).isNotNull() & ~repairable
+
+
 def split_corrupt(
     df: DataFrame, corrupt_column: str = "_corrupt_record"
 ) -> tuple[DataFrame, DataFrame]:

@@ -1,7 +1,7 @@
 """Whole runs: raw files to cleaned tables, cleaned tables to marts.
 
-    spark-submit granary/plans/jobs.py silver RAW_DIR SILVER_DIR
-    spark-submit granary/plans/jobs.py gold GOLD_DIR
+    spark-submit granary/plans/jobs.py silver RAW_DIR SILVER_DIR [--only NAME,...]
+    spark-submit granary/plans/jobs.py gold GOLD_DIR [--province-wide NAME,...]
 """
 
 from __future__ import annotations
@@ -10,10 +10,11 @@ import argparse
 import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from granary.operators.marts import validate_mart
-from granary.operators.quality import assess, quality_report
+from granary.operators.quality import SCORED_CHECKS, assess, quality_report
 from granary.operators.rules import metric_counts, require
 from granary.plans import presets
 from granary.sources.delimited import read_source
@@ -21,9 +22,9 @@ from granary.sources.tables import (
     load_table,
     register_table,
     remove_folder,
-    run_summary,
     stage,
     staging_folder,
+    summary_of,
     write_table,
 )
 
@@ -36,24 +37,32 @@ def clean_to_table(
     raw: DataFrame,
     path: str,
     database: str = "silver",
+    aliases: presets.Aliases = None,
 ) -> dict:
     """Clean one raw frame, check it, write it and register it; returns its summary.
 
-    The cleaned rows are staged once, and the gate, the counts, the summary and
-    the final write all read the staged files. A failed gate leaves an older
-    table untouched.
+    The raw file is parsed once: rows and lines of the wrong shape are counted as the
+    cleaned rows are staged, and the gate, the counts and the final write all read the
+    staged files. A failed gate leaves an older table untouched.
     """
     dataset = presets.DATASETS[name]
     missing = dataset.missing(raw)
     if missing:
         raise ValueError(f"{name}: raw columns missing: {', '.join(missing)}")
+    seen = Observation()
+    counted = raw.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count(F.when(dataset.corrupt(raw), 1)).alias("corrupt_rows"),
+    )
     folder = staging_folder(spark, f"{path.rstrip('/')}_staging")
-    cleaned, staged = stage(dataset.clean(raw), folder)
+    cleaned, staged = stage(dataset.cleaned(counted, aliases), folder)
     try:
         if not require(cleaned, dataset.gate.columns, dataset.gate.min_rows):
             raise ValueError(f"{name}: fewer than {dataset.gate.min_rows} usable rows")
         counts = {row["metric"]: row["rows"] for row in _counts(dataset, cleaned).collect()}
-        summary = run_summary(raw, cleaned).first().asDict()
+        summary = summary_of(seen.get["rows_in"], cleaned.count())
+        summary["corrupt_rows"] = seen.get["corrupt_rows"]
         write_table(cleaned, path, presets.YEAR)
     finally:
         remove_folder(spark, staged)
@@ -72,7 +81,8 @@ def _raw_quality(spark: SparkSession, name: str, file: str, silver_dir: str) ->
     folder = staging_folder(spark, f"{silver_dir.rstrip('/')}_staging")
     columnar, staged = stage(typed, folder)
     try:
-        return quality_report(assess(columnar, presets.quality_spec(name))).first().asDict()
+        judged = assess(columnar, presets.quality_spec(name), checks=SCORED_CHECKS)
+        return quality_report(judged).first().asDict()
     finally:
         remove_folder(spark, staged)
 
@@ -84,12 +94,13 @@ def run_silver(
     names: Iterable[str] = tuple(presets.DATASETS),
     database: str = "silver",
     assessed: Iterable[str] = ("produksi_pangan",),
+    aliases: presets.Aliases = None,
 ) -> dict[str, dict]:
     """Clean the named raw files into tables; returns one summary per dataset.
 
     Raw files named in ``assessed`` are scored first, with column types inferred
     from their values, which takes scans of their own; a low score is reported
-    and does not stop the run.
+    and does not stop the run. ``aliases`` maps cleaned region spellings to one.
     """
     assessed = set(assessed)
     results = {}
@@ -103,7 +114,7 @@ def run_silver(
             level = logging.INFO if report["overall_score"] >= 60 else logging.WARNING
             logger.log(level, "%s: raw quality %s", name, report)
         target = f"{silver_dir.rstrip('/')}/{name}"
-        results[name] = clean_to_table(spark, name, raw, target, database)
+        results[name] = clean_to_table(spark, name, raw, target, database, aliases)
         if report:
             results[name]["quality"] = report
     return results
@@ -149,15 +160,58 @@ def run_gold(
     }
 
 
-def main() -> None:
+def _listed(text: str) -> list[str]:
+    return [name for name in text.split(",") if name]
+
+
+def _alias(text: str) -> tuple[str, str]:
+    spelling, _, name = text.partition("=")
+    if not name:
+        raise argparse.ArgumentTypeError(f"not SPELLING=NAME: {text!r}")
+    return spelling, name
+
+
+def arguments(given: list[str] | None = None) -> argparse.Namespace:
+    """What a run is asked to do on the command line."""
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("layer", choices=("silver", "gold"))
-    parser.add_argument("folders", nargs="+", help="RAW_DIR SILVER_DIR, or GOLD_DIR")
-    args = parser.parse_args()
+    layers = parser.add_subparsers(dest="layer", required=True)
+    silver = layers.add_parser("silver", help="raw files to cleaned tables")
+    silver.add_argument("raw_dir")
+    silver.add_argument("silver_dir")
+    silver.add_argument("--only", type=_listed, default=list(presets.DATASETS), metavar="NAME,...")
+    silver.add_argument("--assess", type=_listed, default=["produksi_pangan"], metavar="NAME,...")
+    silver.add_argument("--alias", type=_alias, action="append", default=[], metavar="SPELLING=NAME")
+    silver.add_argument("--database", default="silver")
+    gold = layers.add_parser("gold", help="cleaned tables to marts")
+    gold.add_argument("gold_dir")
+    gold.add_argument("--database", default="gold")
+    gold.add_argument("--silver", default="silver", help="database of the cleaned tables")
+    gold.add_argument("--province-wide", type=_listed, default=[], metavar="NAME,...")
+    gold.add_argument("--unique-social", action="store_true")
+    args = parser.parse_args(given)
+    unknown = {
+        name for option in ("only", "assess", "province_wide") for name in getattr(args, option, [])
+    }.difference(presets.DATASETS)
+    if unknown:
+        parser.error(f"unknown datasets: {', '.join(sorted(unknown))}")
+    return args
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, dict]:
+    """Do what :func:`arguments` holds."""
+    if args.layer == "silver":
+        return run_silver(
+            spark, args.raw_dir, args.silver_dir, args.only, args.database, args.assess, dict(args.alias)
+        )
+    options = {"province_wide": tuple(args.province_wide), "unique_social": args.unique_social}
+    return run_gold(spark, args.gold_dir, args.database, args.silver, options)
+
+
+def main() -> None:
+    args = arguments()
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName(f"granary-{args.layer}").getOrCreate()
-    run = run_silver if args.layer == "silver" else run_gold
-    for name, result in run(spark, *args.folders).items():
+    for name, result in run(spark, args).items():
         print(name, result)
 
 

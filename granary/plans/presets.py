@@ -34,7 +34,7 @@ from granary.operators.cleaning import (
     standardize_name,
 )
 from granary.operators.marts import enrich, summarize, summarize_normalized
-from granary.operators.repair import repair_rows, unpack_delimited
+from granary.operators.repair import is_corrupt, is_packed, repair_rows, unpack_delimited
 from granary.operators.rules import drop_blank_rows, keep_valid, missing_columns
 from granary.spec import Agg, Enrichment, QualitySpec, RatioCheck, Rule, SourceSpec
 
@@ -45,6 +45,10 @@ PROVINCE = "Lampung"
 MARKERS = ("#N/A", "8888", "9999", "-")
 YEARS = Rule(YEAR, low=2000, high=2030)
 INDEX_SEPARATOR = ";"
+CORRUPT = "_corrupt_record"
+
+# Cleaned region spellings and the names they stand for.
+Aliases = Mapping[str, str] | None
 
 
 _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType()}
@@ -92,6 +96,7 @@ SOURCES: dict[str, SourceSpec] = {
         ("komoditas", "tanggal", "harga_pangan"),
         renames={"harga pangan": "harga_pangan"},
         options={"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"},
+        corrupt_column=CORRUPT,
     ),
     "cuaca": SourceSpec(
         "cuaca",
@@ -162,11 +167,11 @@ RULES: dict[str, tuple[Rule, ...]] = {
 }
 
 
-def clean_production(df: DataFrame) -> DataFrame:
+def clean_production(df: DataFrame, aliases: Aliases = None) -> DataFrame:
     """Production and harvested area per region, commodity and year."""
     return (
         df.transform(null_markers, MARKERS)
-        .transform(standardize_name, REGION)
+        .transform(standardize_name, REGION, aliases)
         .transform(
             cast_columns,
             {YEAR: "int", "produksi": "double", "luas_panen": "double", "produktivitas": "double"},
@@ -188,11 +193,26 @@ PACKED_PRICE = {
 }
 
 
+def corrupt_prices(df: DataFrame) -> Column:
+    """True for raw price lines of the wrong shape, which hold no price that can be told.
+
+    Packed lines have too few fields as well, but those can be taken apart.
+    """
+    return is_corrupt(df, is_packed("komoditas", "tanggal"), CORRUPT)
+
+
 def clean_prices(df: DataFrame) -> DataFrame:
-    """Province-wide commodity prices; the one price serves producer and consumer."""
+    """Province-wide commodity prices; the one price serves producer and consumer.
+
+    Lines with a field too many are dropped: an unquoted ``12,000`` is not a price of 12.
+    The year goes through the shuffle of the copies, which costs four bytes and saves
+    reading every date twice.
+    """
     price = parse_number(named("harga_pangan"), thousands=",")
     return (
-        df.transform(repair_rows, "komoditas", "tanggal", PACKED_PRICE)
+        df.filter(~corrupt_prices(df))
+        .drop(CORRUPT)
+        .transform(repair_rows, "komoditas", "tanggal", PACKED_PRICE)
         .transform(null_markers, MARKERS)
         .withColumns(
             {
@@ -203,9 +223,7 @@ def clean_prices(df: DataFrame) -> DataFrame:
         .transform(clean_text, "komoditas")
         .transform(evaluate_once)
         .transform(keep_valid, RULES["harga_pangan"])
-        .drop(YEAR)  # follows from the date, so it need not be shuffled
         .transform(dedupe)
-        .withColumn(YEAR, year_from(named("tanggal"), "dd/MM/yyyy", allow_time=True))
         .transform(
             conform,
             SILVER_SCHEMAS["harga_pangan"],
@@ -258,7 +276,7 @@ CONSUMPTION_NAMES = {
 }
 
 
-def clean_social(df: DataFrame) -> DataFrame:
+def clean_social(df: DataFrame, aliases: Aliases = None) -> DataFrame:
     """Population, poverty and spending per region and year."""
     return (
         df.transform(drop_blank_rows, ["Tahun", "Jumlah_Penduduk", "Persentase_miskin"])
@@ -273,7 +291,7 @@ def clean_social(df: DataFrame) -> DataFrame:
                 "ipkm": "double",
             },
         )
-        .transform(standardize_name, REGION)
+        .transform(standardize_name, REGION, aliases)
         .transform(evaluate_once)
         .transform(keep_valid, RULES["sosial_ekonomi"])
         .transform(dedupe)
@@ -281,7 +299,7 @@ def clean_social(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_consumption(df: DataFrame) -> DataFrame:
+def clean_consumption(df: DataFrame, aliases: Aliases = None) -> DataFrame:
     """Consumption per head by region, commodity and year; decimal commas."""
     return (
         df.transform(rename_columns, CONSUMPTION_NAMES)
@@ -291,7 +309,7 @@ def clean_consumption(df: DataFrame) -> DataFrame:
             parse_number(named("konsumsi_per_kapita"), decimal=",", nulls=()),
         )
         .transform(cast_columns, {YEAR: "int"})
-        .transform(standardize_name, REGION)
+        .transform(standardize_name, REGION, aliases)
         .transform(clean_text, "komoditas")
         .transform(evaluate_once)
         .transform(keep_valid, RULES["konsumsi_pangan"])
@@ -312,13 +330,13 @@ def unpack_index(df: DataFrame) -> DataFrame:
     return rename_columns(df, {"Tahun": YEAR, "IKP": "skor_ikp"}).select(*PACKED_INDEX)
 
 
-def clean_index(df: DataFrame) -> DataFrame:
+def clean_index(df: DataFrame, aliases: Aliases = None) -> DataFrame:
     """Food security index and its category per region and year."""
     return (
         df.transform(unpack_index)
         .transform(null_markers, MARKERS)
         .transform(cast_columns, {YEAR: "int", "skor_ikp": "double", "kategori_ikp": "int"})
-        .transform(standardize_name, REGION)
+        .transform(standardize_name, REGION, aliases)
         .transform(evaluate_once)
         .transform(keep_valid, RULES["ikp"])
         .transform(dedupe)
@@ -335,11 +353,22 @@ class Gate:
     counts: Callable[[], Mapping[str, Column]] = field(default=dict)
 
 
+def _sound(_: DataFrame) -> Column:
+    return F.lit(False)
+
+
 @dataclass(frozen=True)
 class Dataset:
+    """How one dataset is read, cleaned and judged; ``regional`` cleaners take region aliases."""
+
     source: SourceSpec
-    clean: Callable[[DataFrame], DataFrame]
+    clean: Callable[..., DataFrame]
     gate: Gate
+    regional: bool = True
+    corrupt: Callable[[DataFrame], Column] = _sound
+
+    def cleaned(self, raw: DataFrame, aliases: Aliases = None) -> DataFrame:
+        return self.clean(raw, aliases) if self.regional else self.clean(raw)
 
     def missing(self, raw: DataFrame) -> list[str]:
         """Raw columns the cleaner needs and the file lacks."""
@@ -405,11 +434,14 @@ DATASETS: dict[str, Dataset] = {
         SOURCES["harga_pangan"],
         clean_prices,
         Gate((REGION, "komoditas", "harga_produsen", YEAR), 100, _price_counts),
+        regional=False,
+        corrupt=corrupt_prices,
     ),
     "cuaca": Dataset(
         SOURCES["cuaca"],
         clean_weather,
         Gate((REGION, "curah_hujan", YEAR), 50, _weather_counts),
+        regional=False,
     ),
     "sosial_ekonomi": Dataset(
         SOURCES["sosial_ekonomi"],
@@ -502,10 +534,14 @@ def add_scores(df: DataFrame) -> DataFrame:
     return df.withColumn("skor_ketersediaan", score).withColumn("kategori_ketahanan", label)
 
 
+def scale_metric(df: DataFrame, name: str, column: str, by: float = 1000) -> DataFrame:
+    """Add a column in larger units."""
+    return df.withColumn(name, named(column) / F.lit(by))
+
+
 def finish_indicators(summary: DataFrame) -> DataFrame:
     """Scaled production, score and category on a production summary."""
-    scaled = named("total_produksi") / F.lit(1000)
-    return add_scores(summary.withColumn("produksi_per_kapita", scaled))
+    return add_scores(scale_metric(summary, "produksi_per_kapita", "total_produksi"))
 
 
 def mart_indicators(production: DataFrame) -> DataFrame:

@@ -15,9 +15,10 @@ QUOTE = '"'
 
 
 def has_multi_line_records(spark: SparkSession, path: str, quote: str = QUOTE) -> bool:
-    """Whether any line leaves a quote open, so that a record goes on below it.
+    """Whether any line leaves a quote open, so that a record may go on below it.
 
-    Reads plain text in splits. With doubled quotes as escapes, a line that
+    For use before a file is read for the first time: it reads all of it, as plain text in
+    splits. With doubled quotes as escapes, a line that
     closes all it opens has an even number of them.
     """
     lines = spark.read.text(path)
@@ -32,7 +33,7 @@ def read_delimited(
     schema: T.StructType | None = None,
     header: bool = True,
     infer_schema: bool = False,
-    multi_line: bool | str = "auto",
+    multi_line: bool = False,
     options: Mapping[str, str] | None = None,
     corrupt_column: str | None = None,
 ) -> DataFrame:
@@ -40,7 +41,8 @@ def read_delimited(
 
     A given schema wins over inference. With ``corrupt_column`` lines of the
     wrong shape are kept whole in that column, which Spark fills only if it is
-    part of the schema; without a schema it is made from the header.
+    part of the schema; without a schema it is made from the header. ``multi_line`` takes
+    records that span lines; the file is then a single task, whatever its size.
     """
     settings = {
         "header": str(header).lower(),
@@ -50,8 +52,6 @@ def read_delimited(
         "escape": QUOTE,
         **(options or {}),
     }
-    if multi_line == "auto":
-        multi_line = has_multi_line_records(spark, path, settings["quote"])
     settings["multiLine"] = str(multi_line).lower()
     if schema is None and infer_schema:
         settings["inferSchema"] = "true"

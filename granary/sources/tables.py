@@ -72,15 +72,20 @@ def register_table(
 ) -> None:
     """Register files at ``location`` as table ``database.table``.
 
-    Columns come from the schema that was written, so names and types agree
-    with the files. An older registration is replaced (its files stay), and
-    partitions are brought in line with the directories.
+    Columns come from the schema that was written, so names and types agree with the
+    files. An older registration of files elsewhere is replaced and its files stay;
+    partitions are brought in line with the directories. Dropping a managed table would
+    delete its rows, so a name that bears one is refused, as is a table that exists where
+    no location is given.
     """
     database, table = name.split(".")
     target = f"{quoted(database)}.{quoted(table)}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
-    if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
+    if replace and spark.catalog.tableExists(target):
+        kind = spark.catalog.getTable(target).tableType
+        if kind != "EXTERNAL" or not location:
+            raise ValueError(f"{name} is there as {kind.lower()} table and is not replaced")
+        spark.sql(f"DROP TABLE {target}")
     data = [column for column in schema.fields if column.name not in partition_by]
     keys = [schema[key] for key in partition_by]
     columns = ", ".join(
@@ -121,7 +126,11 @@ def stage(df: DataFrame, folder: str) -> tuple[DataFrame, str]:
     Lost executors then cost a re-read, not the whole lineage.
     """
     path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    try:
+        df.write.parquet(path)
+    except Exception:
+        remove_folder(df.sparkSession, path)
+        raise
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -141,3 +150,9 @@ def run_summary(before: DataFrame, after: DataFrame) -> DataFrame:
     )
     removed = F.try_divide((F.col("rows_in") - F.col("rows_out")) * 100.0, F.col("rows_in"))
     return sides.withColumn("reduction_percent", removed)
+
+
+def summary_of(rows_in: int, rows_out: int) -> dict:
+    """The row of :func:`run_summary` from counts that are known already."""
+    removed = (rows_in - rows_out) * 100.0 / rows_in if rows_in else None
+    return {"rows_in": rows_in, "rows_out": rows_out, "reduction_percent": removed}

@@ -15,9 +15,9 @@ from granary.functions.names import named
 class SourceSpec:
     """How one delimited file is laid out.
 
-    ``multi_line`` may be True, False or "auto". A multi-line CSV cannot be
-    split, so "auto" looks for a record that really spans lines and keeps the
-    splittable reader when there is none.
+    ``multi_line`` says that records may span lines. Such a file cannot be split and is
+    one task whatever its size, so it is off unless asked for; a quote left open then ends
+    with its line.
     """
 
     name: str
@@ -25,7 +25,7 @@ class SourceSpec:
     columns: tuple[str, ...] = ()
     renames: Mapping[str, str] = field(default_factory=dict)
     options: Mapping[str, str] = field(default_factory=dict)
-    multi_line: bool | str = "auto"
+    multi_line: bool = False
     corrupt_column: str | None = None
 
 

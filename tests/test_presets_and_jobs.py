@@ -5,7 +5,7 @@ from conftest import tuples
 
 import granary as g
 from granary.plans import presets
-from granary.plans.jobs import run_gold, run_silver
+from granary.plans.jobs import arguments, clean_to_table, run, run_gold, run_silver
 
 DISTRICTS = [f"Kab. No-{n}" for n in range(12)]
 INDEX_HEADER = (
@@ -40,6 +40,7 @@ def price_lines():
     yield '"Beras,03/01/2019,""12,500"""'
     yield "Gula,04/01/2018,-"
     yield 'Gula,99/99/2018,"9,000"'
+    yield "Gula,05/01/2018,12,000"  # a field too many
     yield ",,"
 
 
@@ -191,6 +192,8 @@ def test_whole_run(spark, raw_dir, tmp_path):
     assert silver["produksi_pangan"]["rows_in"] == 131
     assert silver["produksi_pangan"]["quality"]["status"] in ("PASS", "REVIEW REQUIRED")
     assert silver["cuaca"]["null_rainfall"] == 56
+    assert silver["harga_pangan"]["corrupt_rows"] == 1
+    assert silver["harga_pangan"]["rows_in"] == 145
     assert silver["ikp"]["category_5"] == 36
     assert not list((tmp_path / "silver").glob("*_staging/stage-*"))
     assert spark.table("silver.cuaca").filter("tahun = 2020").count() == 84
@@ -226,3 +229,49 @@ def test_failed_gate_leaves_the_table_alone(spark, raw_dir, tmp_path):
     with pytest.raises(ValueError, match="curah_hujan"):
         run_silver(spark, str(short), folder, ["cuaca"], "gated")
     spark.sql("DROP DATABASE gated CASCADE")
+
+
+def test_prices_with_a_field_too_many_are_no_prices(cleaned):
+    assert cleaned("harga_pangan").filter("komoditas = 'Gula'").count() == 0
+
+
+def test_raw_file_is_scanned_once(spark, raw_dir, tmp_path):
+    """Rows of the wrong shape, rows in and the cleaned rows come from one scan."""
+    raw = g.read_source(spark, f"{raw_dir}/cuaca.csv", presets.SOURCES["cuaca"])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("scan", "scan")
+    seen = spark.sparkContext.accumulator(0)
+    counted = raw.rdd.map(lambda row: (seen.add(1), row)[1])
+    result = clean_to_table(spark, "cuaca", spark.createDataFrame(counted, raw.schema), str(tmp_path / "t"), "once")
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert seen.value == result["rows_in"] == raw.count()
+    assert tracker.getJobIdsForGroup("scan")
+    spark.sql("DROP DATABASE once CASCADE")
+
+
+def test_aliases_join_spellings(spark, raw_dir, tmp_path):
+    aliases = {"Kab No0": "North", "Kab No1": "North"}
+    run_silver(spark, raw_dir, str(tmp_path / "s"), ["produksi_pangan", "cuaca"], "aliased", (), aliases)
+    table = spark.table("aliased.produksi_pangan")
+    assert table.filter("kabupaten_kota = 'North'").count() == 20
+    spark.sql("DROP DATABASE aliased CASCADE")
+
+
+def test_command_line(spark, raw_dir, tmp_path):
+    folder = str(tmp_path / "s")
+    args = arguments(["silver", raw_dir, folder, "--only", "produksi_pangan,cuaca", "--assess", "cuaca",
+                      "--database", "asked", "--alias", "Kab No0=North"])
+    found = run(spark, args)
+    assert set(found) == {"produksi_pangan", "cuaca"} and "quality" in found["cuaca"]
+    assert spark.table("asked.produksi_pangan").filter("kabupaten_kota = 'North'").count() == 10
+    args = arguments(["gold", str(tmp_path / "g"), "--silver", "asked", "--database", "asked_gold",
+                      "--province-wide", "cuaca"])
+    assert run(spark, args)["ketahanan_pangan_enriched"]["valid"]
+    wide = spark.table("asked_gold.ketahanan_pangan_enriched")
+    assert wide.filter("avg_curah_hujan IS NOT NULL").count() == wide.filter("tahun = 2020").count()
+    with pytest.raises(SystemExit):
+        arguments(["silver", raw_dir, folder, "--only", "nothing"])
+    with pytest.raises(SystemExit):
+        arguments(["silver", raw_dir, folder, "--alias", "nothing"])
+    for database in ("asked", "asked_gold"):
+        spark.sql(f"DROP DATABASE {database} CASCADE")

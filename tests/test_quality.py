@@ -271,3 +271,33 @@ def test_one_scan_for_all_aggregates(crops, tmp_path):
     probes = [quality.completeness_probe(stored), quality.validity_probe(stored, SPEC)]
     plan = quality.run_probes(stored, "d", probes)._jdf.queryExecution().executedPlan()
     assert plan.toString().count("FileScan") == 1
+
+
+def test_scored_checks_take_two_scans(crops, tmp_path):
+    path = str(tmp_path / "scored")
+    crops.write.parquet(path)
+    stored = crops.sparkSession.read.parquet(path)
+    judged = g.assess(stored, SPEC, checks=g.SCORED_CHECKS)
+    assert judged._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    whole = g.quality_report(g.assess(stored, SPEC)).first()
+    assert g.quality_report(judged).first() == whole
+    with pytest.raises(ValueError, match="unknown"):
+        g.assess(stored, SPEC, checks=["speed"])
+
+
+def test_years_read_as_the_cleaner_reads_them(rows):
+    df = rows("region string, tahun string", ("a", "1899.0"), ("a", "1899"), ("a", "2010"), ("a", "x"), ("a", "1e3"))
+    spec = g.QualitySpec("d", year_column="tahun", region_column="region")
+    assert metrics(g.validity(df, spec))["validity", "tahun", "year_out_of_range"] == 2
+    assert metrics(g.consistency(df, spec))["consistency", "tahun", "year_span"] == 111
+
+
+def test_long_texts_are_listed_without_being_keys(rows):
+    long = "x" * 300
+    df = rows("t string", (long + "b",), (long + "a",), (long + "a",), (None,), (None,), ("y",))
+    found = g.profile(df, "d", k=3)
+    assert metrics(found)["profile", "t", "distinct_count"] == 3
+    listed = {r["metric"]: r["detail"] for r in found.filter("metric LIKE 'value%'").collect()}
+    assert listed == {"value_1": long + "b", "value_2": "y", "value_3": None}
+    about = metrics(g.profile(df, "d", k=3, approximate=True))
+    assert about["profile", "t", "distinct_count"] == 3 and about["profile", "t", "cardinality"] == 3

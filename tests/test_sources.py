@@ -33,7 +33,7 @@ def test_records_over_several_lines(spark, tmp_path):
     assert not g.has_multi_line_records(spark, plain)
     assert g.has_multi_line_records(spark, broken)
     assert tuples(g.read_delimited(spark, plain)) == [('say "hi"', "2")]
-    assert tuples(g.read_delimited(spark, broken)) == [("one\ntwo", "2")]
+    assert tuples(g.read_delimited(spark, broken, multi_line=True)) == [("one\ntwo", "2")]
 
 
 def test_schema_wins_over_inference(spark, tmp_path):
@@ -114,6 +114,38 @@ def test_registered_table_follows_its_files(spark, years, tmp_path):
     spark.sql("DROP DATABASE shelf CASCADE")
 
 
+def test_managed_tables_are_not_dropped(spark, years, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    years.write.saveAsTable("kept.years")
+    path = str(tmp_path / "elsewhere")
+    g.write_table(years, path, "tahun")
+    for location in (path, None):
+        with pytest.raises(ValueError, match="not replaced"):
+            g.register_table(spark, "kept.years", years.schema, location, ["tahun"])
+    assert spark.table("kept.years").count() == 3
+    g.register_table(spark, "kept.outside", years.schema, path, ["tahun"])
+    with pytest.raises(ValueError, match="external"):
+        g.register_table(spark, "kept.outside", years.schema)
+    assert spark.table("kept.outside").count() == 3
+    spark.sql("DROP DATABASE kept CASCADE")
+
+
+def test_open_quotes_end_with_their_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('key,name\n1,good\n"2,open\n3,5" pipe\n4,last\n')
+    read = g.read_delimited(spark, str(tmp_path), corrupt_column="_bad")
+    good, bad = g.split_corrupt(read, "_bad")
+    assert tuples(good) == [("1", "good"), ("3", '5" pipe'), ("4", "last")]
+    assert [r["_bad"] for r in bad.collect()] == ['"2,open']
+    assert read.rdd.getNumPartitions() >= 1 and g.SourceSpec("x").multi_line is False
+
+
+def test_failed_staging_leaves_nothing(spark, tmp_path):
+    broken = spark.sql("SELECT raise_error('no') AS a")
+    with pytest.raises(Exception, match="no"):
+        g.stage(broken, str(tmp_path / "stages"))
+    assert not list((tmp_path / "stages").glob("*"))
+
+
 def test_relative_locations(spark, years, tmp_path):
     path = os.path.relpath(tmp_path / "t", spark._jvm.System.getProperty("user.dir"))
     g.write_table(years, path, "tahun")

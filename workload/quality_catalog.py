@@ -38,12 +38,14 @@ def tidy(df: DataFrame) -> DataFrame:
 @query(
     "dq_schema",
     tidy_sql(
-        "(SELECT 1)",
+        "lineitem",
         "lineitem",
         [
-            ("schema", "l_comment", "missing", "1"),
+            ("overview", "*", "row_count", ROWS),
+            ("overview", "*", "column_count", "max(11)"),
+            ("schema", "l_comment", "missing", "max(1)"),
             *[
-                ("schema", name, "extra", "1")
+                ("schema", name, "extra", "max(1)")
                 for name in (
                     "l_partkey",
                     "l_suppkey",
@@ -55,13 +57,14 @@ def tidy(df: DataFrame) -> DataFrame:
                     "l_shipdate",
                 )
             ],
-            ("schema", "*", "schema_valid", "0"),
+            ("schema", "*", "schema_valid", "max(0)"),
         ],
     ),
 )
 def _schema(t: Tables) -> DataFrame:
     expected = ["l_orderkey", "l_quantity", "l_comment", "l_tax"]
-    return tidy(g.check_schema(t.lineitem, expected, "lineitem"))
+    spec = g.QualitySpec("lineitem", expected_columns=tuple(expected))
+    return tidy(g.assess(t.lineitem, spec, checks=("overview", "schema")))
 
 
 # ---------------------------------------------------------------- completeness
@@ -189,14 +192,13 @@ def validity_entries(counts: Sequence[tuple[str, str, str]], columns: int) -> li
 
 
 RAW_PRODUCTION = list(VIEWS["raw_production"].columns)
-# The year check of text columns reads whole numbers only.
+# The year check of text columns cuts off decimal fractions, as the cleaner does.
 RAW_VALIDITY = [
     *[(c, "marker_count", f"{c} IN {MARKERS_SQL}") for c in RAW_PRODUCTION],
     (
         "tahun",
         "year_out_of_range",
-        "TRY_CAST(CASE WHEN contains(tahun, '.') THEN NULL ELSE tahun END AS INTEGER) "
-        "NOT BETWEEN 2000 AND 2030",
+        "TRY_CAST(split_part(tahun, '.', 1) AS INTEGER) NOT BETWEEN 2000 AND 2030",
     ),
 ]
 
@@ -273,6 +275,27 @@ def _consistency(t: Tables) -> DataFrame:
     return tidy(g.consistency(view(t, "production"), presets.quality_spec("produksi_pangan")))
 
 
+TEXT_YEAR = "TRY_CAST(split_part(tahun, '.', 1) AS INTEGER)"
+RAW_CONSISTENCY_SOURCE = (
+    "(SELECT (SELECT count(*) FROM (SELECT kabupaten_kota FROM raw_production GROUP BY 1 "
+    "HAVING count(*) < 5)) AS rare, "
+    f"(SELECT max({TEXT_YEAR}) - min({TEXT_YEAR}) FROM raw_production) AS span, "
+    "(SELECT count(*) FROM raw_production WHERE TRY_CAST(produksi AS DOUBLE) > 0 AND "
+    "TRY_CAST(luas_panen AS DOUBLE) > 0 AND abs(TRY_CAST(produktivitas AS DOUBLE) - "
+    "TRY_CAST(produksi AS DOUBLE) / TRY_CAST(luas_panen AS DOUBLE)) > 0.1) AS bad)"
+)
+
+
+@query(
+    "dq_consistency_raw",
+    with_views(
+        tidy_sql(RAW_CONSISTENCY_SOURCE, "produksi_pangan", CONSISTENCY_ENTRIES), "raw_production"
+    ),
+)
+def _consistency_raw(t: Tables) -> DataFrame:
+    return tidy(g.consistency(view(t, "raw_production"), presets.quality_spec("produksi_pangan")))
+
+
 @query(
     "dq_rare_values",
     "SELECT user_id AS value, count(*) AS rows FROM events GROUP BY 1 HAVING count(*) < 65",
@@ -350,10 +373,45 @@ def _outliers_with_gaps(t: Tables) -> DataFrame:
     return tidy(g.outliers_iqr(view(t, "weather"), "cuaca", skip=["tahun"]))
 
 
-@query("dq_outliers_iqr_approximate")
+def _rank_error_sql(column: str, probability: float) -> str:
+    return (
+        f"SELECT '{column}' AS \"column\", CAST({probability} AS DOUBLE) AS probability, "
+        "true AS close FROM lineitem HAVING count(*) > 0"
+    )
+
+
+@query(
+    "dq_quantiles_approximate",
+    " UNION ALL ".join(_rank_error_sql(c, q) for c in LINE_COLUMNS for q in (0.25, 0.75)),
+)
+def _quantiles_approximate(t: Tables) -> DataFrame:
+    """Whether each approximate quartile's rank is off by no more than a ten-thousandth of the rows."""
+    found = g.approximate_quantiles(t.lineitem, LINE_COLUMNS, (0.25, 0.75))
+    cells = []
+    for column, values in found.items():
+        for probability, value in zip((0.25, 0.75), values):
+            below = F.count(F.when(F.col(column) < value, 1))
+            upto = F.count(F.when(F.col(column) <= value, 1))
+            wanted, slack = F.count(column) * probability, F.count(column) / 10_000 + 1
+            close = (below <= wanted + slack) & (upto >= wanted - slack)
+            cells.append(F.struct(F.lit(column).alias("column"), F.lit(probability).alias("probability"), close.alias("close")))
+    return t.lineitem.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+@query(
+    "dq_outliers_iqr_approximate",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", true AS close FROM lineitem HAVING count(*) > 0" for c in LINE_COLUMNS
+    ),
+)
 def _outliers_iqr_approximate(t: Tables) -> DataFrame:
-    lines = t.lineitem.select(*LINE_COLUMNS)
-    return tidy(g.outliers_iqr(lines, "lineitem", method="approximate"))
+    """Whether the approximate outliers of each column are those beyond its own bounds, all counted."""
+    found = g.outliers_iqr(t.lineitem.select(*LINE_COLUMNS), "lineitem", method="approximate")
+    wide = found.groupBy("column").pivot("metric", ["iqr_outliers", "lower_bound", "upper_bound"]).agg(F.first("value"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in LINE_COLUMNS])
+    beyond = (F.col("v") < F.col("lower_bound")) | (F.col("v") > F.col("upper_bound"))
+    values = t.lineitem.select(F.inline(cells)).join(wide, "column")
+    return values.groupBy("column").agg((F.count(F.when(beyond, 1)) == F.first("iqr_outliers")).alias("close"))
 
 
 @query(
@@ -474,6 +532,14 @@ def _profile(t: Tables) -> DataFrame:
     return tidy(g.profile(t.lineitem.select(*LINE_TYPES), "lineitem"))
 
 
+DOCUMENT_TYPES = {"lang": "string", "source": "string", "text": "string", "n_chars": "bigint"}
+
+
+@query("dq_profile_documents", profile_sql("documents", "documents", DOCUMENT_TYPES))
+def _profile_documents(t: Tables) -> DataFrame:
+    return tidy(g.profile(t.documents.select(*DOCUMENT_TYPES), "documents"))
+
+
 PRODUCTION_TYPES = {
     "kabupaten_kota": "string",
     "komoditas": "string",
@@ -520,7 +586,7 @@ SCORE_LIST = ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in SCORE_CO
     ),
 )
 def _score(t: Tables) -> DataFrame:
-    score = g.quality_score(g.assess(view(t, "production"), SPEC))
+    score = g.quality_score(g.assess(view(t, "production"), SPEC, checks=g.SCORED_CHECKS))
     return rounded(score, *SCORE_COLUMNS)
 
 
@@ -537,7 +603,7 @@ def _score(t: Tables) -> DataFrame:
     ),
 )
 def _report(t: Tables) -> DataFrame:
-    report = g.quality_report(g.assess(view(t, "production"), SPEC))
+    report = g.quality_report(g.assess(view(t, "production"), SPEC, checks=g.SCORED_CHECKS))
     return rounded(report, *SCORE_COLUMNS)
 
 
