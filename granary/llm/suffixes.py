@@ -21,8 +21,9 @@ def _types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     nowhere, so `text` has to end in its one and only smallest symbol.
     """
     n = len(text)
-    differs = np.flatnonzero(text[:-1] != text[1:])
-    following = np.searchsorted(differs, np.arange(n))
+    changes = text[:-1] != text[1:]
+    differs = np.flatnonzero(changes)
+    following = np.concatenate([[0], np.cumsum(changes)])
     smaller = np.ones(n, dtype=bool)
     inner = following < len(differs)
     at = differs[following[inner]]
@@ -95,21 +96,36 @@ def _induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray) -> np.ndar
 
 
 def _ranked(names: np.ndarray) -> np.ndarray:
-    """The order of all suffixes of a string of names: pairs of names are named, then pairs of pairs."""
+    """The order of all suffixes of a string of names: pairs of names are ranked, then pairs of pairs.
+
+    Only places that still share their rank with others are sorted again.
+    """
     n, reach = len(names), 1
-    while True:
-        order = np.argsort(names, kind="stable")
-        if names[order[-1]] == n - 1 or n < 2:
-            return order
-        second = np.zeros(n, dtype=np.int64)
-        second[: n - reach] = names[reach:] + 1
-        pairs = names * (n + 1) + second
-        order = np.argsort(pairs, kind="stable")
-        new = np.zeros(n, dtype=np.int64)
-        new[1:] = pairs[order][1:] != pairs[order][:-1]
-        names = np.empty(n, dtype=np.int64)
-        names[order] = np.cumsum(new)
+    counts = np.bincount(names)
+    rank = (np.cumsum(counts) - counts)[names]
+    tied = np.flatnonzero(counts[names] > 1)
+    while len(tied):
+        after = tied + reach
+        second = np.zeros(len(tied), dtype=np.int64)
+        inside = after < n
+        second[inside] = rank[after[inside]] + 1
+        pairs = rank[tied] * (n + 1) + second
+        order = np.argsort(pairs)
+        tied, pairs = tied[order], pairs[order]
+        own = rank[tied]
+        place = np.arange(len(tied))
+        new = np.ones(len(tied), dtype=bool)
+        new[1:] = pairs[1:] != pairs[:-1]
+        group = np.ones(len(tied), dtype=bool)
+        group[1:] = own[1:] != own[:-1]
+        first = np.maximum.accumulate(np.where(new, place, 0))
+        rank[tied] = own + first - np.maximum.accumulate(np.where(group, place, 0))
+        alone = new & np.append(new[1:], True)
+        tied = tied[~alone]
         reach *= 2
+    order = np.empty(n, dtype=np.int64)
+    order[rank] = np.arange(n)
+    return order
 
 
 def suffix_array(text: np.ndarray, total: np.ndarray) -> np.ndarray:
