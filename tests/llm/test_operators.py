@@ -141,10 +141,13 @@ def test_jaccard_join_in_small_blocks(mixed, monkeypatch):
 def test_toxicity_by_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
-    found = op4_toxicity.assess(docs, labels).join(labels, "doc_id").collect()
+    rude = F.concat_ws(" ", "text", F.lit("some Rude! word and an ugly one"))
+    docs = docs.join(labels.select("doc_id", "toxic"), "doc_id", "left")
+    docs = docs.withColumn("text", F.when(F.col("toxic") == 1, rude).otherwise(F.col("text"))).drop("toxic")
+    found = op4_toxicity.assess(docs, labels).join(labels, "doc_id").where("held_out").collect()
     caught = [r["predicted"] for r in found if r["toxic"]]
     wrong = [r["predicted"] for r in found if not r["toxic"]]
-    assert np.mean(caught) > 0.8 and np.mean(wrong) < 0.02
+    assert np.mean(caught) > 0.9 and np.mean(wrong) < 0.02
 
 
 def test_chain_feeds_earlier_chances_on():
