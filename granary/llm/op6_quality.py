@@ -188,7 +188,7 @@ def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.repeat([p[0] for p in pools], [p[2] for p in pools])
 
 
-def fit(labelled: DataFrame, ridge: float = 1e-3, seed: int = 6) -> Model | None:
+def fit(labelled: DataFrame, ridge: float = 1e-5, seed: int = 6) -> Model | None:
     """Learn from all rows of doc_id, stats, label; a fifth of them serves calibration alone.
 
     Returns nothing if no row is labelled.
