@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import texts
@@ -140,16 +140,16 @@ def fit(labelled: DataFrame, sample_docs: int = 4000, keep_words: int = 100_000,
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = labelled.where(draw < F.element_at(share, F.col("lang"))).select("lang", "text")
     counted = sample.mapInArrow(count_grams, "order int, gram long, lang string, n long").groupBy("order", "gram")
-    summed = counted.agg(
-        F.sum("n").alias("n"),
-        *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(sorted(there))],
+    summed = texts.checkpointed(
+        counted.agg(
+            F.sum("n").alias("n"),
+            *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(sorted(there))],
+        )
     )
-    place = F.row_number().over(Window.partitionBy("order").orderBy(F.col("n").desc(), "gram"))
-    keep = F.when(F.col("order") == 0, keep_words).otherwise(keep_grams)
-    found = summed.withColumn("place", place).where(F.col("place") <= keep).drop("place").toPandas()
     grams, logs = {}, {}
     for order in (0, *ORDERS):
-        own = found[found["order"] == order]
+        keep = keep_grams if order else keep_words
+        own = summed.where(F.col("order") == order).orderBy(F.col("n").desc(), "gram").limit(keep).toPandas()
         hashes = own["gram"].to_numpy(dtype=np.int64).view(np.uint64)
         counts = own[[f"n{k}" for k in range(len(there))]].to_numpy(dtype=np.float64)
         at = np.argsort(hashes)

@@ -126,13 +126,13 @@ WITH RECURSIVE split AS (
   SELECT class, min(doc_id) AS rep, any_value(n) AS n, any_value(grams) AS grams FROM sized WHERE n > 0 GROUP BY class
 ), cells AS (SELECT rep, n, unnest(grams) AS gram FROM classes),
 frequent AS (SELECT gram, count(*) AS c FROM cells GROUP BY gram HAVING count(*) > 1),
-overlaps AS (
+shared AS (
   SELECT a.rep AS x, b.rep AS y, a.n AS nx, b.n AS ny, count(*) AS o
   FROM cells a JOIN frequent USING (gram) JOIN cells b USING (gram)
   WHERE a.rep < b.rep AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
   GROUP BY ALL
 ), links AS (
-  SELECT x, y FROM overlaps WHERE 100 * o >= 90 * (nx + ny - o)
+  SELECT x, y FROM shared WHERE 100 * o >= 90 * (nx + ny - o)
 ), edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (
   SELECT rep AS node, rep AS seen FROM classes
@@ -143,7 +143,56 @@ SELECT s.doc_id, s.n AS n_shingles, coalesce(r.component, s.doc_id) AS component
 FROM sized s LEFT JOIN classes c ON s.class = c.class AND s.n > 0 LEFT JOIN roots r ON c.rep = r.node
 """
 
+_OP5 = """
+WITH raw AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS w
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM raw)
+), repeated AS (SELECT w FROM strings GROUP BY w HAVING count(*) > 1),
+starts AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200, true) AS new
+  FROM strings SEMI JOIN repeated USING (w)
+), numbered AS (
+  SELECT doc_id, i, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM starts
+), spans AS (
+  SELECT doc_id, min(i) AS low, max(i) + 200 AS high FROM numbered GROUP BY doc_id, span
+), edges AS (
+  SELECT doc_id, low, high FROM spans
+  UNION ALL SELECT doc_id, len(h) // 2, len(h) // 2 FROM raw
+), gaps AS (
+  SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low, high), 0) AS since FROM edges
+), kept AS (
+  SELECT g.doc_id, string_agg(substr(r.h, 2 * g.since + 1, 2 * (g.low - g.since)), '' ORDER BY g.low, g.high) AS h,
+         sum(g.high - g.low) AS n_removed, count(*) - 1 AS n_spans
+  FROM gaps g JOIN raw r ON g.doc_id = r.doc_id GROUP BY g.doc_id
+)
+SELECT r.doc_id, CAST(len(r.h) // 2 AS BIGINT) AS n_bytes, CAST(k.n_removed AS BIGINT) AS n_removed,
+       CAST(k.n_spans AS BIGINT) AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM raw r JOIN kept k ON r.doc_id = k.doc_id
+"""
+
+_OP8 = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS node, vec_id AS seen FROM embeddings
+  UNION
+  SELECT r.node, l.y FROM reach r JOIN links l ON r.seen = l.x
+), roots AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN roots r ON e.vec_id = r.node LEFT JOIN counts c ON c.x = e.vec_id
+"""
+
 ORACLE: dict[str, str] = {
     "op3_ngram_jaccard_join": _OP3,
+    "op5_suffix_array_dedup": _OP5,
     "op7_line_dedup": _OP7,
+    "op8_embedding_near_dedup": _OP8,
 }
