@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import suffixes, texts
@@ -197,19 +197,22 @@ def _strings(size: int):
 def repeated_spans(rows: DataFrame, size: int, gram: int) -> DataFrame:
     """row, low, high: bytes that strings found elsewhere cover, for rows (row, text)."""
     found = rows.mapInArrow(_find_anchors(size, gram), "gram long, around long, row long, at long")
-    alike = Window.partitionBy("gram", "around")
-    shared = texts.checkpointed(
-        found.repartition("gram")
-        .withColumn("turn", F.row_number().over(alike.orderBy("row", "at")))
-        .withColumn("same", F.count("*").over(alike))
-        .withColumn("kinds", F.sum(F.when(F.col("turn") == 1, 1)).over(Window.partitionBy("gram")))
-        .where((F.col("same") > 1) | (F.col("kinds") > 1))
+    # Grams that occur once are most of all; counting them combines before the shuffle, and
+    # the join back may split a gram that very many places share.
+    often = found.groupBy("gram").agg(
+        F.count("*").alias("n"), (F.min("around") != F.max("around")).alias("mixed")
     )
+    shared = texts.checkpointed(found.join(often.where(F.col("n") > 1).drop("n"), "gram"))
+    alike = shared.groupBy("gram", "around").agg(F.count("*").alias("same"), F.min("row").alias("first"))
+    told = shared.join(alike, ["gram", "around"])
     # Surroundings that occur twice repeat throughout.
-    whole = shared.where(F.col("same") > 1).select(
+    whole = told.where(F.col("same") > 1).select(
         "row", (F.col("at") - (size - gram)).alias("low"), (F.col("at") + size).alias("high")
     )
-    differing = shared.where((F.col("turn") == 1) & (F.col("kinds") > 1))
+    each = told.where(F.col("mixed") & (F.col("row") == F.col("first")))
+    each = each.groupBy("gram", "around", "row", "same").agg(F.min("at").alias("at"))
+    kinds = each.groupBy("gram").agg(F.count("*").alias("kinds"))
+    differing = texts.checkpointed(each.join(kinds, "gram").select("gram", "row", "at", "same", "kinds"))
     shards = 1 + differing.count() * (2 * size - gram) // SHARD_BYTES
     chosen = differing.groupBy("row").agg(F.collect_list(F.struct("gram", "at", "same", "kinds")).alias("chosen"))
     around = rows.join(chosen, "row").mapInArrow(
