@@ -8,6 +8,7 @@ sequence each goes to, without any task that sees all pieces.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections import Counter, defaultdict
@@ -25,7 +26,9 @@ from granary.llm import texts
 # Pieces of one length are ranked in so many parts, each by its own task.
 PARTS = 64
 # Strings between white space whose ids a worker remembers at most.
-REMEMBERED = 500_000
+REMEMBERED = 1_500_000
+# Bytes of text encoded at a time; more of them share more words.
+ENCODED_BYTES = 1 << 20
 
 
 _PUNCTUATION = np.zeros(256, dtype=bool)
@@ -34,14 +37,14 @@ _ASCII_LETTER = np.zeros(256, dtype=bool)
 _ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
-def separated(data: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
+def separated(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts lower-cased in ASCII, with a blank wherever ASCII letters and punctuation meet.
 
     The apostrophe does not count, as it may begin an ending of its own.
     """
     letter, sign = _ASCII_LETTER[data], _PUNCTUATION[data]
     meets = np.flatnonzero((letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])) + 1
-    return np.insert(texts.LOWER[data], meets, 32).tobytes(), offsets + np.searchsorted(meets, offsets)
+    return np.insert(texts.LOWER[data], meets, 32), offsets + np.searchsorted(meets, offsets)
 
 
 class Encoder:
@@ -49,58 +52,110 @@ class Encoder:
 
     It serves tokenizers that lower-case, and split at white space, which they drop, and
     between letters and other signs: the ids of a text are then those of its strings one
-    after the other. Each distinct string is encoded once and remembered.
+    after the other. Each distinct string is encoded once and remembered by its hash.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory: dict[bytes, bytes] = {}
+        # Hashes of known strings in ascending order, and where their ids stand in `flat`.
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.begin = np.zeros(0, dtype=np.int64)
+        self.length = np.zeros(0, dtype=np.int64)
+        self.flat, self.used = np.zeros(1 << 16, dtype="<u4"), 0
         self.room = remembered
         self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         # A word's last id is one that stands at word ends only.
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[place for token, place in vocabulary.items() if token.endswith("</w>")]] = True
+        # Lower-case ASCII words pass normalizing and splitting as they are, so the bare model serves them.
+        bare = json.loads(self.tokenizer.to_str())
+        bare |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.bare = Tokenizer.from_str(json.dumps(bare))
+        trial = sorted(token[:-4].encode() for token in vocabulary if token.endswith("</w>") and token[:-4].isascii() and token[:-4].islower() and token[:-4].isalpha())
+        trial = [a + b for a, b in zip(trial[:500], reversed(trial))]
+        if self._ids(self.bare, trial).tolist() != self._ids(self.tokenizer, trial).tolist():
+            self.bare = self.tokenizer
+
+    @staticmethod
+    def _ids(tokenizer: Tokenizer, words: list[bytes]) -> np.ndarray:
+        lines = [b" ".join(words[at : at + 100]).decode() for at in range(0, len(words), 100)]
+        encoded = tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        return np.array([i for line in encoded for i in line.ids], dtype="<u4")
 
     def _whole(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _encode(self, strings: list[bytes]) -> dict[bytes, bytes]:
         """Ids of distinct strings; plain words are encoded many at a time."""
-        decoded = {string: string.decode("utf-8", "replace") for string in strings}
-        plain = [string for string, word in decoded.items() if word.isalpha()]
-        found = {string: self._whole(string) for string, word in decoded.items() if not word.isalpha()}
-        lines = [" ".join(decoded[string] for string in plain[at : at + 100]) for at in range(0, len(plain), 100)]
-        encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.array([i for line in encoded for i in line.ids], dtype="<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(plain):
-            return found | {string: self._whole(string) for string in plain}
-        held, bounds = ids.tobytes(), [0, *(4 * cuts).tolist()]
-        found.update((string, held[a:b]) for string, a, b in zip(plain, bounds, bounds[1:]))
+        found: dict[bytes, bytes] = {}
+        ascii_words, rest = [], []
+        for string in strings:
+            (ascii_words if string.isalpha() else rest).append(string)
+        other_words = [string for string in rest if string.decode("utf-8", "replace").isalpha()]
+        for tokenizer, plain in ((self.bare, ascii_words), (self.tokenizer, other_words)):
+            ids = self._ids(tokenizer, plain)
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) == len(plain):
+                held = ids.tobytes()
+                found |= {string: held[a:b] for string, a, b in zip(plain, [0, *cuts], cuts)}
+        for string in rest if len(found) == len(ascii_words) + len(other_words) else strings:
+            if string not in found:
+                found[string] = self._whole(string)
         return found
 
+    def _learn(self, hashes: np.ndarray, strings: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Encode new strings; where their ids begin and how many they are.
+
+        They are remembered while there is room, else their ids are overwritten next time.
+        """
+        fresh = self._encode(strings)
+        ids = np.frombuffer(b"".join(map(fresh.__getitem__, strings)), dtype="<u4")
+        length = np.array([len(fresh[string]) for string in strings], dtype=np.int64) // 4
+        begin = self.used + np.cumsum(length) - length
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), dtype="<u4")])
+        self.flat[self.used : self.used + len(ids)] = ids
+        if len(self.hashes) + len(hashes) <= self.room:
+            self.used += len(ids)
+            self.hashes = np.insert(self.hashes, at, hashes)
+            self.begin = np.insert(self.begin, at, begin)
+            self.length = np.insert(self.length, at, length)
+        return begin, length
+
     def encode_all(self, column: pa.Array) -> Iterator[bytes]:
         """Ids of each text; null counts as empty."""
         data, offsets = texts.flat(column)
         held, bounds = separated(data, offsets)
+        starts, ends, first = texts.spans(~texts.SPACE[held], bounds)
+        hashes = texts.span_hashes(texts.prefix_sums(held), starts, ends)
+        order = np.argsort(hashes)
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = hashes[order][1:] != hashes[order][:-1]
+        each = np.empty(len(order), dtype=np.int64)
+        each[order] = np.cumsum(new) - 1
+        example = order[new]
+        distinct = hashes[example]
+        at = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), dtype=bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == distinct[inside]
+        begin, length = np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct), dtype=np.int64)
+        begin[known], length[known] = self.begin[at[known]], self.length[at[known]]
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            raw = held.tobytes()
+            spans = zip(starts[example[missing]].tolist(), ends[example[missing]].tolist())
+            begin[missing], length[missing] = self._learn(distinct[missing], [raw[a:b] for a, b in spans], at[missing])
+        counts = length[each]
+        ids = self.flat[texts.ranges(begin[each], counts)].tobytes()
+        edges = (4 * np.concatenate([[0], np.cumsum(counts)])[first]).tolist()
         raw = data.tobytes()
-        split = [held[a:b].split() for a, b in zip(bounds[:-1], bounds[1:])]
-        get = self.memory.get
-        found = [list(map(get, strings)) for strings in split]
-        missing = {string for strings, ids in zip(split, found) if None in ids for string, own in zip(strings, ids) if own is None}
-        fresh = self._encode(sorted(missing)) if missing else {}
-        for strings, ids, a, b in zip(split, found, offsets[:-1], offsets[1:]):
-            text = raw[a:b]
-            if any(token in text for token in self.special):
-                yield self._whole(text)
-            elif None in ids:
-                yield b"".join([fresh[string] if own is None else own for string, own in zip(strings, ids)])
-            else:
-                yield b"".join(ids)
-        if len(self.memory) < self.room:
-            self.memory.update(fresh)
+        special = [token for token in self.special if token in raw]
+        for k, (low, high) in enumerate(zip(edges, edges[1:])):
+            text = raw[offsets[k] : offsets[k + 1]] if special else b""
+            yield self._whole(text) if any(token in text for token in special) else ids[low:high]
 
 
 @lru_cache(maxsize=2)
@@ -119,7 +174,7 @@ def cut(documents: DataFrame, path: str, capacity: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         width = 4 * capacity
-        for batch in texts.runs(batches):
+        for batch in texts.runs(batches, size=ENCODED_BYTES):
             found: list[tuple] = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode_all(batch.column("text"))):
                 ids += b"\0\0\0\0"

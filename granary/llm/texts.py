@@ -61,12 +61,12 @@ def written(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def runs(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Batches, sliced into runs of rows with about RUN_BYTES bytes of text each."""
+def runs(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches, sliced into runs of rows with about so many bytes of text each."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes.astype(np.int64))
-        cuts = [0, *(np.flatnonzero(np.diff(ends // RUN_BYTES)) + 1).tolist(), batch.num_rows]
+        cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), batch.num_rows]
         for low, high in zip(cuts, cuts[1:]):
             if high > low:
                 yield batch.slice(low, high - low)
