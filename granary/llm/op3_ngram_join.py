@@ -11,11 +11,11 @@ counts decide. Equal sets are one row of the products throughout.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,7 +80,7 @@ def measurer(size: int):
         parts = [zlib.compress(part.tobytes(), 1) for part in np.split(np.minimum(cells, 65535).astype(np.uint16), CELL_PARTS)]
         blank = pa.nulls(CELL_PARTS)
         yield texts.rows(
-            _MEASURED, doc_id=blank.cast(pa.int64()), n=blank.cast(pa.int64()), sig=blank.cast(pa.int64()), sig2=blank.cast(pa.int64()),
+            _MEASURED, doc_id=blank.cast(pa.int64()), n=np.full(CELL_PARTS, TaskContext.get().partitionId()), sig=blank.cast(pa.int64()), sig2=blank.cast(pa.int64()),
             bits=blank.cast(pa.binary()), part=np.arange(CELL_PARTS, dtype=np.int32), cells=pa.array(parts, pa.binary()),
         )
 
@@ -90,17 +90,18 @@ def measurer(size: int):
 def frequencies(measured: DataFrame) -> np.ndarray:
     """How often n-grams of each cell occur, up to 65,535: a fixed two megabytes."""
 
-    def total(group: pd.DataFrame) -> pd.DataFrame:
+    def add(held: Sequence[bytes]) -> bytes:
         summed = np.zeros(CELLS // CELL_PARTS, dtype=np.int64)
-        for held in group["cells"]:
-            summed += np.frombuffer(zlib.decompress(held), dtype=np.uint16)
-        return pd.DataFrame({"part": group["part"].iloc[:1], "cells": [np.minimum(summed, 65535).astype(np.uint16).tobytes()]})
+        for cells in held:
+            summed += np.frombuffer(zlib.decompress(cells), dtype=np.uint16)
+        return zlib.compress(np.minimum(summed, 65535).astype(np.uint16).tobytes(), 1)
 
-    partial = measured.where(F.col("part").isNotNull()).select("part", "cells")
-    found = partial.groupBy("part").applyInPandas(total, "part int, cells binary").collect()
+    partial = measured.where(F.col("part").isNotNull()).select(
+        F.col("part").alias("place"), F.col("n").cast("int").alias("part"), F.col("cells").alias("held")
+    )
     cells = np.zeros((CELL_PARTS, CELLS // CELL_PARTS), dtype=np.uint16)
-    for row in found:
-        cells[row["part"]] = np.frombuffer(row["cells"], dtype=np.uint16)
+    for row in texts.added_up(partial, ["place"], add).collect():
+        cells[row["place"]] = np.frombuffer(zlib.decompress(row["held"]), dtype=np.uint16)
     return cells.ravel()
 
 

@@ -7,12 +7,12 @@ equations; only the sums, whose size is fixed, reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,25 +152,25 @@ class Model:
 
 def normal_equations(labelled: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Sums over all rows of products of features, and of features with labels."""
-    schema = pa.schema([("block", pa.int32()), ("sums", pa.binary())])
+    schema = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("held", pa.binary())])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = COSINES + 1
         sums = np.zeros((size, size + 1))
         for batch in batches:
             found = model.cosines(_matrix(batch.column("stats")))
             label = batch.column("label").to_numpy(zero_copy_only=False)
             sums += found.T @ np.hstack([found, label[:, None]])
-        parts = np.array_split(sums, BLOCKS)
-        yield texts.rows(schema, block=np.arange(BLOCKS, dtype=np.int32), sums=pa.array([p.tobytes() for p in parts], pa.binary()))
+        held = [part.tobytes() for part in np.array_split(sums, BLOCKS)]
+        part = np.full(BLOCKS, TaskContext.get().partitionId(), dtype=np.int32)
+        yield texts.rows(schema, block=np.arange(BLOCKS, dtype=np.int32), part=part, held=pa.array(held, pa.binary()))
 
-    def total(group: pd.DataFrame) -> pd.DataFrame:
-        summed = sum(np.frombuffer(held) for held in sorted(group["sums"]))
-        return pd.DataFrame({"block": group["block"].iloc[:1], "sums": [summed.tobytes()]})
+    def add(held: Sequence[bytes]) -> bytes:
+        return sum(map(np.frombuffer, held)).tobytes()
 
-    partial = labelled.select("stats", "label").mapInArrow(add, "block int, sums binary")
-    found = partial.groupBy("block").applyInPandas(total, "block int, sums binary").collect()
-    sums = np.vstack([np.frombuffer(row["sums"]).reshape(-1, COSINES + 2) for row in sorted(found, key=lambda r: r["block"])])
+    partial = labelled.select("stats", "label").mapInArrow(multiply, "block int, part int, held binary")
+    found = texts.added_up(partial, ["block"], add).collect()
+    sums = np.vstack([np.frombuffer(row["held"]).reshape(-1, COSINES + 2) for row in sorted(found, key=lambda r: r["block"])])
     return sums[:, :-1], sums[:, -1]
 
 

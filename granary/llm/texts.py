@@ -7,13 +7,15 @@ worker holds small arrays whatever the batch size; a longer text is a run of its
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RUN_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15
@@ -61,6 +63,22 @@ def written(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def added_up(partial: DataFrame, keys: list[str], add: Callable[[Sequence[bytes]], bytes], groups: int = 256) -> DataFrame:
+    """Sums of `held` (binary) by integer keys, where `part` numbers the tasks that made them.
+
+    Parts are added in two steps, so that no task takes what all tasks have made.
+    """
+    schema = ", ".join([f"{key} int" for key in keys] + ["part int", "held binary"])
+
+    def total(group: pd.DataFrame) -> pd.DataFrame:
+        first = group[[*keys, "part"]].iloc[:1]
+        return first.assign(held=[add(sorted(group["held"]))])
+
+    some = partial.withColumn("part", F.pmod("part", F.lit(groups)).cast("int"))
+    some = some.groupBy(*keys, "part").applyInPandas(total, schema)
+    return some.withColumn("part", F.lit(0)).groupBy(*keys).applyInPandas(total, schema).drop("part")
+
+
 def runs(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches, sliced into runs of rows with about so many bytes of text each."""
     for batch in batches:
