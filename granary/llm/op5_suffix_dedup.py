@@ -10,11 +10,13 @@ alone, so it stands in one shard only, and once for each place where it starts.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm import suffixes, texts
@@ -25,6 +27,11 @@ SHARD_BYTES = 1 << 19
 # An anchor with more different surroundings than this has its strings counted one by one:
 # they would not fit into one shard.
 SHARD_SURROUNDINGS = 4000
+# Cells of the frequency sketch of anchors, and the parts in which partial sketches are
+# added up. A cell with more than one in CROWD of all anchors is crowded; the anchors of
+# crowded cells are dealt to SALTS tasks each.
+CELLS, CELL_PARTS = 1 << 20, 64
+CROWD, SALTS = 10_000, 64
 
 _HIGHEST = np.uint64(2**64 - 1)
 
@@ -60,7 +67,10 @@ def anchors(total: np.ndarray, offsets: np.ndarray, size: int, gram: int) -> np.
     return np.flatnonzero(_sliding(np.concatenate([blank, least, blank]), width, np.maximum) == hashes)
 
 
-_ANCHORS = pa.schema([("gram", pa.int64()), ("around", pa.int64()), ("row", pa.int64()), ("at", pa.int64())])
+_ANCHORS = pa.schema(
+    [("gram", pa.int64()), ("around", pa.int64()), ("row", pa.int64()), ("at", pa.int64()), ("crowded", pa.bool_())]
+)
+_CELLS = pa.schema([("place", pa.int32()), ("part", pa.int32()), ("held", pa.binary())])
 _SPANS = pa.schema([("row", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 _AROUND = pa.schema(
     [("gram", pa.int64()), ("row", pa.int64()), ("at", pa.int64()), ("same", pa.int64()), ("kinds", pa.int64()),
@@ -74,7 +84,44 @@ def _surroundings(places: np.ndarray, low: np.ndarray, high: np.ndarray, size: i
     return np.maximum(places - (size - gram), low), np.minimum(places + size, high)
 
 
-def _find_anchors(size: int, gram: int):
+def _cell(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(44)).astype(np.int64)
+
+
+def _count_anchors(size: int, gram: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many anchors of the partition fall in each cell."""
+        cells = np.zeros(CELLS, dtype=np.uint32)
+        for batch in texts.runs(batches):
+            data, offsets = texts.flat(batch.column("text"))
+            total = texts.prefix_sums(data)
+            places = anchors(total, offsets, size, gram)
+            np.add.at(cells, _cell(texts.span_hashes(total, places, places + gram)), 1)
+        held = [zlib.compress(part.tobytes(), 1) for part in np.split(cells, CELL_PARTS)]
+        part = np.full(CELL_PARTS, TaskContext.get().partitionId(), dtype=np.int32)
+        yield texts.rows(_CELLS, place=np.arange(CELL_PARTS, dtype=np.int32), part=part, held=pa.array(held, pa.binary()))
+
+    return count
+
+
+def crowded_cells(rows: DataFrame, size: int, gram: int) -> np.ndarray:
+    """Which cells hold so many anchors that one task should not take an anchor of theirs: a fixed megabyte."""
+
+    def add(held: Sequence[bytes]) -> bytes:
+        summed = np.zeros(CELLS // CELL_PARTS, dtype=np.uint64)
+        for cells in held:
+            summed += np.frombuffer(zlib.decompress(cells), dtype=np.uint32)
+        return zlib.compress(np.minimum(summed, 2**32 - 1).astype(np.uint32).tobytes(), 1)
+
+    partial = rows.select("text").mapInArrow(_count_anchors(size, gram), "place int, part int, held binary")
+    cells = np.zeros((CELL_PARTS, CELLS // CELL_PARTS), dtype=np.uint32)
+    for row in texts.added_up(partial, ["place"], add).collect():
+        cells[row["place"]] = np.frombuffer(zlib.decompress(row["held"]), dtype=np.uint32)
+    cells = cells.ravel()
+    return cells > max(1, int(cells.sum(dtype=np.uint64)) // CROWD)
+
+
+def _find_anchors(size: int, gram: int, crowded: np.ndarray):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts.runs(batches):
             data, offsets = texts.flat(batch.column("text"))
@@ -83,12 +130,14 @@ def _find_anchors(size: int, gram: int):
             owner = np.searchsorted(offsets, places, side="right") - 1
             low, high = _surroundings(places, offsets[owner], offsets[owner + 1], size, gram)
             around = texts.span_hashes(total, low, high) + texts.mix((places - low).astype(np.uint64) + np.uint64(1))
+            grams = texts.span_hashes(total, places, places + gram)
             yield texts.rows(
                 _ANCHORS,
-                gram=texts.span_hashes(total, places, places + gram).view(np.int64),
+                gram=grams.view(np.int64),
                 around=around.view(np.int64),
                 row=batch.column("row").to_numpy()[owner],
                 at=places - offsets[owner],
+                crowded=crowded[_cell(grams)],
             )
 
     return find
@@ -196,23 +245,39 @@ def _strings(size: int):
 
 def repeated_spans(rows: DataFrame, size: int, gram: int) -> DataFrame:
     """row, low, high: bytes that strings found elsewhere cover, for rows (row, text)."""
-    found = rows.mapInArrow(_find_anchors(size, gram), "gram long, around long, row long, at long")
-    # Grams that occur once are most of all; counting them combines before the shuffle, and
-    # the join back may split a gram that very many places share.
-    often = found.groupBy("gram").agg(
-        F.count("*").alias("n"), (F.min("around") != F.max("around")).alias("mixed")
+    crowded = crowded_cells(rows, size, gram)
+    found = rows.mapInArrow(
+        _find_anchors(size, gram, crowded), "gram long, around long, row long, at long, crowded boolean"
+    )
+    salt = F.when(F.col("crowded"), F.pmod(F.xxhash64("row", "at"), F.lit(SALTS)).cast("int")).otherwise(0)
+    alike = Window.partitionBy("gram", "salt", "around")
+    # Anchors of crowded cells are all kept here: what is counted of them is in parts.
+    shared = texts.checkpointed(
+        found.withColumn("salt", salt)
+        .repartition("gram", "salt")
+        .withColumn("turn", F.row_number().over(alike.orderBy("row", "at")))
+        .withColumn("same", F.count("*").over(alike))
+        .withColumn("kinds", F.sum(F.when(F.col("turn") == 1, 1)).over(Window.partitionBy("gram", "salt")))
+        .where(F.col("crowded") | (F.col("same") > 1) | (F.col("kinds") > 1))
+        .select("gram", "around", "row", "at", "turn", "same", "kinds", "crowded")
     )
-    shared = texts.checkpointed(found.join(often.where(F.col("n") > 1).drop("n"), "gram"))
-    alike = shared.groupBy("gram", "around").agg(F.count("*").alias("same"), F.min("row").alias("first"))
-    told = shared.join(alike, ["gram", "around"])
+    chosen_columns = ("gram", "row", "at", "same", "kinds")
+    apart = shared.where(~F.col("crowded"))
+    lone = apart.where((F.col("turn") == 1) & (F.col("kinds") > 1)).select(*chosen_columns)
+    # Crowded anchors are counted with partial sums and joined back, which Spark may split.
+    crowd = shared.where(F.col("crowded")).select("gram", "around", "row", "at")
+    counted_crowd = crowd.groupBy("gram", "around").agg(F.count("*").alias("same"), F.min("row").alias("first"))
+    told = crowd.join(counted_crowd, ["gram", "around"])
+    each = told.where(F.col("row") == F.col("first")).groupBy("gram", "around", "row", "same").agg(F.min("at").alias("at"))
+    kinds = each.groupBy("gram").agg(F.count("*").alias("kinds")).where(F.col("kinds") > 1)
+    differing = texts.checkpointed(lone.unionAll(each.join(kinds, "gram").select(*chosen_columns)))
     # Surroundings that occur twice repeat throughout.
-    whole = told.where(F.col("same") > 1).select(
-        "row", (F.col("at") - (size - gram)).alias("low"), (F.col("at") + size).alias("high")
+    whole = (
+        apart.select("row", "at", "same")
+        .unionAll(told.select("row", "at", "same"))
+        .where(F.col("same") > 1)
+        .select("row", (F.col("at") - (size - gram)).alias("low"), (F.col("at") + size).alias("high"))
     )
-    each = told.where(F.col("mixed") & (F.col("row") == F.col("first")))
-    each = each.groupBy("gram", "around", "row", "same").agg(F.min("at").alias("at"))
-    kinds = each.groupBy("gram").agg(F.count("*").alias("kinds"))
-    differing = texts.checkpointed(each.join(kinds, "gram").select("gram", "row", "at", "same", "kinds"))
     shards = 1 + differing.count() * (2 * size - gram) // SHARD_BYTES
     chosen = differing.groupBy("row").agg(F.collect_list(F.struct("gram", "at", "same", "kinds")).alias("chosen"))
     around = rows.join(chosen, "row").mapInArrow(

@@ -161,7 +161,10 @@ def test_chain_feeds_earlier_chances_on():
     assert ((chances > 0.5) == (first == 1)[:, None]).all()
 
 
-def test_suffix_dedup(either):
+@pytest.mark.parametrize("crowd", [1, 10_000])
+def test_suffix_dedup(either, crowd, monkeypatch):
+    """With 1 no anchor is crowded; with 10,000 all that repeat in so few rows are."""
+    monkeypatch.setattr(op5_suffix_dedup, "CROWD", crowd)
     frame, plain = either
     rows = op5_suffix_dedup.remove_repeats(frame).select("*", F.sha2("kept", 256).alias("sha")).collect()
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["sha"]) for r in rows} == brute.without_repeats(plain, 200)
