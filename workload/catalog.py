@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -455,7 +454,7 @@ def _register_external_table(t: Tables) -> DataFrame:
     frame = view(t, "index")
     path = scratch.folder(t.spark, "register_external_table")
     g.write_table(frame, path, "tahun")
-    name = scratch.table("index_mart")
+    name = f"{scratch.database(t.spark)}.index_mart"
     g.register_table(t.spark, name, frame.schema, path, ["tahun"])
     return t.spark.table(name)
 
@@ -470,13 +469,12 @@ def _register_external_table(t: Tables) -> DataFrame:
     ),
 )
 def _table_counts(t: Tables) -> DataFrame:
-    database = f"granary_{uuid.uuid4().hex[:8]}"
+    database = scratch.database(t.spark)
     for name, source, fmt in (("prices", "price", "parquet"), ("rain", "weather", "orc")):
         frame = view(t, source)
         path = scratch.folder(t.spark, name)
         g.write_table(frame, path, "tahun", fmt=fmt)
-        table = f"{database}.{name}"
-        g.register_table(t.spark, table, frame.schema, path, ["tahun"], fmt=fmt)
+        g.register_table(t.spark, f"{database}.{name}", frame.schema, path, ["tahun"], fmt=fmt)
     return g.table_counts(t.spark, database)
 
 
@@ -1121,14 +1119,33 @@ def _run_silver_and_gold(t: Tables) -> DataFrame:
     folder = scratch.folder(t.spark, "run")
     for name in DATASET_NAMES:
         _raw_file(t, name, f"{folder}/raw")
-    suffix = uuid.uuid4().hex[:8]
-    silver, gold = f"granary_silver_{suffix}", f"granary_gold_{suffix}"
+    silver, gold = scratch.database(t.spark), scratch.database(t.spark)
     run_silver(t.spark, f"{folder}/raw", f"{folder}/silver", database=silver)
     run_gold(t.spark, f"{folder}/gold", gold, silver)
     mart = t.spark.table(f"{gold}.ketahanan_pangan_enriched")
     return rounded(rounded(mart, *FINE), *CENTS, digits=2)
 
 
+@query(
+    "run_silver_and_gold_indicators",
+    silver_views("production")
+    + " "
+    + with_rounding(
+        scored_sql(grouped_sql("production"), "total_produksi / 1000"),
+        [*measures("production"), "produksi_per_kapita"],
+    ),
+)
+def _run_silver_and_gold_indicators(t: Tables) -> DataFrame:
+    """The other mart of the same run, from the raw production file alone."""
+    folder = scratch.folder(t.spark, "run")
+    _raw_file(t, "production", f"{folder}/raw")
+    silver, gold = scratch.database(t.spark), scratch.database(t.spark)
+    run_silver(t.spark, f"{folder}/raw", f"{folder}/silver", ["produksi_pangan"], silver)
+    run_gold(t.spark, f"{folder}/gold", gold, silver)
+    mart = t.spark.table(f"{gold}.ketahanan_pangan_kab")
+    return rounded(mart, *measures("production"), "produksi_per_kapita")
+
+
 @query(
     "score_threshold",
     with_views(
