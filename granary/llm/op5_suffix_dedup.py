@@ -33,7 +33,7 @@ SHARD_SURROUNDINGS = 4000
 CELLS, CELL_PARTS = 1 << 20, 64
 CROWD, SALTS = 10_000, 64
 
-_HIGHEST = np.uint64(2**64 - 1)
+_HIGHEST = np.uint32(2**32 - 1)
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -47,10 +47,16 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def gram_hashes(total: np.ndarray, ends: np.ndarray, gram: int) -> np.ndarray:
-    """Hash of the gram at every place, from 1 on; the highest number where it would cross its text's end."""
-    starts = np.arange(max(0, len(total) - gram))
-    hashes = np.maximum(texts.span_hashes(total, starts, starts + gram), np.uint64(1))
-    hashes[starts + gram > ends[: len(starts)]] = _HIGHEST
+    """Hash of the gram at every place, from 1 on; the highest number where it would cross its text's end.
+
+    The upper half of a rolling hash serves: grams need only be put in some order.
+    """
+    if len(total) <= gram:
+        return np.zeros(0, dtype=np.uint32)
+    _, inverse = texts.powers(len(total))
+    hashes = (((total[gram:] - total[:-gram]) * inverse[: len(total) - gram]) >> np.uint64(32)).astype(np.uint32)
+    np.maximum(hashes, np.uint32(1), out=hashes)
+    hashes[np.arange(gram, gram + len(hashes)) > ends[: len(hashes)]] = _HIGHEST
     return hashes
 
 
@@ -63,7 +69,7 @@ def anchors(total: np.ndarray, offsets: np.ndarray, size: int, gram: int) -> np.
     least = _sliding(hashes, width, np.minimum)
     starts = np.arange(len(least))
     least[starts + size > ends[: len(least)]] = 0
-    blank = np.zeros(width - 1, dtype=np.uint64)
+    blank = np.zeros(width - 1, dtype=np.uint32)
     return np.flatnonzero(_sliding(np.concatenate([blank, least, blank]), width, np.maximum) == hashes)
 
 
