@@ -82,7 +82,7 @@ _AROUND = pa.schema(
     [("gram", pa.int64()), ("row", pa.int64()), ("at", pa.int64()), ("same", pa.int64()), ("kinds", pa.int64()),
      ("low", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("held", pa.binary())]
 )
-_STRINGS = pa.schema([("string", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("same", pa.int64())])
+_STRINGS = pa.schema([("string", pa.int64()), ("n", pa.int64()), ("places", pa.binary())])
 
 
 def _surroundings(places: np.ndarray, low: np.ndarray, high: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,6 +214,16 @@ def repeats(held: Sequence[bytes], first: np.ndarray, last: np.ndarray, size: in
     return piece, found - starts[piece]
 
 
+def _merged(row: np.ndarray, low: np.ndarray, size: int) -> pa.RecordBatch:
+    """Spans that strings starting at `low` cover, from starts sorted by row."""
+    # Starts less than a string apart cover one span.
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (low[1:] > low[:-1] + size)
+    at = np.flatnonzero(new)
+    end = np.append(at[1:], len(row)) - 1 if len(at) else at
+    return texts.rows(_SPANS, row=row[at], low=low[at], high=low[end] + size)
+
+
 def _sort_shards(size: int):
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in texts.groups(batches, ["shard"]):
@@ -221,34 +231,53 @@ def _sort_shards(size: int):
             piece, start = repeats(group.column("held").to_pylist(), get("first"), get("last"), size)
             # Surroundings that occur twice are removed anyway.
             once = get("same")[piece] == 1
-            piece, start = piece[once], start[once]
-            low = get("low")[piece] + start
-            # Starts less than a string apart cover one span.
-            new = np.ones(len(piece), dtype=bool)
-            new[1:] = (piece[1:] != piece[:-1]) | (low[1:] > low[:-1] + size)
-            at = np.flatnonzero(new)
-            end = np.append(at[1:], len(piece)) - 1 if len(at) else at
-            yield texts.rows(_SPANS, row=get("row")[piece[at]], low=low[at], high=low[end] + size)
+            row, low = get("row")[piece[once]], (get("low")[piece] + start)[once]
+            order = np.lexsort((low, row))
+            yield _merged(row[order], low[order], size)
 
     return sort
 
 
 def _strings(size: int):
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Hashes of the strings judged at each anchor."""
+        """Distinct strings judged at the anchors of a run, how often, and where they are to be removed."""
         for batch in texts.runs(batches, "held"):
             data, offsets = texts.flat(batch.column("held"))
             get = lambda name: batch.column(name).to_numpy()  # noqa: B023, E731
             counts = np.maximum(get("last") - get("first") + 1, 0)
-            row = np.repeat(np.arange(batch.num_rows), counts)
+            piece = np.repeat(np.arange(batch.num_rows), counts)
             within = texts.ranges(get("first"), counts)
-            where = within + offsets[row]
-            found = texts.span_hashes(texts.prefix_sums(data), where, where + size)
-            yield texts.rows(_STRINGS, string=found.view(np.int64), row=get("row")[row], start=get("low")[row] + within, same=get("same")[row])
+            where = within + offsets[piece]
+            hashes = texts.span_hashes(texts.prefix_sums(data), where, where + size)
+            order = np.argsort(hashes, kind="stable")
+            hashes, piece, within = hashes[order], piece[order], within[order]
+            new = np.ones(len(hashes), dtype=bool)
+            new[1:] = hashes[1:] != hashes[:-1]
+            at = np.flatnonzero(new)
+            once = get("same")[piece] == 1
+            places = np.stack([get("row")[piece], get("low")[piece] + within], axis=1)[once].tobytes()
+            edges = 16 * np.concatenate([[0], np.cumsum(once)])[np.append(at, len(hashes))]
+            yield texts.rows(
+                _STRINGS,
+                string=hashes[at].view(np.int64),
+                n=np.diff(np.append(at, len(hashes))),
+                places=pa.array([places[a:b] for a, b in zip(edges.tolist(), edges[1:].tolist())], pa.binary()),
+            )
 
     return strings
 
 
+def _places(size: int):
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spans that the places of repeated strings cover."""
+        for batch in batches:
+            found = np.frombuffer(b"".join(batch.column("places").to_pylist()), dtype=np.int64).reshape(-1, 2)
+            found = found[np.lexsort((found[:, 1], found[:, 0]))]
+            yield _merged(found[:, 0], found[:, 1], size)
+
+    return unpack
+
+
 def repeated_spans(rows: DataFrame, size: int, gram: int) -> DataFrame:
     """row, low, high: bytes that strings found elsewhere cover, for rows (row, text)."""
     crowded = crowded_cells(rows, size, gram)
@@ -296,13 +325,9 @@ def repeated_spans(rows: DataFrame, size: int, gram: int) -> DataFrame:
     sorted_spans = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
         _sort_shards(size), "row long, low long, high long"
     )
-    strings = around.where(F.col("shard").isNull()).mapInArrow(
-        _strings(size), "string long, row long, start long, same long"
-    )
-    often = strings.groupBy("string").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("string")
-    counted = strings.where(F.col("same") == 1).join(often, "string").select(
-        "row", F.col("start").alias("low"), (F.col("start") + size).alias("high")
-    )
+    strings = around.where(F.col("shard").isNull()).mapInArrow(_strings(size), "string long, n long, places binary")
+    often = strings.groupBy("string").agg(F.sum("n").alias("times")).where(F.col("times") > 1).select("string")
+    counted = strings.join(often, "string").select("places").mapInArrow(_places(size), "row long, low long, high long")
     return whole.unionAll(sorted_spans).unionAll(counted)
 
 
