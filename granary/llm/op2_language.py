@@ -129,8 +129,9 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 def fit(labelled: DataFrame, sample_docs: int = 4000, keep_words: int = 100_000, keep_grams: int = 30_000) -> Model | None:
     """Learn from doc_id, text and lang: about `sample_docs` documents of each language.
 
-    The model holds at most `keep_words` words and `keep_grams` n-grams of each order,
-    the most frequent ones; its size does not grow with the corpus.
+    The model holds at most `keep_words` words and `keep_grams` n-grams of each order, the
+    most frequent ones, and all or none of those alike in count; its size does not grow
+    with the corpus.
     """
     labelled = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     there = {row["lang"]: row["n"] for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -146,10 +147,21 @@ def fit(labelled: DataFrame, sample_docs: int = 4000, keep_words: int = 100_000,
             *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(sorted(there))],
         )
     )
+    # The least count kept of each order: as low as the room allows, and none if it has none.
+    least = {}
+    seen: dict[int, int] = {}
+    for row in summed.groupBy("order", "n").agg(F.count("*").alias("grams")).orderBy(F.col("n").desc()).collect():
+        order = row["order"]
+        seen[order] = seen.get(order, 0) + row["grams"]
+        if seen[order] <= (keep_grams if order else keep_words):
+            least[order] = row["n"]
+    wanted = F.lit(False)
+    for order, n in least.items():
+        wanted |= (F.col("order") == order) & (F.col("n") >= n)
+    found = summed.where(wanted).toPandas()
     grams, logs = {}, {}
     for order in (0, *ORDERS):
-        keep = keep_grams if order else keep_words
-        own = summed.where(F.col("order") == order).orderBy(F.col("n").desc(), "gram").limit(keep).toPandas()
+        own = found[found["order"] == order]
         hashes = own["gram"].to_numpy(dtype=np.int64).view(np.uint64)
         counts = own[[f"n{k}" for k in range(len(there))]].to_numpy(dtype=np.float64)
         at = np.argsort(hashes)
