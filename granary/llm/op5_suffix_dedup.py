@@ -32,6 +32,8 @@ SHARD_SURROUNDINGS = 4000
 # crowded cells are dealt to SALTS tasks each.
 CELLS, CELL_PARTS = 1 << 20, 64
 CROWD, SALTS = 10_000, 64
+# Neighbouring strings at a crowded anchor that are told apart only where they have to be.
+BLOCK_STRINGS = 16
 
 _HIGHEST = np.uint32(2**32 - 1)
 
@@ -82,6 +84,9 @@ _AROUND = pa.schema(
     [("gram", pa.int64()), ("row", pa.int64()), ("at", pa.int64()), ("same", pa.int64()), ("kinds", pa.int64()),
      ("low", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("held", pa.binary())]
 )
+_BLOCKS = pa.schema(
+    [("block", pa.int64()), ("row", pa.int64()), ("low", pa.int64()), ("n", pa.int64()), ("same", pa.int64()), ("held", pa.binary())]
+)
 _STRINGS = pa.schema([("string", pa.int64()), ("n", pa.int64()), ("places", pa.binary())])
 
 
@@ -238,6 +243,32 @@ def _sort_shards(size: int):
     return sort
 
 
+def _blocks(size: int):
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of neighbouring strings judged at an anchor, cut at equal distances from it."""
+        for batch in texts.runs(batches, "held"):
+            data, offsets = texts.flat(batch.column("held"))
+            get = lambda name: batch.column(name).to_numpy()  # noqa: B023, E731
+            counts = np.maximum(get("last") - get("first") + 1, 0)
+            piece = np.repeat(np.arange(batch.num_rows), counts)
+            within = texts.ranges(get("first"), counts)
+            block = ((get("at") - get("low"))[piece] - within) // BLOCK_STRINGS
+            new = np.ones(len(piece), dtype=bool)
+            new[1:] = (piece[1:] != piece[:-1]) | (block[1:] != block[:-1])
+            at = np.flatnonzero(new)
+            n = np.diff(np.append(at, len(piece)))
+            piece, within = piece[at], within[at]
+            start = within + offsets[piece]
+            end = start + n - 1 + size
+            hashes = texts.span_hashes(texts.prefix_sums(data), start, end)
+            held = pa.array([data[a:b].tobytes() for a, b in zip(start, end)], pa.binary())
+            yield texts.rows(
+                _BLOCKS, block=hashes.view(np.int64), row=get("row")[piece], low=get("low")[piece] + within, n=n, same=get("same")[piece], held=held
+            )
+
+    return blocks
+
+
 def _strings(size: int):
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct strings judged at the anchors of a run, how often, and where they are to be removed."""
@@ -325,10 +356,26 @@ def repeated_spans(rows: DataFrame, size: int, gram: int) -> DataFrame:
     sorted_spans = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
         _sort_shards(size), "row long, low long, high long"
     )
-    strings = around.where(F.col("shard").isNull()).mapInArrow(_strings(size), "string long, n long, places binary")
+    # Blocks of strings that repeat as a whole are settled by one row; of others, and of one
+    # of each that repeats, single strings are counted.
+    blocks = texts.checkpointed(
+        around.where(F.col("shard").isNull())
+        .select("row", "at", "same", "low", "first", "last", "held")
+        .mapInArrow(_blocks(size), "block long, row long, low long, n long, same long, held binary")
+    )
+    repeated = blocks.groupBy("block").agg(F.count("*").alias("times"), F.min("row").alias("least"))
+    settled = blocks.join(repeated, "block")
+    whole_blocks = settled.where((F.col("times") > 1) & (F.col("same") == 1)).select(
+        "row", "low", (F.col("low") + F.col("n") - 1 + size).alias("high")
+    )
+    rest = settled.where((F.col("times") == 1) | (F.col("row") == F.col("least"))).select(
+        "row", "low", F.lit(0).cast("long").alias("first"), (F.col("n") - 1).alias("last"),
+        F.when(F.col("times") == 1, F.col("same")).otherwise(2).cast("long").alias("same"), "held",
+    )
+    strings = rest.mapInArrow(_strings(size), "string long, n long, places binary")
     often = strings.groupBy("string").agg(F.sum("n").alias("times")).where(F.col("times") > 1).select("string")
     counted = strings.join(often, "string").select("places").mapInArrow(_places(size), "row long, low long, high long")
-    return whole.unionAll(sorted_spans).unionAll(counted)
+    return whole.unionAll(sorted_spans).unionAll(whole_blocks).unionAll(counted)
 
 
 _KEPT = pa.schema(
