@@ -223,6 +223,8 @@ def fit(labelled: DataFrame, ridge: float = 1e-5, seed: int = 6) -> Model | None
     steps = steps.orderBy("bin").toPandas()
     model.knots = steps["raw"].to_numpy(dtype=float)
     model.levels = isotonic(steps["label"].to_numpy(dtype=float), steps["n"].to_numpy(dtype=float))
+    if len(np.unique(model.levels)) < 2:  # too few labels to calibrate by
+        model.knots = model.knots[:0]
     return model
 
 
