@@ -9,7 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions import named
 from granary.spec import Rule
 
 

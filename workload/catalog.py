@@ -12,7 +12,6 @@ import granary as g
 from granary.functions import (
     label_by_threshold,
     named,
-    parse_integer,
     parse_number,
     score_by_threshold,
     year_from,

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import granary as g
-from granary.operators import quality
 from granary.plans import presets
-from workload.catalog import KEYS, query, rounded
+from workload.catalog import query, rounded
 from workload.views import VIEWS, Tables, view, with_views
 
 ROWS = "count(*)"
