@@ -3,7 +3,8 @@
 A rotation learned on a bounded sample turns vectors into binary codes whose bits are
 balanced. Every table is keyed by a part of the code; codes that differ in few bits
 agree, but for one bit at most, in some part. Codes found near form clusters, and there
-the original vectors decide, in blocks of a matrix product.
+the original vectors decide, in blocks of a matrix product. Near vectors whose codes are
+not near are found by a product of all blocks, which looks at pairs of different clusters.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from granary.llm import graph, texts, vectors
 from granary.llm.op3_ngram_join import blocked
 
 MOST_BITS = 64
-# Codes in a block of a table's bucket; vectors in a block of a cluster.
+# Codes in a block of a table's bucket; vectors in a block of a cluster; components of the
+# vectors in a block of all, and blocks that many vectors are dealt to at least.
 BLOCK_CODES, BLOCK_VECTORS = 4000, 2000
+BLOCK_COMPONENTS, LEAST_BLOCKS = 1 << 19, 8
 
 
 @dataclass
@@ -56,7 +59,10 @@ class Rotation:
         return signs.astype(np.uint64) @ (np.uint64(1) << np.arange(self.bits, dtype=np.uint64))
 
     def radius(self, least: float) -> int:
-        """Differing bits to expect at this cosine, and three standard deviations more."""
+        """Differing bits to expect at this cosine, and three standard deviations more.
+
+        Codes are of centred vectors, whose angles are wider: near vectors may differ in more.
+        """
         part = np.arccos(least) / np.pi
         return int(np.ceil(self.bits * part + 3 * np.sqrt(self.bits * part * (1 - part))))
 
@@ -159,13 +165,57 @@ def _compare(dim: int, least: float):
     return compare
 
 
+def _apart(dim: int, least: float):
+    # Products in single precision are off by less than this.
+    slack = 1e-6 + 2e-7 * dim
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links between vectors of different clusters in two blocks, and edges that join what links join."""
+        for group in texts.groups(batches, ["i", "j"]):
+            rep, copies, block, cluster = (group.column(name).to_numpy() for name in ("rep", "copies", "block", "cluster"))
+            units = vectors.unit(vectors.matrix(group.column("vector"), dim))
+            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+            low, high = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            other = units[high].astype(np.float32)
+            forest = graph.Forest(len(rep))
+            counts = np.zeros(len(rep), dtype=np.int64)
+            edges = []
+            for start in range(0, len(low), 512):
+                rows = low[start : start + 512]
+                a, b = np.nonzero(units[rows].astype(np.float32) @ other.T >= least - slack)
+                a, b = rows[a], high[b]
+                wanted = cluster[a] != cluster[b]
+                if i == j:
+                    wanted &= a < b
+                a, b = a[wanted], b[wanted]
+                step = max(1, (1 << 22) // dim)
+                for at in range(0, len(a), step):
+                    x, y = a[at : at + step], b[at : at + step]
+                    linked = np.einsum("ij,ij->i", units[x], units[y]) >= least
+                    x, y = x[linked], y[linked]
+                    np.add.at(counts, x, copies[y])
+                    np.add.at(counts, y, copies[x])
+                    edges += [(rep[p], rep[q]) for p, q in zip(x, y) if forest.join(int(p), int(q))]
+            some = np.flatnonzero(counts)
+            to = [b for _, b in edges]
+            yield texts.rows(
+                _LINKED,
+                rep=np.concatenate([rep[some], np.array([a for a, _ in edges], dtype=np.int64)]),
+                links=np.concatenate([counts[some], np.zeros(len(edges), dtype=np.int64)]),
+                to=pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(to, pa.int64())]),
+            )
+
+    return apart
+
+
 def deduplicate(embeddings: DataFrame, least: float = 0.95, sample_vectors: int = 20_000) -> DataFrame:
     """Links between vectors whose cosine is at least `least`: vec_id, n_links, component_id, kept.
 
     One row per input row. n_links counts other vectors linked directly, component_id is
     the smallest vec_id reachable by links, itself included, and kept tells whether it is
-    the vector's own. Pairs are found by codes and counted only if their original vectors
-    are that near, in double precision.
+    the vector's own. Pairs are found by codes, and those that codes miss by a product of
+    all blocks, whose work grows with the square of the distinct vectors. They are counted
+    only if their original vectors are that near, in double precision.
 
     Vectors that are null, zero or hold null or non-finite components link with nothing.
     Equal vectors are copies: they link with each other and are compared as one. Shorter
@@ -223,16 +273,27 @@ def _linked(classes: DataFrame, rotation: Rotation, dim: int, least: float) -> D
         .mapInArrow(_near(radius), "a long, b long")
     )
     clusters = graph.components(near).select(F.col("node").alias("code"), F.col("component").alias("near"))
-    clustered = coded.join(clusters, "code", "left").withColumn("cluster", F.coalesce("near", "code"))
+    clustered = texts.checkpointed(coded.join(clusters, "code", "left").withColumn("cluster", F.coalesce("near", "code")).drop("near"))
     several = clustered.groupBy("cluster").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
     several = several.withColumn("blocks", F.ceil(F.col("rows") / BLOCK_VECTORS)).drop("rows")
     rows = blocked(clustered.join(several, "cluster"), F.col("cluster"), "blocks", "rep")
-    compared = texts.checkpointed(
+    near_by = (
         rows.select("cluster", "i", "j", "block", "rep", "copies", "vector")
         .repartition("cluster", "i", "j")
         .sortWithinPartitions("cluster", "i", "j")
         .mapInArrow(_compare(dim, least), "rep long, links long, to long")
     )
+    total = clustered.count()
+    most = max(1, BLOCK_COMPONENTS // dim)
+    blocks = max(-(-total // most), min(LEAST_BLOCKS, -(-total // 256)))
+    everything = blocked(clustered.withColumn("blocks", F.lit(blocks)), F.lit(0), "blocks", "rep")
+    apart = (
+        everything.select("i", "j", "block", "cluster", "rep", "copies", "vector")
+        .repartition("i", "j")
+        .sortWithinPartitions("i", "j")
+        .mapInArrow(_apart(dim, least), "rep long, links long, to long")
+    )
+    compared = texts.checkpointed(near_by.unionAll(apart))
     links = compared.groupBy("rep").agg(F.sum("links").alias("links"))
     edges = compared.where(F.col("to").isNotNull()).select(F.col("rep").alias("a"), F.col("to").alias("b"))
     components = graph.components(edges).select(F.col("node").alias("rep"), "component")

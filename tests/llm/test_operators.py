@@ -251,6 +251,30 @@ def test_embedding_links_in_small_blocks(spark, monkeypatch):
     assert found == wanted
 
 
+def shared_direction(n=400, dim=64, common=0.85):
+    """Unit vectors around one direction, in pairs just nearer than the limit."""
+    draw = np.random.default_rng(11)
+    main = np.eye(dim)[0] * np.sqrt(common)
+    found = []
+    for _ in range(n // 2):
+        a, b = np.linalg.qr(draw.standard_normal((dim - 1, 2)))[0].T
+        angle = np.arccos(1 - (1 - 0.9505) / (1 - common))
+        for side in (a, np.cos(angle) * a + np.sin(angle) * b):
+            found.append(main + np.sqrt(1 - common) * np.concatenate([[0.0], side]))
+    return [(k, row.tolist()) for k, row in enumerate(found)]
+
+
+@pytest.mark.parametrize("components", [1 << 19, 64 * 30])
+def test_embedding_links_of_vectors_that_share_a_direction(spark, monkeypatch, components):
+    monkeypatch.setattr(op8_embeddings, "BLOCK_COMPONENTS", components, raising=False)
+    plain = shared_direction()
+    frame = spark.createDataFrame(plain, "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in op8_embeddings.deduplicate(frame).collect()}
+    wanted = brute.vector_links(plain, 0.95)
+    assert sum(v[0] for v in wanted.values()) >= 400
+    assert found == wanted
+
+
 def test_packing(either):
     frame, plain = either
     path = public_tokenizers.path("word_bpe_49k.json")
