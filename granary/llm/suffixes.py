@@ -1,4 +1,4 @@
-"""Suffix arrays by induced sorting, and permuted common prefixes, over arrays of small numbers.
+"""Suffix arrays by induced sorting, and common prefixes by span hashes, over arrays of small numbers.
 
 Suffixes are classified as smaller or larger than their successor. Where a smaller one
 follows a larger one (leftmost smaller), a substring begins. Sorting these substrings
