@@ -5,7 +5,8 @@ how many count as rarest follows from the set's size. Only those n-grams become
 of the first product. Its pairs are discarded where sizes, or a lower bound on what
 differs (bits that tell whether a part of the set is odd), rule them out. What remains
 falls into clusters; each is multiplied out with whole sets, in blocks, and overlap
-counts decide. Equal sets are one row of the products throughout.
+counts decide. Equal sets are one row of the products throughout, named by their
+signature, so that texts that share a doc_id stay apart.
 """
 
 from __future__ import annotations
@@ -169,12 +170,12 @@ def _candidates(per_cent: int):
         """Edges of the first product, one column (or block of one) after the other."""
         held: list[tuple[int, int]] = []
         for group in texts.groups(batches, ["gram", "i", "j"]):
-            n, rep, block = (group.column(name).to_numpy() for name in ("n", "rep", "block"))
+            n, node, block = (group.column(name).to_numpy() for name in ("n", "node", "block"))
             order = np.argsort(n, kind="stable")
             bits = [np.frombuffer(b, dtype=np.uint64) for b in group.column("bits").to_pylist()]
             across = block[order] if group.column("i")[0] != group.column("j")[0] else None
             pairs = near(n[order], [bits[k] for k in order], per_cent, across)
-            held += [(rep[order[a]], rep[order[b]]) for a, b in pairs]
+            held += [(node[order[a]], node[order[b]]) for a, b in pairs]
             if len(held) > 10_000:
                 yield texts.rows(_EDGES, a=[a for a, _ in held], b=[b for _, b in held])
                 held = []
@@ -216,18 +217,18 @@ def _verify(per_cent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Edges of the second product, cluster by cluster."""
         for group in texts.groups(batches, ["cluster", "i", "j"]):
-            rep, first = np.unique(group.column("rep").to_numpy(), return_index=True)
+            node, first = np.unique(group.column("node").to_numpy(), return_index=True)
             held = group.column("grams").to_pylist()
             members = [np.frombuffer(held[k], dtype=np.uint64) for k in first]
             across = group.column("block").to_numpy()[first] if group.column("i")[0] != group.column("j")[0] else None
             pairs = links(members, per_cent, across)
-            yield texts.rows(_EDGES, a=[rep[a] for a, _ in pairs], b=[rep[b] for _, b in pairs])
+            yield texts.rows(_EDGES, a=[node[a] for a, _ in pairs], b=[node[b] for _, b in pairs])
 
     return verify
 
 
 def _whole(size: int):
-    schema = pa.schema([("rep", pa.int64()), ("cluster", pa.int64()), ("blocks", pa.int64()), ("grams", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("cluster", pa.int64()), ("blocks", pa.int64()), ("grams", pa.binary())])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole sets of the texts that are the ones meant."""
@@ -236,9 +237,9 @@ def _whole(size: int):
             sig, sig2 = signatures(grams, bounds)
             meant = (sig == batch.column("sig").to_numpy()) & (sig2 == batch.column("sig2").to_numpy())
             rows = np.flatnonzero(meant)
-            part = batch.select(["rep", "cluster", "blocks"]).take(pa.array(rows))
+            part = batch.select(["sig", "cluster", "blocks"]).take(pa.array(rows))
             held = pa.array([grams[bounds[k] : bounds[k + 1]].tobytes() for k in rows], pa.binary())
-            yield texts.rows(schema, rep=part.column("rep"), cluster=part.column("cluster"), blocks=part.column("blocks"), grams=held)
+            yield texts.rows(schema, node=part.column("sig"), cluster=part.column("cluster"), blocks=part.column("blocks"), grams=held)
 
     return whole
 
@@ -253,8 +254,14 @@ def join(documents: DataFrame, size: int = 5, per_cent: int = 80) -> DataFrame:
 
     Null, empty and blank texts have no n-grams and link with nothing. Repeated rows link
     with each other. Rows with null doc_id name no component: theirs is the smallest id
-    they reach, or null. Extra columns are ignored; an empty table gives an empty result.
+    they reach, or null. Rows of one doc_id with different texts are rows of their own: each
+    has the smallest doc_id that its own text reaches. Extra columns are ignored; an empty table gives an empty result.
     """
+    return _grouped(documents, size, per_cent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _grouped(documents: DataFrame, size: int, per_cent: int) -> DataFrame:
+    """doc_id, n, sig, sig2, group (null without n-grams) and component_id of every row."""
     own = documents.select(F.col("doc_id").cast("long"), "text")
     measured = texts.checkpointed(
         own.mapInArrow(measurer(size), "doc_id long, n long, sig long, sig2 long, bits binary, part int, cells binary")
@@ -276,39 +283,60 @@ def join(documents: DataFrame, size: int = 5, per_cent: int = 80) -> DataFrame:
         .withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS))
         .drop("rows")
     )
-    incidence = blocked(columns.join(classes, "sig"), F.col("gram"), "blocks", "rep")
-    dealt = incidence.select("gram", "i", "j", "block", "rep", "n", "bits").repartition("gram", "i", "j")
+    incidence = blocked(columns.join(classes, "sig").withColumn("node", F.col("sig")), F.col("gram"), "blocks", "node")
+    dealt = incidence.select("gram", "i", "j", "block", "node", "n", "bits").repartition("gram", "i", "j")
     candidates = dealt.sortWithinPartitions("gram", "i", "j").mapInArrow(_candidates(per_cent), "a long, b long")
-    clusters = graph.components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-    clustered = clusters.join(classes.select("rep", "sig", "sig2", "n"), "rep")
+    clusters = graph.components(candidates).select(F.col("node").alias("sig"), F.col("component").alias("cluster"))
+    clustered = clusters.join(classes.select("rep", "sig", "sig2", "n"), "sig")
     sizes = clustered.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_ELEMENTS).alias("blocks"))
     wanted = texts.checkpointed(clustered.join(sizes, "cluster"))
-    sources = own.join(wanted, own["doc_id"] == wanted["rep"]).select("rep", "cluster", "blocks", "sig", "sig2", "text")
+    sources = own.join(wanted, own["doc_id"] == wanted["rep"]).select("cluster", "blocks", "sig", "sig2", "text")
     rows = blocked(
-        sources.mapInArrow(_whole(size), "rep long, cluster long, blocks long, grams binary"), F.col("cluster"), "blocks", "rep"
+        sources.mapInArrow(_whole(size), "node long, cluster long, blocks long, grams binary"), F.col("cluster"), "blocks", "node"
     )
     multiplied = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    edges = multiplied.select("cluster", "i", "j", "block", "rep", "grams").mapInArrow(_verify(per_cent), "a long, b long")
-    found = graph.components(edges)
-    named = classes.select("sig", "sig2", "rep").join(
-        found.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    ).select("sig", "sig2", F.coalesce("component", "rep").alias("component"))
-    linked = docs.where(F.col("n") > 0).join(named, ["sig", "sig2"], "left")
-    return linked.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")).unionAll(
-        docs.where(F.col("n") == 0).select("doc_id", "n", "doc_id")
-    )
+    edges = multiplied.select("cluster", "i", "j", "block", "node", "grams").mapInArrow(_verify(per_cent), "a long, b long")
+    found = graph.components(edges).select(F.col("node").alias("sig"), F.col("component").alias("group"))
+    named = classes.select("sig", "sig2", "rep").join(found, "sig", "left").withColumn("group", F.coalesce("group", "sig"))
+    named = texts.checkpointed(named)
+    firsts = named.groupBy("group").agg(F.min("rep").alias("component_id"))
+    linked = docs.where(F.col("n") > 0).join(named.join(firsts, "group").drop("rep"), ["sig", "sig2"], "left")
+    columns = ("doc_id", "n", "sig", "sig2", "group", "component_id")
+    blank = docs.where(F.col("n") == 0).withColumn("group", F.lit(None).cast("long")).withColumn("component_id", F.col("doc_id"))
+    return linked.select(*columns).unionAll(blank.select(*columns))
+
+
+def _own_text(size: int):
+    def own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows whose signatures are those of their text."""
+        for batch in texts.runs(batches):
+            sig, sig2 = signatures(*sets(batch.column("text"), size))
+            meant = (sig == batch.column("sig").to_numpy()) & (sig2 == batch.column("sig2").to_numpy())
+            yield batch.filter(pa.array(meant))
+
+    return own_text
 
 
 def first_of_each_group(documents: DataFrame, size: int = 5, per_cent: int = 80) -> DataFrame:
     """The documents in all their columns, of each linked group the one with the smallest doc_id.
 
-    Rows that share a doc_id are one document, the first by text. Rows with null doc_id
-    cannot be named as the one that stays or goes, and stay.
+    Of rows that share a doc_id and a group the first by text stays; their texts in other
+    groups are judged there. Texts without n-grams link with nothing: all stay, but equal
+    ones of one doc_id once. Rows with null doc_id cannot be named as the one that stays or
+    goes, and stay.
     """
-    joined = join(documents, size, per_cent)
-    firsts = joined.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    whole = documents.select("doc_id", "text", F.struct("*").alias("document"))
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = whole.join(firsts, "doc_id").withColumn("turn", turn).where(F.col("turn") == 1)
-    return named.select("document.*").unionAll(documents.where(F.col("doc_id").isNull()))
-
+    joined = texts.checkpointed(_grouped(documents, size, per_cent).where(F.col("doc_id").isNotNull()).drop("n").distinct())
+    kinds = joined.groupBy("doc_id").agg(F.count("*").alias("kinds"))
+    firsts = joined.where(F.col("doc_id") == F.col("component_id")).drop("component_id").join(kinds, "doc_id")
+    whole = documents.select(F.col("doc_id").cast("long"), "text", F.struct("*").alias("document"))
+
+    def first(held: DataFrame) -> DataFrame:
+        blank = F.when(F.col("group").isNull(), F.col("text"))
+        turn = F.row_number().over(Window.partitionBy("doc_id", "group", blank).orderBy("text"))
+        return held.withColumn("turn", turn).where(F.col("turn") == 1).select("document.*")
+
+    alone = whole.join(firsts.where(F.col("kinds") == 1).drop("kinds", "sig", "sig2"), "doc_id")
+    # Only where a doc_id has different texts does a row's own text have to tell which one it is.
+    several = whole.join(firsts.where(F.col("kinds") > 1).drop("kinds"), "doc_id")
+    several = several.mapInArrow(_own_text(size), several.schema)
+    return first(alone).unionAll(first(several)).unionAll(documents.where(F.col("doc_id").isNull()))

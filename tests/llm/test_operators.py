@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -138,6 +138,20 @@ def test_jaccard_join_in_small_blocks(mixed, monkeypatch):
     assert found == brute.jaccard_components([(r[0], r[1]) for r in made_up()], 3, 90)
 
 
+def test_jaccard_join_of_one_id_on_different_texts(spark):
+    draw = random.Random(9)
+    a, b, c = (" ".join(f"{name}{draw.randrange(10**6)}" for _ in range(60)) for name in "abc")
+    near = {name: text + " end" for name, text in (("a", a), ("b", b))}
+    rows = [(1, a), (1, b), (2, near["a"]), (3, near["b"]), (4, c), (4, None), (4, ""), (4, ""), (5, a), (5, c + " end")]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame([(i, text, str(k)) for k, (i, text) in enumerate(order)], "doc_id long, text string, x string")
+        found = sorted((r["doc_id"], r["component_id"]) for r in op3_ngram_join.join(frame).collect())
+        assert found == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (4, 4), (4, 4), (5, 1), (5, 4)]
+        kept = op3_ngram_join.first_of_each_group(frame)
+        assert kept.columns == frame.columns
+        assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(1, a), (1, b), (4, c), (4, None), (4, "")])
+
+
 def test_toxicity_by_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
