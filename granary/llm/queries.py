@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from granary.llm import (
     op1_mixing,
     op10_neighbours,
+    op11_bpe,
+    op12_merkle,
+    op13_filter_audit,
     op2_language,
     op3_ngram_join,
     op4_toxicity,
@@ -31,6 +34,12 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = op1_mixing.mix_sources(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs")
@@ -74,6 +83,32 @@ def op10_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return op10_neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = op11_bpe.encode(table(spark, folder, "documents"), byte_tokenizer())
+    return op11_bpe.decode(encoded, byte_tokenizer()).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    fields = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars", "text")]
+    # Wide enough for one more than the largest integer.
+    more = fields[3].cast("decimal(20,0)") + F.when(F.crc32(fields[0].cast("string")) % 7 == 0, 1).otherwise(0)
+    tampered = [more.cast("decimal(20,0)") if k == 3 else field for k, field in enumerate(fields)]
+    found = op12_merkle.manifest(
+        table(spark, folder, "documents"), op12_merkle.leaf_digest(*fields), op12_merkle.leaf_digest(*tampered)
+    )
+    proof = op12_merkle.proof_digest(F.col("proof")).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+def op13_filter_audit_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return op13_filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_language_id": op2_language_id,
@@ -85,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_learned_partitions": op10_learned_partitions,
+    "op11_bpe_coding": op11_bpe_coding,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_filter_audit": op13_filter_audit_orders,
 }
 
 _OP7 = """
@@ -190,9 +228,110 @@ SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, r.component_id, e.
 FROM embeddings e JOIN roots r ON e.vec_id = r.node LEFT JOIN counts c ON c.x = e.vec_id
 """
 
+_OP12 = """
+WITH RECURSIVE cells AS (
+  SELECT doc_id, lang, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS plain,
+         [CAST(doc_id AS VARCHAR), source, lang,
+          CAST(CAST(n_chars AS HUGEINT) + CASE WHEN xor(4294967295, list_reduce(
+            list_concat([4294967295::BIGINT], [ord(c)::BIGINT FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+            lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) % 7 = 0
+          THEN 1 ELSE 0 END AS VARCHAR), text] AS changed
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang,
+         sha256(array_to_string([CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END FOR v IN plain], '')) AS leaf,
+         sha256(array_to_string([CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END FOR v IN changed], '')) AS changed
+  FROM cells
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS total,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM leaves
+), nodes AS (
+  SELECT 0 AS level, tree, pos, total, leaf AS digest FROM placed
+  UNION ALL
+  SELECT any_value(level) + 1, tree, pos // 2, (any_value(total) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE total > 1 GROUP BY tree, pos // 2
+), subroots AS (
+  SELECT tree, digest, count(*) OVER () AS total FROM nodes WHERE total = 1
+), upper_nodes AS (
+  SELECT 0 AS level, tree AS pos, total, digest FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 2, (any_value(total) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM upper_nodes WHERE total > 1 GROUP BY pos // 2
+), depth AS (
+  SELECT tree, max(level) AS depth FROM nodes GROUP BY tree
+), steps AS (
+  SELECT p.tree, p.pos, n.level, (p.pos >> n.level) % 2 AS slot, s.digest AS other
+  FROM placed p JOIN nodes n ON n.tree = p.tree AND n.pos = p.pos >> n.level AND n.total > 1
+  LEFT JOIN nodes s ON s.level = n.level AND s.tree = n.tree AND s.pos = xor(n.pos, 1)
+  UNION ALL
+  SELECT p.tree, p.pos, d.depth + n.level, (p.tree >> n.level) % 2, s.digest
+  FROM placed p JOIN depth d ON d.tree = p.tree JOIN upper_nodes n ON n.pos = p.tree >> n.level AND n.total > 1
+  LEFT JOIN upper_nodes s ON s.level = n.level AND s.pos = xor(n.pos, 1)
+), proofs AS (
+  SELECT tree, pos, sha256(string_agg(other, '' ORDER BY level)) AS proof FROM steps GROUP BY tree, pos
+), folded AS (
+  SELECT tree, pos, 0 AS level, changed AS digest FROM placed
+  UNION ALL
+  SELECT f.tree, f.pos, f.level + 1,
+         sha256(CASE WHEN s.slot = 0 THEN f.digest || coalesce(s.other, '') ELSE s.other || f.digest END)
+  FROM folded f JOIN steps s ON s.tree = f.tree AND s.pos = f.pos AND s.level = f.level
+), roots AS (
+  SELECT tree, pos, arg_max(digest, level) AS folded_root FROM folded GROUP BY tree, pos
+)
+SELECT p.doc_id, p.leaf, u.digest AS subroot, r.digest AS root, coalesce(q.proof, sha256('')) AS proof_sha256,
+       f.folded_root, f.folded_root = r.digest AS verified
+FROM placed p JOIN subroots u ON u.tree = p.tree CROSS JOIN (SELECT digest FROM upper_nodes WHERE total = 1) r
+JOIN roots f ON f.tree = p.tree AND f.pos = p.pos LEFT JOIN proofs q ON q.tree = p.tree AND q.pos = p.pos
+"""
+
+_OP13 = """
+WITH cells AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), judged AS (
+  SELECT doc_id, part, [
+      len(words) < 200,
+      100 * len(list_distinct(words)) < 50 * len(words),
+      100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text),
+      regexp_matches(text, '[#$%&*|]'),
+      coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM cells
+), marked AS (
+  SELECT j.*, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic
+  FROM judged j LEFT JOIN (
+    SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id) l ON j.doc_id = l.doc_id
+), counted AS (
+  SELECT part, fails, good, toxic, count(*) AS n FROM marked GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS seq
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+), played AS (
+  SELECT part, filter_order, unnest(range(1, 6)) AS step, seq, fails, good, toxic, n FROM counted CROSS JOIN orders
+), seen AS (
+  SELECT *, seq[step] AS own, fails[seq[step]] AS here, list_bool_or([fails[k] FOR k IN seq[1:step - 1]]) AS before,
+         len([k FOR k IN seq IF fails[k]]) AS many FROM played
+), told AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, own,
+         CAST(coalesce(sum(n) FILTER (NOT here AND NOT coalesce(before, false)), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (here AND NOT coalesce(before, false)), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (here AND before), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (here AND many = 1), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(n) FILTER (here AND NOT coalesce(before, false) AND good), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(n) FILTER (here AND NOT coalesce(before, false) AND toxic), 0) AS BIGINT) AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step, own
+)
+SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM told
+"""
+
 ORACLE: dict[str, str] = {
     "op3_ngram_jaccard_join": _OP3,
     "op5_suffix_array_dedup": _OP5,
     "op7_line_dedup": _OP7,
     "op8_embedding_near_dedup": _OP8,
+    "op12_merkle_manifest": _OP12,
+    "op13_filter_audit": _OP13,
 }

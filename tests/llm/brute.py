@@ -129,3 +129,86 @@ def pieces(docs, tokenizer, capacity):
             part = ids[k : k + capacity]
             found[doc_id, k // capacity] = (k, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))
     return found
+
+
+def digest(data):
+    return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+def leaf(values):
+    return digest(b"".join(b"-" if v is None else b"%d:%s" % (len(b := str(v).encode()), b) for v in values))
+
+
+def tree(nodes, fanout):
+    """The top over nodes, and for each the siblings and slots on its way there."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for k, place in enumerate(at):
+            low = place - place % fanout
+            paths[k].append((place - low, nodes[low:place] + nodes[place + 1 : low + fanout]))
+            at[k] = place // fanout
+        nodes = [digest("".join(nodes[low : low + fanout])) for low in range(0, len(nodes), fanout)]
+    return nodes[0], paths
+
+
+def folded(node, path):
+    for slot, others in path:
+        node = digest("".join([*others[:slot], node, *others[slot:]]))
+    return node
+
+
+def manifest(docs, changed, fanout=2):
+    """{doc_id: (leaf, subroot, root, proof_sha256, folded_root)} of (doc_id, text, lang, source, n_chars) rows.
+
+    `changed` tells of a doc_id whether n_chars is one more in what is folded.
+    """
+    groups = defaultdict(list)
+    for doc_id, text, lang, source, n_chars in sorted(docs):
+        other = n_chars + 1 if changed(doc_id) and n_chars is not None else n_chars
+        groups[lang].append((doc_id, leaf([doc_id, source, lang, n_chars, text]), leaf([doc_id, source, lang, other, text])))
+    langs = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {x: tree([row[1] for row in groups[x]], fanout) for x in langs}
+    root, upper = tree([trees[x][0] for x in langs], fanout)
+    found = {}
+    for x, rest in zip(langs, upper):
+        for (doc_id, own, other), path in zip(groups[x], trees[x][1]):
+            path = path + rest
+            siblings = digest("".join(s for _, others in path for s in others))
+            found[doc_id] = (own, trees[x][0], root, siblings, folded(other, path))
+    return found
+
+
+def audit(docs, labels):
+    """Rows of the filter audit, by playing every order over every document."""
+    from itertools import permutations
+
+    first = {}
+    for doc_id, text, _ in docs:
+        if doc_id is not None:
+            first[text or ""] = min(first.get(text or "", doc_id), doc_id)
+    good, toxic = ({d for d, *marks in labels if d is not None and marks[k] == 1} for k in (0, 1))
+    parts = defaultdict(list)
+    for doc_id, text, lang in docs:
+        w, t = words(text), text or ""
+        fails = {
+            "A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 3 * len(t),
+            "D": bool(re.search("[#$%&*|]", t)), "E": doc_id is not None and first[t] < doc_id,
+        }
+        parts[lang or ""].append((doc_id, {x for x in fails if fails[x]}))
+    found = {}
+    for part, held in parts.items():
+        shapley = Counter()
+        for order in permutations("ABCDE"):
+            left = held
+            for step, x in enumerate(order, 1):
+                gone = [d for d, fails in left if x in fails]
+                left = [(d, fails) for d, fails in left if x not in fails]
+                shapley[x] += len(gone)
+                found[part, "".join(order), step] = [
+                    len(left), len(gone), sum(x in fails for _, fails in held) - len(gone), sum(fails == {x} for _, fails in held),
+                    sum(d in good for d in gone), sum(d in toxic for d in gone),
+                ]
+        for (p, order, step), row in found.items():
+            if p == part:
+                row.append(shapley[order[step - 1]])
+    return found
