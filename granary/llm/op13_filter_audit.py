@@ -56,9 +56,11 @@ def copies(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """
     known = rows.filter("doc_id IS NOT NULL")
     repeated = known.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
+    # A written side, merged at every size: Spark may then split the other where a hash is very common.
+    repeated = texts.written(repeated.select("hash")).hint("merge")
     whole = docs.filter("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _hashed(F.col("text")).alias("hash"))
-    shared = texts.written(whole.join(repeated.select("hash"), "hash", "left_semi"))
-    first = shared.groupBy("hash", "text").agg(F.min("doc_id").alias("first"))
+    shared = texts.written(whole.join(repeated, "hash", "left_semi"))
+    first = texts.written(shared.groupBy("hash", "text").agg(F.min("doc_id").alias("first")))
     a, b = shared.alias("a"), first.alias("b")
     same = (F.col("a.hash") == F.col("b.hash")) & (F.col("a.text") == F.col("b.text")) & (F.col("b.first") < F.col("a.doc_id"))
     return a.join(b, same, "left_semi").select("doc_id", "hash").distinct()
