@@ -24,7 +24,9 @@ from granary.operators.marts import (
 )
 from granary.operators.quality import (
     SCORED_CHECKS,
+    Watch,
     assess,
+    assess_watched,
     check_schema,
     completeness,
     consistency,
@@ -49,7 +51,12 @@ from granary.operators.rules import (
     reject_counts,
     require,
 )
-from granary.sources.delimited import has_multi_line_records, read_delimited, read_source
+from granary.sources.delimited import (
+    has_multi_line_records,
+    read_delimited,
+    read_records,
+    read_source,
+)
 from granary.sources.tables import (
     load_table,
     register_table,

@@ -6,11 +6,11 @@ the metrics made from them. Any number of probes shares one pass over the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,17 @@ def _tidy(one_row: DataFrame, dataset: str, metrics: Sequence[Metric]) -> DataFr
     )
 
 
+def _all_measures(probes: Sequence[Probe]) -> dict[str, str]:
+    measures = {"rows_": "count(*)"}
+    for probe in probes:
+        measures.update(probe.measures)
+    return measures
+
+
+def _aggregated(df: DataFrame, measures: Mapping[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{measure} AS {alias}" for alias, measure in measures.items()])
+
+
 def run_probes(df: DataFrame, dataset: str, probes: Sequence[Probe]) -> DataFrame:
     """All metrics of all probes from a single aggregation.
 
@@ -91,11 +102,37 @@ def run_probes(df: DataFrame, dataset: str, probes: Sequence[Probe]) -> DataFram
     metrics = [m for probe in probes for m in probe.metrics]
     if not any(probe.measures for probe in probes) and not any("rows_" in m.value for m in metrics):
         return _tidy(df.sparkSession.range(1), dataset, metrics)
-    measures = {"rows_": "count(*)"}
-    for probe in probes:
-        measures.update(probe.measures)
-    counted = df.selectExpr(*[f"{measure} AS {alias}" for alias, measure in measures.items()])
-    return _tidy(counted, dataset, [m for probe in probes for m in probe.metrics])
+    return _tidy(_aggregated(df, _all_measures(probes)), dataset, metrics)
+
+
+class Watch:
+    """Aggregates measured while rows are written, which so takes no scan of its own.
+
+    Spark adds up what finished tasks of the writing stage measured, each once, also where lost
+    executors have it run tasks again. That does not hold below a shuffle, whose tasks may count
+    twice; so :meth:`over` must be the last step before the write.
+    """
+
+    def __init__(self, measures: Mapping[str, str]):
+        self.measures = dict(measures)
+        self._seen = Observation()
+        self._over: DataFrame | None = None
+
+    def over(self, df: DataFrame) -> DataFrame:
+        self._over = df
+        return df.observe(self._seen, *[F.expr(text).alias(alias) for alias, text in self.measures.items()])
+
+    def values(self) -> dict:
+        """What was measured; asked after the write."""
+        # A write without rows may leave nothing to observe.
+        return self._seen.get or _aggregated(self._over.limit(0), self.measures).first().asDict()
+
+    def tidy(self, dataset: str, probes: Sequence[Probe]) -> DataFrame:
+        """The metrics of probes whose measures were watched, without reading the rows again."""
+        kinds = _aggregated(self._over, self.measures).schema
+        values = self.values()
+        row = self._over.sparkSession.createDataFrame([tuple(values[name] for name in kinds.names)], kinds)
+        return _tidy(row, dataset, [m for probe in probes for m in probe.metrics])
 
 
 def _count(predicate: str) -> str:
@@ -707,6 +744,27 @@ def _overview(df: DataFrame) -> Probe:
     )
 
 
+def column_probes(df: DataFrame, spec: QualitySpec) -> list[Probe]:
+    """The probes behind the score that need column aggregates only."""
+    return [_overview(df), schema_probe(df, spec.expected_columns), completeness_probe(df), validity_probe(df, spec)]
+
+
+def probe_measures(probes: Sequence[Probe]) -> dict[str, str]:
+    """What a :class:`Watch` has to measure for these probes."""
+    return _all_measures(probes)
+
+
+def assess_watched(df: DataFrame, spec: QualitySpec, watch: Watch, rows: str = "columns") -> DataFrame:
+    """The scored checks, where the column aggregates were watched as ``df`` was written.
+
+    Only the chain of groupings, which needs a shuffle, reads ``df``.
+    """
+    return reduce(
+        DataFrame.unionByName,
+        [watch.tidy(spec.dataset, column_probes(df, spec)), *_grouped_checks(df, spec, rows, SCORED_CHECKS)],
+    )
+
+
 def _grouped_checks(
     df: DataFrame, spec: QualitySpec, rows: str, checks: Sequence[str]
 ) -> list[DataFrame]:

@@ -54,7 +54,13 @@ def is_corrupt(df: DataFrame, repairable: Column, corrupt_column: str = "_corrup
     """True for rows the reader did not accept and no repair takes back; never NULL."""
     if corrupt_column not in df.columns:
         return F.lit(False)
-    return named(corrupt_column).isNotNull() & ~repairable
+    return named(corrupt_column).isNotNull() & _readable(df, corrupt_column) & ~repairable
+
+
+def _readable(df: DataFrame, corrupt_column: str) -> Column:
+    """True for every row; names another column, as Spark reads no corrupt column alone."""
+    other = named(next(name for name in df.columns if name != corrupt_column))
+    return F.length(F.coalesce(other.cast("string"), F.lit(""))) >= 0
 
 
 def split_corrupt(
@@ -65,8 +71,6 @@ def split_corrupt(
     Spark refuses to read the corrupt column alone, as a count of either part
     would; the test on another column, which every row passes, avoids that.
     """
-    corrupt = named(corrupt_column)
-    other = named(next(name for name in df.columns if name != corrupt_column))
-    readable = F.length(F.coalesce(other.cast("string"), F.lit(""))) >= 0
+    corrupt, readable = named(corrupt_column), _readable(df, corrupt_column)
     good = df.filter(corrupt.isNull() & readable).drop(corrupt_column)
     return good, df.filter(corrupt.isNotNull() & readable)

@@ -10,14 +10,21 @@ import argparse
 import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from granary.operators.marts import validate_mart
-from granary.operators.quality import SCORED_CHECKS, assess, quality_report
-from granary.operators.rules import metric_counts, require
+from granary.operators.quality import (
+    SCORED_CHECKS,
+    Watch,
+    assess,
+    assess_watched,
+    column_probes,
+    probe_measures,
+    quality_report,
+)
+from granary.operators.rules import require
 from granary.plans import presets
-from granary.sources.delimited import read_source
+from granary.sources.delimited import kind_measures, read_source, with_kinds
 from granary.sources.tables import (
     load_table,
     register_table,
@@ -30,6 +37,9 @@ from granary.sources.tables import (
 
 logger = logging.getLogger(__name__)
 
+# Marks raw lines of the wrong shape while they are staged.
+_FLAG = "_wrong_shape"
+
 
 def clean_to_table(
     spark: SparkSession,
@@ -38,55 +48,66 @@ def clean_to_table(
     path: str,
     database: str = "silver",
     aliases: presets.Aliases = None,
+    assessed: bool = False,
 ) -> dict:
     """Clean one raw frame, check it, write it and register it; returns its summary.
 
-    The raw file is parsed once: rows and lines of the wrong shape are counted as the
-    cleaned rows are staged, and the gate, the counts and the final write all read the
-    staged files. A failed gate leaves an older table untouched.
+    The raw file is parsed once, into staged columns: rows, lines of the wrong shape and, for an
+    assessed dataset, the kinds of its columns are counted as they are written. The counts of the
+    table, and the column checks of its score, are taken as it is written. Tasks that run again
+    after a lost executor count once. A failed gate leaves an older table untouched.
     """
-    dataset = presets.DATASETS[name]
+    dataset, spec = presets.DATASETS[name], presets.quality_spec(name)
     missing = dataset.missing(raw)
     if missing:
         raise ValueError(f"{name}: raw columns missing: {', '.join(missing)}")
-    seen = Observation()
-    counted = raw.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count(F.when(dataset.corrupt(raw), 1)).alias("corrupt_rows"),
-    )
     folder = staging_folder(spark, f"{path.rstrip('/')}_staging")
-    cleaned, staged = stage(dataset.cleaned(counted, aliases), folder)
+    made = []
+
+    def staged(df: DataFrame) -> DataFrame:
+        found, place = stage(df, folder)
+        made.append(place)
+        return found
+
+    flagged = raw.withColumn(_FLAG, dataset.corrupt(raw))
+    seen = Watch(
+        {"rows_in": "count(*)", "corrupt_rows": f"count(CASE WHEN {_FLAG} THEN 1 END)"}
+        | (kind_measures(raw) if assessed else {})
+    )
     try:
+        columnar = staged(seen.over(flagged)).drop(_FLAG)
+        counted = seen.values()
+        summary = {}
+        if assessed:
+            typed = with_kinds(columnar, counted).drop(presets.CORRUPT)
+            summary["quality"] = quality_report(assess(typed, spec, checks=SCORED_CHECKS)).first().asDict()
+        cleaned = staged(dataset.cleaned(columnar, aliases))
         if not require(cleaned, dataset.gate.columns, dataset.gate.min_rows):
             raise ValueError(f"{name}: fewer than {dataset.gate.min_rows} usable rows")
-        counts = {row["metric"]: row["rows"] for row in _counts(dataset, cleaned).collect()}
-        summary = summary_of(seen.get["rows_in"], cleaned.count())
-        summary["corrupt_rows"] = seen.get["corrupt_rows"]
-        write_table(cleaned, path, presets.YEAR)
+        probes = column_probes(cleaned, spec) if assessed else []
+        predicates = dataset.gate.counts()
+        watch = Watch(probe_measures(probes) | {f"gate_{at}": f"count_if(_gate_{at})" for at in range(len(predicates))})
+
+        def watched(df: DataFrame) -> DataFrame:
+            gates = {f"_gate_{at}": predicate for at, predicate in enumerate(predicates.values())}
+            return watch.over(df.withColumns(gates)).drop(*gates)
+
+        write_table(cleaned, path, presets.YEAR, watch=watched)
+        values = watch.values()
+        summary |= summary_of(counted["rows_in"], values["rows_"])
+        summary["corrupt_rows"] = counted["corrupt_rows"]
+        if assessed:
+            judged = assess_watched(cleaned, spec, watch)
+            summary["table_quality"] = quality_report(judged).first().asDict()
     finally:
-        remove_folder(spark, staged)
+        for place in made:
+            remove_folder(spark, place)
     register_table(spark, f"{database}.{name}", cleaned.schema, path, [presets.YEAR])
+    counts = {metric: values[f"gate_{at}"] for at, metric in enumerate(predicates)}
     logger.info("%s: %s %s", name, summary, counts)
     return summary | counts
 
 
-def _counts(dataset: presets.Dataset, cleaned: DataFrame) -> DataFrame:
-    return metric_counts(cleaned, dataset.gate.counts())
-
-
-def _raw_quality(spark: SparkSession, name: str, file: str, silver_dir: str) -> dict:
-    """The quality report of a raw file, which is parsed once and then read by column."""
-    typed = read_source(spark, file, presets.DATASETS[name].source, infer_schema=True)
-    folder = staging_folder(spark, f"{silver_dir.rstrip('/')}_staging")
-    columnar, staged = stage(typed, folder)
-    try:
-        judged = assess(columnar, presets.quality_spec(name), checks=SCORED_CHECKS)
-        return quality_report(judged).first().asDict()
-    finally:
-        remove_folder(spark, staged)
-
-
 def run_silver(
     spark: SparkSession,
     raw_dir: str,
@@ -98,25 +119,20 @@ def run_silver(
 ) -> dict[str, dict]:
     """Clean the named raw files into tables; returns one summary per dataset.
 
-    Raw files named in ``assessed`` are scored first, with column types inferred
-    from their values, which takes scans of their own; a low score is reported
-    and does not stop the run. ``aliases`` maps cleaned region spellings to one.
+    Raw files named in ``assessed`` are scored, with columns of numbers taken as numbers, and so
+    are their tables (``quality`` and ``table_quality``); a low score is reported and does not
+    stop the run. ``aliases`` maps cleaned region spellings to one.
     """
     assessed = set(assessed)
     results = {}
     for name in names:
-        source = presets.DATASETS[name].source
-        file = f"{raw_dir.rstrip('/')}/{name}.csv"
-        raw = read_source(spark, file, source)
-        report = {}
-        if name in assessed:
-            report = _raw_quality(spark, name, file, silver_dir)
-            level = logging.INFO if report["overall_score"] >= 60 else logging.WARNING
-            logger.log(level, "%s: raw quality %s", name, report)
+        raw = read_source(spark, f"{raw_dir.rstrip('/')}/{name}.csv", presets.DATASETS[name].source)
         target = f"{silver_dir.rstrip('/')}/{name}"
-        results[name] = clean_to_table(spark, name, raw, target, database, aliases)
-        if report:
-            results[name]["quality"] = report
+        results[name] = clean_to_table(spark, name, raw, target, database, aliases, name in assessed)
+        for report in ("quality", "table_quality"):
+            if report in results[name]:
+                level = logging.INFO if results[name][report]["overall_score"] >= 60 else logging.WARNING
+                logger.log(level, "%s: %s %s", name, report, results[name][report])
     return results
 
 

@@ -89,6 +89,7 @@ SOURCES: dict[str, SourceSpec] = {
         "produksi_pangan",
         ";",
         (REGION, "komoditas", "produksi", "luas_panen", "produktivitas", YEAR),
+        corrupt_column=CORRUPT,
     ),
     "harga_pangan": SourceSpec(
         "harga_pangan",
@@ -103,6 +104,7 @@ SOURCES: dict[str, SourceSpec] = {
         ";",
         ("TANGGAL", "suhu", "curah_hujan"),
         options={"nullValue": "-", "emptyValue": "-"},
+        corrupt_column=CORRUPT,
     ),
     "sosial_ekonomi": SourceSpec(
         "sosial_ekonomi",
@@ -114,15 +116,20 @@ SOURCES: dict[str, SourceSpec] = {
             "Persentase_miskin",
             "pengeluaran_per_kapita",
         ),
+        corrupt_column=CORRUPT,
     ),
     "konsumsi_pangan": SourceSpec(
-        "konsumsi_pangan", ";", ("Tahun", "Kabupaten_Kota", "Komoditas", "Konsumsi Pangan")
+        "konsumsi_pangan",
+        ";",
+        ("Tahun", "Kabupaten_Kota", "Komoditas", "Konsumsi Pangan"),
+        corrupt_column=CORRUPT,
     ),
     "ikp": SourceSpec(
         "ikp",
         ";",
         (REGION, "Tahun", "IKP", "kategori_ikp"),
         renames={"Nama Kabupaten": REGION, "KELOMPOK IKP": "kategori_ikp"},
+        corrupt_column=CORRUPT,
     ),
 }
 
@@ -167,10 +174,21 @@ RULES: dict[str, tuple[Rule, ...]] = {
 }
 
 
+def corrupt_lines(df: DataFrame) -> Column:
+    """True for raw lines with a field too many or too few, whose fields may stand in wrong places."""
+    return is_corrupt(df, F.lit(False), CORRUPT)
+
+
+def without_corrupt(df: DataFrame, corrupt: Callable[[DataFrame], Column] = corrupt_lines) -> DataFrame:
+    """Raw rows whose lines have the right shape; a reader would cut the others to fit."""
+    return df.filter(~corrupt(df)).drop(CORRUPT)
+
+
 def clean_production(df: DataFrame, aliases: Aliases = None) -> DataFrame:
     """Production and harvested area per region, commodity and year."""
     return (
-        df.transform(null_markers, MARKERS)
+        df.transform(without_corrupt)
+        .transform(null_markers, MARKERS)
         .transform(standardize_name, REGION, aliases)
         .transform(
             cast_columns,
@@ -210,8 +228,7 @@ def clean_prices(df: DataFrame) -> DataFrame:
     """
     price = parse_number(named("harga_pangan"), thousands=",")
     return (
-        df.filter(~corrupt_prices(df))
-        .drop(CORRUPT)
+        df.transform(without_corrupt, corrupt_prices)
         .transform(repair_rows, "komoditas", "tanggal", PACKED_PRICE)
         .transform(null_markers, MARKERS)
         .withColumns(
@@ -239,7 +256,8 @@ def clean_prices(df: DataFrame) -> DataFrame:
 def clean_weather(df: DataFrame, with_date: bool = False) -> DataFrame:
     """Daily rain and temperature of the province; ``with_date`` adds a DATE column."""
     cleaned = (
-        df.transform(null_markers, MARKERS)
+        df.transform(without_corrupt)
+        .transform(null_markers, MARKERS)
         .withColumns(
             {
                 "curah_hujan": parse_number(named("curah_hujan")),
@@ -279,7 +297,8 @@ CONSUMPTION_NAMES = {
 def clean_social(df: DataFrame, aliases: Aliases = None) -> DataFrame:
     """Population, poverty and spending per region and year."""
     return (
-        df.transform(drop_blank_rows, ["Tahun", "Jumlah_Penduduk", "Persentase_miskin"])
+        df.transform(without_corrupt)
+        .transform(drop_blank_rows, ["Tahun", "Jumlah_Penduduk", "Persentase_miskin"])
         .transform(rename_columns, SOCIAL_NAMES)
         .transform(null_markers, MARKERS)
         .transform(
@@ -302,7 +321,8 @@ def clean_social(df: DataFrame, aliases: Aliases = None) -> DataFrame:
 def clean_consumption(df: DataFrame, aliases: Aliases = None) -> DataFrame:
     """Consumption per head by region, commodity and year; decimal commas."""
     return (
-        df.transform(rename_columns, CONSUMPTION_NAMES)
+        df.transform(without_corrupt)
+        .transform(rename_columns, CONSUMPTION_NAMES)
         .transform(null_markers, MARKERS)
         .withColumn(
             "konsumsi_per_kapita",
@@ -330,10 +350,23 @@ def unpack_index(df: DataFrame) -> DataFrame:
     return rename_columns(df, {"Tahun": YEAR, "IKP": "skor_ikp"}).select(*PACKED_INDEX)
 
 
+def corrupt_index(df: DataFrame) -> Column:
+    """True for raw index lines of the wrong shape.
+
+    A packed line is one field to the reader, so its parts are counted against those of the header.
+    """
+    first = df.columns[0]
+    if INDEX_SEPARATOR not in first:
+        return corrupt_lines(df)
+    parts = F.size(F.split(F.coalesce(named(first), F.lit("")), INDEX_SEPARATOR))
+    return corrupt_lines(df) | (parts != first.count(INDEX_SEPARATOR) + 1)
+
+
 def clean_index(df: DataFrame, aliases: Aliases = None) -> DataFrame:
     """Food security index and its category per region and year."""
     return (
-        df.transform(unpack_index)
+        df.transform(without_corrupt, corrupt_index)
+        .transform(unpack_index)
         .transform(null_markers, MARKERS)
         .transform(cast_columns, {YEAR: "int", "skor_ikp": "double", "kategori_ikp": "int"})
         .transform(standardize_name, REGION, aliases)
@@ -353,10 +386,6 @@ class Gate:
     counts: Callable[[], Mapping[str, Column]] = field(default=dict)
 
 
-def _sound(_: DataFrame) -> Column:
-    return F.lit(False)
-
-
 @dataclass(frozen=True)
 class Dataset:
     """How one dataset is read, cleaned and judged; ``regional`` cleaners take region aliases."""
@@ -365,7 +394,7 @@ class Dataset:
     clean: Callable[..., DataFrame]
     gate: Gate
     regional: bool = True
-    corrupt: Callable[[DataFrame], Column] = _sound
+    corrupt: Callable[[DataFrame], Column] = corrupt_lines
 
     def cleaned(self, raw: DataFrame, aliases: Aliases = None) -> DataFrame:
         return self.clean(raw, aliases) if self.regional else self.clean(raw)
@@ -457,6 +486,7 @@ DATASETS: dict[str, Dataset] = {
         SOURCES["ikp"],
         clean_index,
         Gate((REGION, "skor_ikp", "kategori_ikp", YEAR), 50, _index_counts),
+        corrupt=corrupt_index,
     ),
 }
 

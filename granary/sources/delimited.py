@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granary.functions import named, quoted
 from granary.operators.cleaning import rename_columns
 from granary.spec import SourceSpec
 
@@ -63,8 +64,7 @@ def read_delimited(
             "columnPruning": "false",
         }
         if schema is None:
-            names = spark.read.options(**settings).csv(path).columns
-            schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+            schema = spark.read.options(**settings).csv(path).schema
         if corrupt_column not in schema.names:
             schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
     reader = spark.read.options(**settings)
@@ -73,6 +73,100 @@ def read_delimited(
     return reader.csv(path)
 
 
+def _numbered_lines(spark: SparkSession, path: str, quote: str) -> DataFrame:
+    """Lines (file, block, place, value, open, alone, record) of files read in splits.
+
+    ``open`` tells whether a quote is open where the line begins, ``record`` counts the records of
+    its file up to it, and ``alone`` marks a record that ends with its line. Quotes are counted
+    within each split; a table of one row per split then gives what stands before it.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+    odd = (F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))) % 2
+    lines = lines.withColumns({"odd": odd, "blank": F.trim(F.rtrim("value", F.lit("\r"))) == ""})
+    split = Window.partitionBy("file", "block")
+    upto = split.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumn("before", (F.sum("odd").over(upto) - F.col("odd")) % 2)
+    # Records that begin in the split, should it begin outside (0) or inside (1) of quotes.
+    for carry in (0, 1):
+        begins = ((F.col("before") + carry) % 2 == 0) & ~F.col("blank")
+        lines = lines.withColumn(f"begun_{carry}", F.sum(begins.cast("long")).over(upto))
+
+    splits = lines.groupBy("file", "block").agg(
+        F.sum("odd").alias("odd"), F.max("begun_0").alias("begun_0"), F.max("begun_1").alias("begun_1")
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("carry", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    begun = lambda carry: F.when(carry == 0, F.col("begun_0")).otherwise(F.col("begun_1"))
+    splits = splits.withColumn("base", F.coalesce(F.sum(begun(F.col("carry"))).over(earlier), F.lit(0)))
+
+    found = lines.join(splits.select("file", "block", "carry", "base"), ["file", "block"])
+    found = found.withColumn("open", (F.col("before") + F.col("carry")) % 2 == 1)
+    return found.filter(F.col("open") | ~F.col("blank")).select(
+        "file", "block", "place", "value", "open",
+        (~F.col("open") & (F.col("odd") == 0)).alias("alone"),
+        (F.col("base") + begun(F.col("carry"))).alias("record"),
+    )
+
+
+def read_records(
+    spark: SparkSession,
+    path: str,
+    separator: str = ",",
+    schema: T.StructType | None = None,
+    header: bool = True,
+    options: Mapping[str, str] | None = None,
+    corrupt_column: str | None = None,
+    longest: int = 1 << 24,
+) -> DataFrame:
+    """Read a delimited file whose records may span lines, in as many tasks as it has splits.
+
+    Lines are read as text, and those of a record are put together wherever splits cut it; Spark
+    parses whole records. All columns are text unless a schema is given. Quotes must enclose whole
+    fields and be doubled within, as the standard has it; a stray one opens a field. Lines end
+    with a line feed; one within quotes stays, with a carriage return before it. A record of more
+    than ``longest`` characters, such as the rest of a file behind a quote left open, is not put
+    together: its lines are records of their own, and those of the wrong shape are corrupt.
+    """
+    settings = {"sep": separator, "quote": QUOTE, "escape": QUOTE, **(options or {})}
+    if settings["escape"] != settings["quote"]:
+        raise ValueError("only doubled quotes can be counted")
+    if schema is None:
+        first = spark.read.options(**settings).option("multiLine", True).option("header", header).csv(path)
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in first.columns])
+    settings |= {"multiLine": "true", "header": "false", "mode": "PERMISSIVE"}
+    if corrupt_column:
+        settings["columnNameOfCorruptRecord"] = corrupt_column
+        if corrupt_column not in schema.names:
+            schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+
+    lines = _numbered_lines(spark, path, settings["quote"])
+    if header:
+        lines = lines.filter("record > 1")
+    alone = lines.filter("alone").select("value", "record")
+    parts = lines.filter("NOT alone")
+    sizes = parts.groupBy("file", "record").agg(F.sum(F.length("value") + 1).alias("size"))
+    parts = parts.join(sizes, ["file", "record"])
+    whole = F.col("size") <= longest
+    keys = [F.when(~whole, F.col(name)).alias(f"own_{name}") for name in ("block", "place")]
+    ordered = F.array_sort(F.collect_list(F.struct("block", "place", "value")))
+    joined = parts.groupBy("file", "record", *keys).agg(
+        F.array_join(F.transform(ordered, lambda line: line["value"]), "\n").alias("value")
+    )
+    records = alone.unionByName(joined.select("value", "record"))
+    text = F.rtrim("value", F.lit("\r"))
+    text = F.when(F.col("record") == 1, F.ltrim(text, F.lit("\ufeff"))).otherwise(text)
+    return records.select(F.from_csv(text, _ddl(schema), settings).alias("row")).select("row.*")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"{quoted(field.name)} {field.dataType.simpleString()}" for field in schema.fields)
+
+
 def read_source(
     spark: SparkSession,
     path: str,
@@ -83,6 +177,13 @@ def read_source(
 ) -> DataFrame:
     """Read a file as its spec says and rename its columns; no spec means plain CSV."""
     spec = spec or SourceSpec("")
+    if spec.split:
+        if infer_schema:
+            raise ValueError("records put together from splits take a schema or are text")
+        frame = read_records(
+            spark, path, spec.separator, schema, header, options=spec.options, corrupt_column=spec.corrupt_column
+        )
+        return rename_columns(frame, spec.renames)
     frame = read_delimited(
         spark,
         path,
@@ -95,3 +196,39 @@ def read_source(
         corrupt_column=spec.corrupt_column,
     )
     return rename_columns(frame, spec.renames)
+
+
+def kind_measures(df: DataFrame) -> dict[str, str]:
+    """Aggregates in SQL that tell which text columns hold numbers only.
+
+    They can be observed while the rows are written, where inference would read the file again.
+    """
+    measures = {}
+    for at, column in enumerate(df.schema.fields):
+        if not isinstance(column.dataType, T.StringType):
+            continue
+        cell = quoted(column.name)
+        whole = f"{cell} RLIKE '^[+-]?[0-9]+$'"
+        tests = {
+            "int": f"{whole} AND try_cast({cell} AS INT) IS NOT NULL",
+            "bigint": f"{whole} AND try_cast({cell} AS BIGINT) IS NOT NULL",
+            "double": f"try_cast({cell} AS DOUBLE) IS NOT NULL",
+        }
+        measures[f"filled_{at}"] = f"count({cell})"
+        for kind, test in tests.items():
+            measures[f"{kind}_{at}"] = f"count(CASE WHEN {test} THEN 1 END)"
+    return measures
+
+
+def with_kinds(df: DataFrame, seen: Mapping[str, int]) -> DataFrame:
+    """The frame with columns of numbers as numbers, by what :func:`kind_measures` found.
+
+    A column is the narrowest of int, bigint and double that takes all its cells; one without
+    cells stays text, as do dates.
+    """
+    cells = []
+    for at, column in enumerate(df.schema.fields):
+        cell, filled = named(column.name), seen.get(f"filled_{at}", 0)
+        kinds = [kind for kind in ("int", "bigint", "double") if filled and seen[f"{kind}_{at}"] == filled]
+        cells.append(cell.cast(kinds[0]).alias(column.name) if kinds else cell)
+    return df.select(*cells)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,19 +33,29 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     rebalance: bool = True,
+    only_present: bool = False,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write a directory of files, partitioned by the given columns.
 
     Rebalancing gathers each partition value into files of the advisory size,
     splitting the large values among tasks and merging the small ones; else
-    every task would write a file for every value it happens to hold.
+    every task would write a file for every value it happens to hold. With ``only_present``
+    an overwrite replaces just the partitions that the frame has rows of; the others stay.
+    ``watch`` may observe the rows as they are written, past the last shuffle.
     """
+    if only_present and (mode != "overwrite" or not partition_by):
+        raise ValueError("only an overwrite by partitions can replace those present")
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if rebalance and keys:
         df = df.hint("rebalance", *[F.col(key) for key in keys])
+    if watch:
+        df = watch(df)
     writer = df.write.mode(mode).format(fmt)
     if keys:
         writer = writer.partitionBy(*keys)
+    if only_present:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
 

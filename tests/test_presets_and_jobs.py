@@ -235,6 +235,56 @@ def test_prices_with_a_field_too_many_are_no_prices(cleaned):
     assert cleaned("harga_pangan").filter("komoditas = 'Gula'").count() == 0
 
 
+SHAPES = {
+    "produksi_pangan": ("Metro;Padi;500;10;2;2018", ["Metro;Padi;500;10;2;1;2018", "Metro;Padi;500;10;2018"]),
+    "cuaca": ("01-02-2018;27;1", ["01-02-2018;27;1;234", "01-02-2018;27"]),
+    "sosial_ekonomi": ("Metro;2018;100;12;900", ["Metro;2018;100;12;1;900", "Metro;2018;100;12"]),
+    "konsumsi_pangan": ("2018;Metro;Beras;12", ["2018;Metro;Beras;12;500", "2018;Metro;Beras"]),
+    "ikp": ("Metro;2018;7.5;4", ["Metro;2018;7;1;4", "Metro;2018;7"]),
+}
+
+
+@pytest.mark.parametrize("name", list(SHAPES))
+def test_lines_of_the_wrong_shape_are_counted_and_left_out(spark, tmp_path, name):
+    sound, wrong = SHAPES[name]
+    header = next(FILES[name][0]()) if name != "ikp" else "kabupaten_kota;Tahun;IKP;kategori_ikp"
+    path = tmp_path / f"{name}.csv"
+    path.write_text("\n".join([header, sound, *wrong]) + "\n")
+    dataset = presets.DATASETS[name]
+    raw = g.read_source(spark, str(path), dataset.source)
+    assert dataset.missing(raw) == []
+    assert raw.filter(dataset.corrupt(raw)).count() == 2
+    assert dataset.clean(raw).count() == 1
+
+
+def test_packed_index_lines_of_the_wrong_shape(spark, tmp_path):
+    parts = "1;18;Prov;Metro;1804;Kabupaten;2018;70.5;1;5"
+    path = tmp_path / "ikp.csv"
+    path.write_text("\n".join(f'"{line}"' for line in (INDEX_HEADER, parts, "0;" + parts, parts[2:])) + f"\n{parts}\n")
+    dataset = presets.DATASETS["ikp"]
+    raw = g.read_source(spark, str(path), dataset.source)
+    assert raw.filter(dataset.corrupt(raw)).count() == 3
+    assert tuples(dataset.clean(raw)) == [("Metro", 70.5, 5, 2018)]
+
+
+def test_assessed_run_reads_the_raw_file_once(spark, raw_dir, tmp_path):
+    raw = g.read_source(spark, f"{raw_dir}/produksi_pangan.csv", presets.SOURCES["produksi_pangan"])
+    seen = spark.sparkContext.accumulator(0)
+    counted = raw.rdd.map(lambda row: (seen.add(1), row)[1])
+    frame = spark.createDataFrame(counted, raw.schema)
+    result = clean_to_table(spark, "produksi_pangan", frame, str(tmp_path / "t"), "watched", assessed=True)
+    assert seen.value == result["rows_in"] == raw.count()
+    table = spark.table("watched.produksi_pangan")
+    spec = presets.quality_spec("produksi_pangan")
+    judged = g.quality_report(g.assess(table.select(*presets.SILVER_SCHEMAS["produksi_pangan"].names), spec, checks=g.SCORED_CHECKS))
+    assert result["table_quality"] == judged.first().asDict()
+    inferred = g.read_source(spark, f"{raw_dir}/produksi_pangan.csv", presets.SOURCES["produksi_pangan"], infer_schema=True)
+    typed = inferred.drop(presets.CORRUPT)
+    assert result["quality"] == g.quality_report(g.assess(typed, spec, checks=g.SCORED_CHECKS)).first().asDict()
+    assert result["suspicious_productivity"] == table.filter("produktivitas_per_ha <= 0 OR produktivitas_per_ha > 100").count()
+    spark.sql("DROP DATABASE watched CASCADE")
+
+
 def test_raw_file_is_scanned_once(spark, raw_dir, tmp_path):
     """Rows of the wrong shape, rows in and the cleaned rows come from one scan."""
     raw = g.read_source(spark, f"{raw_dir}/cuaca.csv", presets.SOURCES["cuaca"])

@@ -1,4 +1,6 @@
+import csv
 import os
+import random
 
 import pytest
 from conftest import tuples
@@ -36,6 +38,63 @@ def test_records_over_several_lines(spark, tmp_path):
     assert tuples(g.read_delimited(spark, broken, multi_line=True)) == [("one\ntwo", "2")]
 
 
+CELLS = ["", "plain", "two\nlines", 'a "word"', "win\r\ndows", ",", "\n", '"\n"', "end\r", "long " * 400, "é\n\nß"]
+
+
+@pytest.fixture(params=[1 << 27, 4096, 97])
+def split_bytes(spark, request):
+    """Reads files in splits of so many bytes."""
+    settings = {"spark.sql.files.maxPartitionBytes": request.param, "spark.sql.files.openCostInBytes": 1}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield request.param
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_records_put_together_from_splits(spark, tmp_path, split_bytes):
+    rnd = random.Random(split_bytes)
+    expected = []
+    for file in range(2):
+        rows = [(f"{file}-{k}", rnd.choice(CELLS), rnd.choice(CELLS)) for k in range(300)]
+        with open(tmp_path / f"{file}.csv", "w", newline="", encoding="utf-8") as out:
+            writer = csv.writer(out, lineterminator="\r\n" if file else "\n", quoting=csv.QUOTE_MINIMAL)
+            writer.writerows([("id", "a", "b\nc"), *rows])
+            out.write("\n")
+        expected += [(a, b or None, c or None) for a, b, c in rows]
+    df = g.read_records(spark, str(tmp_path))
+    assert df.columns == ["id", "a", "b\nc"]
+    assert tuples(df) == sorted(expected, key=repr)
+    if split_bytes < 1 << 20:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 1
+
+
+def test_put_together_records_keep_their_shape(spark, tmp_path, split_bytes):
+    path = write(tmp_path, '\ufeffa;b\n1;"x\ny"\n\n2;"p\nq";z\n3\n4;"s""\n\n""t"\n')
+    df = g.read_records(spark, path, ";", corrupt_column="_bad").cache()
+    good, bad = g.split_corrupt(df, "_bad")
+    assert tuples(good) == [("1", "x\ny"), ("4", 's"\n\n"t')]
+    assert tuples(bad.select("_bad")) == [('2;"p\nq";z',), ("3",)]
+    spec = SourceSpec("s", ";", renames={"b": "c"}, split=True)
+    assert g.read_source(spark, path, spec).columns[1] == "c"
+
+
+def test_a_quote_left_open_does_not_gather_the_rest_of_the_file(spark, tmp_path, split_bytes):
+    path = write(tmp_path, "a,b\n1,x\n" + '2,"open\n' + "".join(f"{k},y\n" for k in range(3, 200)))
+    df = g.read_records(spark, path, corrupt_column="_bad", longest=500).cache()
+    good, bad = g.split_corrupt(df, "_bad")
+    assert bad.count() == 0 and tuples(good) == sorted([("1", "x"), ("2", "open"), *((str(k), "y") for k in range(3, 200))], key=repr)
+
+
+def test_records_of_nothing(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
+    assert g.read_records(spark, write(tmp_path, "a,b\n"), schema=schema).collect() == []
+    assert tuples(g.read_records(spark, write(tmp_path, '\ufeff"x\ny",2'), schema=schema, header=False)) == [("x\ny", 2)]
+    with pytest.raises(ValueError, match="doubled"):
+        g.read_records(spark, str(tmp_path), options={"escape": "\\"})
+
+
 def test_schema_wins_over_inference(spark, tmp_path):
     path = write(tmp_path, "a,b\n1,2.5\n")
     inferred = g.read_delimited(spark, path, infer_schema=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -359,6 +360,48 @@ def _csv_roundtrip(t: Tables) -> DataFrame:
     return g.read_delimited(t.spark, path, ";", multi_line=True)
 
 
+MULTI_LINE = {
+    "l_orderkey": "CAST(l_orderkey AS STRING)",
+    "l_linenumber": "CAST(l_linenumber AS STRING)",
+    "note": "'part ' || CAST(l_partkey AS STRING) || '\n' || 'of ' || CAST(l_suppkey AS STRING)",
+    "remark": "'say \"' || l_returnflag || '\",\n\nthen; ' || l_linestatus",
+    "amount": "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING)",
+}
+
+
+@query(
+    "csv_multiline_split",
+    "SELECT " + ", ".join(f"{text.replace(chr(92) + 'n', chr(10))} AS {name}" for name, text in MULTI_LINE.items()) + " FROM lineitem",
+)
+def _csv_multiline_split(t: Tables) -> DataFrame:
+    """Every record spans four lines; files are read in splits, which cut records anywhere."""
+    rows = t.lineitem.select(*[F.expr(text).alias(name) for name, text in MULTI_LINE.items()])
+    path = scratch.write_csv(rows, scratch.folder(t.spark, "csv_multiline_split"), ";")
+    return g.read_records(t.spark, path, ";")
+
+
+@query(
+    "table_years_replaced",
+    with_views(
+        "SELECT kabupaten_kota, komoditas, CASE WHEN tahun = 2000 THEN 2 * konsumsi_per_kapita "
+        "ELSE konsumsi_per_kapita END AS konsumsi_per_kapita, tahun FROM consumption WHERE tahun <> 1999 OR komoditas <> ' '",
+        "consumption",
+    ),
+)
+def _table_years_replaced(t: Tables) -> DataFrame:
+    """A table of all years, of which two are written anew; the others stay as they were."""
+    frame = view(t, "consumption")
+    path = scratch.folder(t.spark, "table_years_replaced")
+    g.write_table(frame, path, "tahun")
+    name = f"{scratch.database(t.spark)}.consumption"
+    g.register_table(t.spark, name, frame.schema, path, ["tahun"])
+    doubled = F.when(F.col("tahun") == 2000, 2 * F.col("konsumsi_per_kapita")).otherwise(F.col("konsumsi_per_kapita"))
+    anew = frame.filter("tahun = 2000 OR tahun = 1999 AND komoditas <> ' '").withColumn("konsumsi_per_kapita", doubled)
+    g.write_table(anew, path, "tahun", only_present=True)
+    g.register_table(t.spark, name, frame.schema, path, ["tahun"])
+    return t.spark.table(name)
+
+
 @query(
     "csv_inferred_schema",
     "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_totalprice, o_orderpriority FROM orders",
@@ -955,6 +998,68 @@ def _csv_silver_price_corrupt(t: Tables) -> DataFrame:
     return dataset.clean(g.read_source(t.spark, path, source, schema=schema, header=False))
 
 
+# Which rows of a raw view are written with a field too many and with one too few.
+WRONG_SHAPES = {
+    "production": ("produktivitas LIKE '%7'", "produktivitas LIKE '%3'"),
+    "weather": ("suhu LIKE '%1'", "suhu LIKE '%3'"),
+    "social": ("Jumlah_Penduduk LIKE '%7'", "Jumlah_Penduduk LIKE '%3'"),
+    "consumption": ("Komoditas LIKE '1%'", "Komoditas LIKE '3%'"),
+    "index": (f"\"{INDEX_HEADER}\" LIKE '1%'", f"\"{INDEX_HEADER}\" LIKE '3%'"),
+}
+
+
+def _misshapen_file(t: Tables, name: str) -> tuple[presets.Dataset, DataFrame]:
+    """A raw view as a file in which the rows above have wrong shapes, read as its source says."""
+    raw, source = view(t, f"raw_{name}"), presets.SOURCES[DATASET_NAMES[name]]
+    surplus, short = (F.expr(f"coalesce({test.replace(chr(34), chr(96))}, false)") for test in WRONG_SHAPES[name])
+    cells = [F.coalesce(F.col(f"`{column}`"), F.lit("")) for column in raw.columns]
+    if name == "index":
+        line = F.when(surplus, F.concat(F.lit("0;"), cells[0])).when(short, F.regexp_replace(cells[0], ";[^;]*$", ""))
+        line = F.concat(F.lit('"'), line.otherwise(cells[0]), F.lit('"'))
+        header = f'"{raw.columns[0]}"'
+    else:
+        quoted = [F.when(cell.rlike("[\";]|^ "), F.concat(F.lit('"'), cell, F.lit('"'))).otherwise(cell) for cell in cells]
+        first = F.concat_ws(";", *quoted[:-1])
+        # The surplus field stands before the last one, which it would shift out.
+        line = F.when(surplus, F.concat_ws(";", first, F.lit("1"), quoted[-1])).when(short, first)
+        line = line.otherwise(F.concat_ws(";", *quoted))
+        header = ";".join(raw.columns)
+    path = scratch.write_text(raw.select(line), f"csv_silver_{name}_corrupt")
+    names = header.strip('"').split(";") if name != "index" else [header.strip('"')]
+    schema = T.StructType([T.StructField(column, T.StringType()) for column in names])
+    return presets.DATASETS[DATASET_NAMES[name]], g.read_source(t.spark, path, source, schema=schema, header=False)
+
+
+for _name, (_surplus, _short) in WRONG_SHAPES.items():
+
+    @query(
+        f"csv_silver_{_name}_corrupt",
+        f"WITH whole AS ({VIEWS[f'raw_{_name}'].sql}), raw_{_name} AS (SELECT * FROM whole "
+        f"WHERE NOT coalesce({_surplus}, false) AND NOT coalesce({_short}, false)) {SILVER_SQL[_name]}",
+    )
+    def _csv_silver_corrupt(t: Tables, name=_name) -> DataFrame:
+        dataset, raw = _misshapen_file(t, name)
+        return dataset.clean(raw)
+
+
+def _wrong_sql(name: str) -> str:
+    tests = " OR ".join(f"coalesce({test}, false)" for test in WRONG_SHAPES[name])
+    if name == "index":
+        tests += f" OR len(string_split(\"{INDEX_HEADER}\", ';')) <> 10"
+    return f"SELECT '{DATASET_NAMES[name]}' AS dataset, count(*) AS rows_in, count(*) FILTER ({tests}) AS corrupt_rows FROM raw_{name}"
+
+
+@query("csv_corrupt_counts", with_views(" UNION ALL ".join(map(_wrong_sql, WRONG_SHAPES)), *[f"raw_{name}" for name in WRONG_SHAPES]))
+def _csv_corrupt_counts(t: Tables) -> DataFrame:
+    """Lines of the wrong shape in five raw files, as a run counts them."""
+    counts = []
+    for name in WRONG_SHAPES:
+        dataset, raw = _misshapen_file(t, name)
+        corrupt = F.count(F.when(dataset.corrupt(raw), 1)).alias("corrupt_rows")
+        counts.append(raw.agg(F.lit(DATASET_NAMES[name]).alias("dataset"), F.count("*").alias("rows_in"), corrupt))
+    return reduce(DataFrame.unionByName, counts)
+
+
 # ---------------------------------------------------------------- marts
 
 SCORE_SQL = (
@@ -1027,6 +1132,23 @@ def _mart_enriched(t: Tables) -> DataFrame:
     return rounded(_mart(t, ALL_SOURCES), *MART_MEASURES, "produksi_per_kapita")
 
 
+# Some rows spell their region in another way; spellings of one region are one region.
+SPELLED = "CASE WHEN komoditas LIKE 'A%' THEN lower(kabupaten_kota) || '!' ELSE kabupaten_kota END"
+_MERGED = [("production", f"SELECT * REPLACE ({SPELLED} AS kabupaten_kota) FROM ({VIEWS['production'].sql})")]
+_MERGED += [(name, VIEWS[name].sql) for name in ALL_SOURCES]
+
+
+@query(
+    "mart_enriched_spellings",
+    "WITH " + ", ".join(f"{name} AS ({lower_keys(sql)})" for name, sql in _MERGED) + " "
+    + with_rounding(scored_sql(joined_sql(*ALL_SOURCES), PER_CAPITA_SQL), [*MART_MEASURES, "produksi_per_kapita"]),
+)
+def _mart_enriched_spellings(t: Tables) -> DataFrame:
+    sources = {SOURCE_NAMES[name]: view(t, name) for name in ALL_SOURCES}
+    spelled = view(t, "production").withColumn("kabupaten_kota", F.expr(SPELLED))
+    return rounded(presets.mart_enriched(spelled, sources), *MART_MEASURES, "produksi_per_kapita")
+
+
 PROVINCE_WIDE = ["price", "weather"]
 PROVINCE_MEASURES = [c for name in ("production", *PROVINCE_WIDE) for c in measures(name)]
 

@@ -171,6 +171,7 @@ VIEWS: dict[str, View] = {
             "cast(l_orderkey % 97 as string) END",
             "tahun": "CASE WHEN l_orderkey % 31 = 0 THEN '1899' WHEN l_orderkey % 37 = 0 THEN 'n.a.' "
             "WHEN l_orderkey % 41 = 0 THEN cast(year(l_shipdate) + 10 as string) || '.0' "
+            "WHEN l_orderkey % 43 = 0 THEN '1899.0' WHEN l_orderkey % 47 = 0 THEN '2099.0' "
             "ELSE cast(year(l_shipdate) + 10 as string) END",
         },
     ),
