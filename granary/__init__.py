@@ -42,6 +42,15 @@ from granary.operators.quality import (
     validity,
     value_counts,
 )
+from granary.operators.quality_state import (
+    assess_states,
+    partition_states,
+    read_states,
+    refresh_states,
+    state_distinct,
+    state_outliers,
+    state_quantiles,
+)
 from granary.operators.quantiles import approximate_quantiles, exact_quantiles
 from granary.operators.repair import repair_rows, split_corrupt, unpack_delimited
 from granary.operators.rules import (

@@ -68,7 +68,7 @@ class Probe:
     metrics: list[Metric] = field(default_factory=list)
 
 
-def _tidy(one_row: DataFrame, dataset: str, metrics: Sequence[Metric]) -> DataFrame:
+def tidy_row(one_row: DataFrame, dataset: str, metrics: Sequence[Metric]) -> DataFrame:
     """Spread a row of aggregates into one row per metric."""
     cells = [
         f"{literal(m.check)}, {literal(m.column)}, {literal(m.metric)}, "
@@ -76,7 +76,7 @@ def _tidy(one_row: DataFrame, dataset: str, metrics: Sequence[Metric]) -> DataFr
         for m in metrics
     ]
     if not cells:
-        return _tidy(one_row, dataset, [Metric("", "", "", "NULL")]).filter("false")
+        return tidy_row(one_row, dataset, [Metric("", "", "", "NULL")]).filter("false")
     return one_row.selectExpr(
         f"{literal(dataset)} AS dataset",
         f"stack({len(cells)}, {', '.join(cells)}) AS (`check`, `column`, metric, value, detail)",
@@ -101,8 +101,8 @@ def run_probes(df: DataFrame, dataset: str, probes: Sequence[Probe]) -> DataFram
     """
     metrics = [m for probe in probes for m in probe.metrics]
     if not any(probe.measures for probe in probes) and not any("rows_" in m.value for m in metrics):
-        return _tidy(df.sparkSession.range(1), dataset, metrics)
-    return _tidy(_aggregated(df, _all_measures(probes)), dataset, metrics)
+        return tidy_row(df.sparkSession.range(1), dataset, metrics)
+    return tidy_row(_aggregated(df, _all_measures(probes)), dataset, metrics)
 
 
 class Watch:
@@ -132,7 +132,7 @@ class Watch:
         kinds = _aggregated(self._over, self.measures).schema
         values = self.values()
         row = self._over.sparkSession.createDataFrame([tuple(values[name] for name in kinds.names)], kinds)
-        return _tidy(row, dataset, [m for probe in probes for m in probe.metrics])
+        return tidy_row(row, dataset, [m for probe in probes for m in probe.metrics])
 
 
 def _count(predicate: str) -> str:
@@ -461,12 +461,12 @@ def uniqueness(
     """Repeated rows, and repeated keys if ``keys`` are given; NULL counts as a value."""
     keys = [name for name in keys if name in df.columns]
     one = _collapse(df, keys=keys, rows=rows)
-    return _tidy(one, dataset, _uniqueness_metrics(True, bool(keys)))
+    return tidy_row(one, dataset, _uniqueness_metrics(True, bool(keys)))
 
 
 def key_duplicates(df: DataFrame, dataset: str, keys: Sequence[str]) -> DataFrame:
     """Rows beyond the first of each key; NULL counts as a value."""
-    return _tidy(_collapse(df, keys=keys), dataset, _uniqueness_metrics(False, True))
+    return tidy_row(_collapse(df, keys=keys), dataset, _uniqueness_metrics(False, True))
 
 
 def consistency(df: DataFrame, spec: QualitySpec) -> DataFrame:
@@ -477,7 +477,7 @@ def consistency(df: DataFrame, spec: QualitySpec) -> DataFrame:
         df, region=region, year=year, mismatch=mismatch, rare_below=spec.rare_below
     )
     metrics = _consistency_metrics(spec, region, year, mismatch is not None)
-    return _tidy(one, spec.dataset, metrics)
+    return tidy_row(one, spec.dataset, metrics)
 
 
 def rare_values(df: DataFrame, column: str, below: int = 5) -> DataFrame:
@@ -765,6 +765,13 @@ def assess_watched(df: DataFrame, spec: QualitySpec, watch: Watch, rows: str = "
     )
 
 
+def score_metrics(df: DataFrame, spec: QualitySpec) -> list[Metric]:
+    """Uniqueness and consistency, over the totals that one chain of groupings ends in."""
+    keys = any(name in df.columns for name in spec.key_columns)
+    region, year = _present(df, spec.region_column), _present(df, spec.year_column)
+    return _uniqueness_metrics(True, keys) + _consistency_metrics(spec, region, year, ratio_mismatch(df, spec) is not None)
+
+
 def _grouped_checks(
     df: DataFrame, spec: QualitySpec, rows: str, checks: Sequence[str]
 ) -> list[DataFrame]:
@@ -777,9 +784,7 @@ def _grouped_checks(
         return found + ([consistency(df, spec)] if consistent else [])
     year, mismatch = _present(df, spec.year_column), ratio_mismatch(df, spec)
     grouped = _collapse(df, keys, region, year, mismatch, spec.rare_below, rows)
-    metrics = _uniqueness_metrics(True, bool(keys))
-    metrics += _consistency_metrics(spec, region, year, mismatch is not None)
-    return [_tidy(grouped, spec.dataset, metrics)]
+    return [tidy_row(grouped, spec.dataset, score_metrics(df, spec))]
 
 
 def _pick(check: str, metric: str) -> Column:

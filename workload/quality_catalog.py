@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import granary as g
+from granary.operators import quality_state
 from granary.plans import presets
+from workload import scratch
 from workload.catalog import query, rounded
 from workload.views import VIEWS, Tables, view, with_views
 
@@ -606,9 +608,9 @@ def _report(t: Tables) -> DataFrame:
     return rounded(report, *SCORE_COLUMNS)
 
 
-ASSESS_SQL = " UNION ALL ".join(
-    f"({part})"
-    for part in [
+def scored_parts(*more: tuple) -> list[str]:
+    """The SQL of the scored checks; further entries join those of the columns."""
+    return [
         tidy_sql(
             "production",
             "produksi_pangan",
@@ -619,11 +621,7 @@ ASSESS_SQL = " UNION ALL ".join(
                     list(PRODUCTION_TYPES), floats=["produksi", "luas_panen", "produktivitas"]
                 ),
                 *validity_entries(production_validity(), 6),
-                *[
-                    entry
-                    for c in ("produksi", "luas_panen", "produktivitas")
-                    for entry in [*iqr_entries(c, "production"), *z_entries(c, "production")]
-                ],
+                *more,
             ],
         ),
         tidy_sql("(SELECT 1)", "produksi_pangan", [("schema", "*", "schema_valid", "1")]),
@@ -633,11 +631,105 @@ ASSESS_SQL = " UNION ALL ".join(
             uniqueness_entries(True, True),
         ),
         tidy_sql(CONSISTENCY_SOURCE, "produksi_pangan", CONSISTENCY_ENTRIES),
-        profile_sql("production", "produksi_pangan", PRODUCTION_TYPES),
     ]
+
+
+OUTLIER_ENTRIES = [
+    entry
+    for c in ("produksi", "luas_panen", "produktivitas")
+    for entry in [*iqr_entries(c, "production"), *z_entries(c, "production")]
+]
+ASSESS_SQL = " UNION ALL ".join(
+    f"({part})"
+    for part in [*scored_parts(*OUTLIER_ENTRIES), profile_sql("production", "produksi_pangan", PRODUCTION_TYPES)]
 )
 
 
 @query("dq_assess", with_views(ASSESS_SQL, "production"))
 def _assess(t: Tables) -> DataFrame:
     return tidy(g.assess(view(t, "production"), SPEC))
+
+
+# Two years are written anew: one with other values, one with fewer and repeated rows.
+CHANGED = (
+    "SELECT kabupaten_kota, komoditas, CASE WHEN tahun = 1996 THEN 2 * produksi ELSE produksi END AS produksi, "
+    "luas_panen, produktivitas, tahun FROM {0} WHERE tahun <> 1997 OR komoditas LIKE 'A%' "
+    "UNION ALL SELECT * FROM {0} WHERE tahun = 1997 AND komoditas = 'AF'"
+)
+CHANGED_SQL = f"WITH first AS ({VIEWS['production'].sql}), production AS ({CHANGED.format('first')}) "
+
+
+def _states(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """A table by year with the states of its years, after two years have been replaced."""
+    frame = view(t, "production")
+    place = scratch.folder(t.spark, "dq_states")
+    table, states = f"{place}/table", f"{place}/states"
+    g.write_table(frame, table, "tahun")
+    stored = t.spark.read.schema(frame.schema).parquet(table)
+    years = [row["tahun"] for row in stored.select("tahun").distinct().collect()]
+    g.refresh_states(stored, SPEC, states, years)
+    frame.createOrReplaceTempView("production_first")
+    changed = t.spark.sql(CHANGED.format("production_first")).filter("tahun IN (1996, 1997)")
+    g.write_table(changed, table, "tahun", only_present=True)
+    stored = t.spark.read.schema(frame.schema).parquet(table)
+    g.refresh_states(stored, SPEC, states, [1996, 1997])
+    return g.read_states(t.spark, states, SPEC.dataset), stored
+
+
+@query("dq_assess_incremental", CHANGED_SQL + " UNION ALL ".join(f"({part})" for part in scored_parts()))
+def _assess_incremental(t: Tables) -> DataFrame:
+    """The scored checks from states of years, of which a second run measured only two."""
+    states, stored = _states(t)
+    return tidy(g.assess_states(states, stored, SPEC))
+
+
+NUMBERS = ["produksi", "luas_panen", "produktivitas", "tahun"]
+
+
+@query(
+    "dq_quartiles_incremental",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({q} AS DOUBLE) AS probability, true AS close FROM lineitem HAVING count(*) > 0"
+        for c in NUMBERS for q in (0.25, 0.75)
+    ),
+)
+def _quartiles_incremental(t: Tables) -> DataFrame:
+    """Whether quartiles from merged sketches of years keep their rank error over the whole table."""
+    states, stored = _states(t)
+    found = g.state_quantiles(states)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in NUMBERS])
+    judged = stored.select(F.inline(cells)).join(found, "column").groupBy("column", "probability").agg(
+        F.count("v").alias("n"),
+        F.count(F.when(F.col("v") < F.col("value"), 1)).alias("below"),
+        F.count(F.when(F.col("v") <= F.col("value"), 1)).alias("upto"),
+    )
+    wanted, slack = F.col("n") * F.col("probability"), F.col("n") * quality_state.QUANTILE_ERROR + 1
+    return judged.select("column", "probability", ((F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)).alias("close"))
+
+
+@query(
+    "dq_distinct_incremental",
+    CHANGED_SQL + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS exact, true AS close FROM production" for c in VIEWS["production"].columns),
+)
+def _distinct_incremental(t: Tables) -> DataFrame:
+    """Exact distinct counts, and whether those from merged sketches of years are close to them."""
+    states, stored = _states(t)
+    exact = stored.agg(*[F.count_distinct(c).alias(c) for c in stored.columns])
+    names = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in stored.columns])
+    both = exact.select(F.inline(names)).join(g.state_distinct(states), "column")
+    gap = F.abs(F.col("distinct_count") - F.col("exact"))
+    return both.select("column", "exact", (gap <= F.col("exact") * quality_state.DISTINCT_ERROR).alias("close"))
+
+
+@query(
+    "dq_outliers_incremental",
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", true AS close FROM lineitem HAVING count(*) > 0" for c in NUMBERS[:3]),
+)
+def _outliers_incremental(t: Tables) -> DataFrame:
+    """Whether all values beyond the bounds from merged sketches are counted, and those are near the exact ones."""
+    states, stored = _states(t)
+    found = g.state_outliers(states, stored, skip=["tahun"])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in NUMBERS[:3]])
+    beyond = F.col("v").isNotNull() & ((F.col("v") < F.col("low")) | (F.col("v") > F.col("high")))
+    values = stored.select(F.inline(cells)).join(found, "column")
+    return values.groupBy("column").agg((F.count(F.when(beyond, 1)) == F.first("outliers")).alias("close"))
