@@ -90,7 +90,7 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Log frequencies per language of the most frequent words and n-grams, by order."""
+    """Log frequencies per language of words and n-grams, by order."""
 
     langs: list[str]
     grams: dict[int, np.ndarray]
@@ -126,12 +126,11 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(True))
 
 
-def fit(labelled: DataFrame, sample_docs: int = 4000, keep_words: int = 100_000, keep_grams: int = 30_000) -> Model | None:
+def fit(labelled: DataFrame, sample_docs: int = 4000) -> Model | None:
     """Learn from doc_id, text and lang: about `sample_docs` documents of each language.
 
-    The model holds at most `keep_words` words and `keep_grams` n-grams of each order, the
-    most frequent ones, and all or none of those alike in count; its size does not grow
-    with the corpus.
+    The model holds every word and n-gram of these, so that no language loses any to another;
+    the sample bounds its size, which does not grow with the corpus.
     """
     labelled = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     there = {row["lang"]: row["n"] for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -143,22 +142,10 @@ def fit(labelled: DataFrame, sample_docs: int = 4000, keep_words: int = 100_000,
     counted = sample.mapInArrow(count_grams, "order int, gram long, lang string, n long").groupBy("order", "gram")
     summed = texts.checkpointed(
         counted.agg(
-            F.sum("n").alias("n"),
             *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(sorted(there))],
         )
     )
-    # The least count kept of each order: as low as the room allows, and none if it has none.
-    least = {}
-    seen: dict[int, int] = {}
-    for row in summed.groupBy("order", "n").agg(F.count("*").alias("grams")).orderBy(F.col("n").desc()).collect():
-        order = row["order"]
-        seen[order] = seen.get(order, 0) + row["grams"]
-        if seen[order] <= (keep_grams if order else keep_words):
-            least[order] = row["n"]
-    wanted = F.lit(False)
-    for order, n in least.items():
-        wanted |= (F.col("order") == order) & (F.col("n") >= n)
-    found = summed.where(wanted).toPandas()
+    found = summed.toPandas()
     grams, logs = {}, {}
     for order in (0, *ORDERS):
         own = found[found["order"] == order]

@@ -134,8 +134,8 @@ def lines(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     long = points[ends] - points[starts] >= LEAST_CODE_POINTS
     some, starts, ends = some[long], starts[long], ends[long]
     lowered = texts.LOWER[data]
-    keys = texts.span_hashes(texts.prefix_sums(lowered), starts, ends)
-    prints = texts.span_hashes(texts.prefix_sums(lowered, texts.SECOND_BASE), starts, ends, texts.SECOND_BASE)
+    keys = texts.whole_hashes(texts.prefix_sums(lowered), starts, ends)
+    prints = texts.whole_hashes(texts.prefix_sums(lowered, texts.SECOND_BASE), starts, ends, texts.SECOND_BASE)
     return keys, prints, text[some], some - firsts[text[some]]
 
 

@@ -129,7 +129,7 @@ class Encoder:
         data, offsets = texts.flat(column)
         held, bounds = separated(data, offsets)
         starts, ends, first = texts.spans(~texts.SPACE[held], bounds)
-        hashes = texts.span_hashes(texts.prefix_sums(held), starts, ends)
+        hashes = texts.whole_hashes(texts.prefix_sums(held), starts, ends)
         order = np.argsort(hashes)
         new = np.ones(len(order), dtype=bool)
         new[1:] = hashes[order][1:] != hashes[order][:-1]

@@ -21,6 +21,8 @@ RUN_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 SECOND_BASE = 0xC2B2AE3D27D4EB4F
 WORD = 2**64
+# Longer spans are hashed in chunks of so many symbols.
+CHUNK = 128
 
 # White space between words: blank, and the bytes 9 to 13.
 SPACE = np.zeros(256, dtype=bool)
@@ -148,10 +150,29 @@ def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: i
     return mix((total[ends] - total[starts]) * inverse[starts])
 
 
+def whole_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
+    """Hashes of spans of any length; longer ones are hashed by chunks, and the mixed hashes added up.
+
+    A polynomial over 64 bits is the same for some texts of a thousand symbols and more whatever
+    its base (Thue-Morse words and their complements); over a chunk it tells them apart, and what
+    is mixed does not cancel out.
+    """
+    found = span_hashes(total, starts, ends, base)
+    long = np.flatnonzero(ends - starts > CHUNK)
+    if len(long):
+        counts = -(-(ends[long] - starts[long]) // CHUNK)
+        place = ranges(np.zeros(len(long), dtype=np.int64), counts)
+        low = np.repeat(starts[long], counts) + place * CHUNK
+        parts = span_hashes(total, low, np.minimum(low + CHUNK, np.repeat(ends[long], counts)), base)
+        parts = mix(parts + mix(place.astype(np.uint64) + np.uint64(1)))
+        found[long] = mix(np.add.reduceat(parts, np.cumsum(counts) - counts) + counts.astype(np.uint64))
+    return found
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, A-Z lower-cased, and the first word of each text."""
     starts, ends, bounds = spans(~SPACE[data], offsets)
-    return span_hashes(prefix_sums(LOWER[data]), starts, ends), bounds
+    return whole_hashes(prefix_sums(LOWER[data]), starts, ends), bounds
 
 
 def shingles(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

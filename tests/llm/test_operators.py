@@ -1,11 +1,13 @@
 """Every operator against its plain version on part of the smallest driver tables and made-up cases."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -153,24 +155,100 @@ def test_jaccard_join_of_one_id_on_different_texts(spark):
 
 
 def test_toxicity_by_held_out_accuracy(spark):
-    folder = "/root/testdata/sf0.01"
+    """On the given texts as they are."""
+    folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
-    rude = F.concat_ws(" ", "text", F.lit("some Rude! word and an ugly one"))
-    docs = docs.join(labels.select("doc_id", "toxic"), "doc_id", "left")
-    docs = docs.withColumn("text", F.when(F.col("toxic") == 1, rude).otherwise(F.col("text"))).drop("toxic")
     found = op4_toxicity.assess(docs, labels).join(labels, "doc_id").where("held_out").collect()
     caught = [r["predicted"] for r in found if r["toxic"]]
     wrong = [r["predicted"] for r in found if not r["toxic"]]
-    assert np.mean(caught) > 0.9 and np.mean(wrong) < 0.02
+    assert np.mean(caught) > 0.9 and np.mean(wrong) < 0.01
+
+
+def test_a_rare_toxic_word_counts(spark):
+    """Four documents teach a word that no other holds; a fifth is flagged for it, and none for a word like it."""
+    draw = random.Random(3)
+    common = ["".join(draw.choices("bdfghjkmnp", k=5)) for _ in range(300)]
+    plain = lambda k: " ".join(draw.sample(common, 40)) + f" own{'abcdefghij'[k % 10]}"
+    docs = [(k, plain(k) + (" vile" if k % 10 == 1 else " grelk" if k in (5, 25, 45, 65) else "")) for k in range(400)]
+    labels = [(k, 1, int("vile" in text or "grelk" in text)) for k, text in docs]
+    docs += [(1000, plain(0) + " grelk"), (1001, plain(1)), (1002, plain(2) + " grolk")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = op4_toxicity.assess(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), part=9)
+    flagged = {r["doc_id"] for r in found.collect() if r["predicted"]}
+    assert 1000 in flagged and not {1001, 1002} & flagged
+
+
+def test_a_doc_id_repeated_on_many_rows_teaches_once(spark):
+    rows = [(k, f"some text number{'abcdefghijklmnopqrst'[k]}" + (" vile" if k % 2 else "")) for k in range(20)]
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(20)], "doc_id long, quality int, toxic int")
+    one = spark.createDataFrame(rows, "doc_id long, text string")
+    many = spark.createDataFrame(rows + [rows[4]] * 500, "doc_id long, text string").repartition(5)
+    score = lambda docs: {r["doc_id"]: r["score"] for r in op4_toxicity.assess(docs, labels).collect()}
+    assert score(one) == score(many)
+
+
+def dense_chain(present, labels, least, folds=5, seed=4, ridge=1.0):
+    """The chain of the plain definition: every token a column, every model by Newton steps to the end."""
+    fold = np.random.default_rng(seed).permutation(len(present)) % folds
+
+    def scales(x, y):
+        n, positive, held = len(y), y.sum(), x.sum(axis=0)
+        if not 0 < positive < n:
+            return np.zeros(x.shape[1])
+        gap = (x.T @ y) * n - held * positive
+        return np.minimum(1, gap**2 * n / (held * (n - held + 0.5) * positive * (n - positive)) / least)
+
+    def newton(x, y):
+        x = np.hstack([x, np.ones((len(x), 1))])
+        penalty = np.full(x.shape[1], ridge)
+        penalty[-1] = 1e-6
+        w = np.zeros(x.shape[1])
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-x @ w))
+            w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+        return w
+
+    earlier, found = np.zeros((len(present), 0)), []
+    for y in labels.T:
+        own = scales(present, y)
+        w = newton(np.hstack([present * own, earlier]), y)
+        found.append((own, w))
+        outside = np.zeros(len(present))
+        for k in range(folds):
+            a, b = fold != k, fold == k
+            part = scales(present[a], y[a])
+            v = newton(np.hstack([present[a] * part, earlier[a]]), y[a])
+            outside[b] = 1 / (1 + np.exp(-np.hstack([present[b] * part, earlier[b], np.ones((b.sum(), 1))]) @ v))
+        earlier = np.hstack([earlier, outside[:, None]])
+    chances = np.zeros((len(present), 0))
+    for own, w in found:
+        chances = np.hstack([chances, 1 / (1 + np.exp(-np.hstack([present * own, chances, np.ones((len(present), 1))]) @ w))[:, None]])
+    return chances
+
+
+def held_rows(present):
+    row, column = np.nonzero(present)
+    return op4_toxicity.Rows(column, np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(present)))]))
+
+
+def test_chain_is_that_of_the_plain_definition():
+    draw = np.random.default_rng(7)
+    present = (draw.random((240, 30)) < draw.random(30)).astype(float)
+    present[0] = 1
+    label = (present[:, 0] + present[:, 1] * present[:, 2] + draw.random(240) > 1.2).astype(float)
+    labels = np.stack([label, np.where(draw.random(240) < 0.8, label, present[:, 4])], axis=1)
+    rows = held_rows(present)
+    chain = op4_toxicity.fit_chain(op4_toxicity.Chain(["a", "b"], np.arange(30, dtype=np.uint64)), rows, labels, least=30.0)
+    assert np.abs(chain.chances(rows) - dense_chain(present, labels, 30.0)).max() < 0.02
 
 
 def test_chain_feeds_earlier_chances_on():
     draw = np.random.default_rng(1)
     first = draw.integers(0, 2, 400)
-    present = np.stack([first, draw.integers(0, 2, 400)], axis=1).astype(np.float32)
+    present = held_rows(np.stack([first, draw.integers(0, 2, 400)], axis=1))
     labels = np.stack([first, first], axis=1).astype(float)
-    chain = op4_toxicity.fit_chain(op4_toxicity.Chain(["a", "b"], np.arange(2, dtype=np.uint64)), present, labels)
-    assert len(chain.weights[1]) == len(chain.weights[0]) + 1 and chain.weights[1][2] > 0
+    chain = op4_toxicity.fit_chain(op4_toxicity.Chain(["a", "b"], np.arange(2, dtype=np.uint64)), present, labels, least=30.0)
+    assert len(chain.weights[1][1]) == len(chain.weights[0][1]) + 1 and chain.weights[1][1][0] > 0
     chances = chain.chances(present)
     assert ((chances > 0.5) == (first == 1)[:, None]).all()
 
@@ -368,3 +446,83 @@ def test_components(spark):
     found = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {k: v for k, v in wanted.items() if k in found}
     assert {k for e in edges if e[0] != e[1] for k in e} == set(found)
+
+
+def thue_morse(count):
+    word = "a"
+    while len(word) < count:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word[:count]
+
+
+SWAP = str.maketrans("ab", "ba")
+
+
+@pytest.mark.parametrize("count", [512, 1024, 2048, 4096])
+def test_texts_made_to_collide_are_told_apart(spark, count):
+    word = thue_morse(count)
+    other = word.translate(SWAP)
+    docs = [(1, word), (2, other), (3, f"{word} {other} x"), (4, f"{other} {word} x"), (5, f"x {word}\n{other} y")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    joined = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in op3_ngram_join.join(frame, size=3, per_cent=90).collect()}
+    assert joined == brute.jaccard_components(docs, 3, 90)
+    lines = {r["doc_id"]: r["n_dropped"] for r in op7_lines.dedup_lines(frame).collect()}
+    assert lines == {k: v[1] for k, v in brute.kept_lines(docs).items()}
+    packed = op9_packing.pack(frame, public_tokenizers.path("word_bpe_49k.json")).collect()
+    expected = brute.pieces(docs, Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 2048)
+    assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in packed} == expected
+    removed = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in op5_suffix_dedup.remove_repeats(frame).collect()}
+    assert removed == {k: v[:3] for k, v in brute.without_repeats(docs, 200).items()}
+
+
+def test_a_small_language_keeps_its_words(spark):
+    """Words of a language with three short texts are known beside one with thousands of words."""
+    draw = random.Random(5)
+    large = [f"{draw.choice('klmnprst')}{draw.choice('aeiou')}{draw.choice('klmnprst')}{draw.choice('aeiou')}{c}{d}" for c in "klmnprst" for d in "aeiou" for _ in range(40)]
+    rows = [(k, " ".join(draw.choices(large, k=200)), "big") for k in range(300)]
+    small = ["kato", "lemi", "suna", "pira"]
+    rows += [(1000 + k, " ".join(draw.choices(small, k=6)), "small") for k in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = op2_language.fit(frame)
+    asked = spark.createDataFrame([(1, "lemi suna"), (2, "pira"), (3, large[0])], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in op2_language.predict(asked, model).collect()} == {1: "small", 2: "small", 3: "big"}
+    known = op2_language.Words.of(pa.array([" ".join(set(text)) for text in [large, small]])).hashes
+    assert model.known(0, known)[0].all()
+
+
+def test_backoff_is_that_of_a_plain_dictionary(spark):
+    """Every word by its log frequency, else the mean over its longest known n-grams, from counts in dictionaries."""
+    rows = [(k, t, lang) for k, (t, lang) in enumerate([("Das Haus ist groß, das Haus!", "de"), ("the house is big", "en"), ("la maison 3 est là", "fr"), ("is it the end", "en")] * 2)]
+    langs = ["de", "en", "fr"]
+    count = {order: Counter() for order in range(6)}
+    for _, text, lang in rows:
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            count[0][w, lang] += 1
+            for order in range(1, 6):
+                for i in range(len(w) - order + 1):
+                    count[order][w[i : i + order], lang] += 1
+    known = {order: {g for g, _ in count[order]} for order in count}
+    total = {(order, lang): sum(n for (_, x), n in count[order].items() if x == lang) for order in count for lang in langs}
+    log = lambda order, g, lang: np.log((count[order][g, lang] + 0.5) / (total[order, lang] + 0.5 * (len(known[order]) + 1)))
+
+    def word_score(w, lang):
+        if w in known[0]:
+            return log(0, w, lang)
+        for order in (5, 4, 3, 2, 1):
+            grams = [g for g in (w[i : i + order] for i in range(len(w) - order + 1)) if g in known[order]]
+            if grams:
+                return np.mean([log(order, g, lang) for g in grams])
+        return 0.0
+
+    asked = [(1, "Häuser groß"), (2, "the mouse"), (3, "thouse maisons"), (4, "là-bas 12 est"), (5, "qqq zzz"), (6, "12 !")]
+    model = op2_language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    found = {r["doc_id"]: r for r in op2_language.predict(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()}
+    for doc_id, text in asked:
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        if not words:
+            assert found[doc_id]["lang_pred"] == "und"
+            continue
+        sums = np.array([sum(word_score(w, lang) for w in words) for lang in langs])
+        share = np.exp(sums - sums.max())
+        assert found[doc_id]["lang_pred"] == langs[int(sums.argmax())]
+        assert abs(found[doc_id]["score"] - share.max() / share.sum()) < 1e-9
