@@ -126,7 +126,7 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(True))
 
 
-def fit(labelled: DataFrame, sample_docs: int = 4000) -> Model | None:
+def fit(labelled: DataFrame, sample_docs: int = 1500) -> Model | None:
     """Learn from doc_id, text and lang: about `sample_docs` documents of each language.
 
     The model holds every word and n-gram of these, so that no language loses any to another;

@@ -180,7 +180,7 @@ def held_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(
-    documents: DataFrame, labels: DataFrame, categories: Sequence[str], sample_docs: int = 20_000, least: float = 30.0
+    documents: DataFrame, labels: DataFrame, categories: Sequence[str], sample_docs: int = 12_000, least: float = 30.0
 ) -> Chain | None:
     """Learn from doc_id and text, and doc_id and a 0/1 column per category, on about `sample_docs` labels.
 
@@ -203,7 +203,9 @@ def fit(
     held = np.frombuffer(b"".join(map(bytes, seen["tokens"])), dtype=np.uint64)
     counts = seen["tokens"].map(len).to_numpy() // 8
     kinds = seen["kind"].to_numpy()
+    del seen
     known, column = np.unique(held, return_inverse=True)
+    del held
     rows = Rows(column, np.concatenate([[0], np.cumsum(counts)]))
     label = np.stack([(kinds >> k & 1).astype(float) for k in range(len(categories))], axis=1)
     return fit_chain(Chain(list(categories), known), rows, label, least)

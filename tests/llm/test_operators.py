@@ -168,7 +168,7 @@ def test_a_rare_toxic_word_counts(spark):
     """Four documents teach a word that no other holds; a fifth is flagged for it, and none for a word like it."""
     draw = random.Random(3)
     common = ["".join(draw.choices("bdfghjkmnp", k=5)) for _ in range(300)]
-    plain = lambda k: " ".join(draw.sample(common, 40)) + f" own{'abcdefghij'[k % 10]}"
+    plain = lambda k: " ".join(draw.sample(common, 40 + k % 3))
     docs = [(k, plain(k) + (" vile" if k % 10 == 1 else " grelk" if k in (5, 25, 45, 65) else "")) for k in range(400)]
     labels = [(k, 1, int("vile" in text or "grelk" in text)) for k, text in docs]
     docs += [(1000, plain(0) + " grelk"), (1001, plain(1)), (1002, plain(2) + " grolk")]
