@@ -38,6 +38,7 @@ from granary.operators.quality import (
     quality_score,
     rare_values,
     top_values,
+    top_values_bounded,
     uniqueness,
     validity,
     value_counts,

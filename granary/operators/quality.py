@@ -43,6 +43,8 @@ ISSUE_PENALTY = 10
 
 # Characters by which listed values with equal counts are chosen before their texts are read.
 HEAD = 256
+# Named values that may go to the driver and to all tasks.
+_NAMED_BYTES = 8 << 20
 
 
 @dataclass
@@ -493,6 +495,33 @@ def top_values(df: DataFrame, column: str, k: int = 5, order: str = "desc") -> D
     return counted.orderBy(by_count, F.col("value").asc_nulls_first()).limit(k)
 
 
+def top_values_bounded(df: DataFrame, column: str, k: int = 5, tracked: int = 10_000) -> DataFrame:
+    """What :func:`top_values` gives, without a shuffle of all distinct values where that can be told.
+
+    A summary of ``tracked`` counters, merged over all tasks, names every value with more than a
+    share of 7 / ``tracked`` of the rows (twice its greatest error). A second pass counts the
+    named ones exactly. If these are all rows, or the last one listed is above that share, no
+    other value can be listed. Else, or if the named values take more than 8 MB, all are counted.
+    """
+    named_ones = f"approx_top_k({quoted(column)}, {tracked}, {tracked})"
+    seen = df.agg(F.count("*").alias("n"), F.expr(named_ones).alias("top"))
+    sizes = F.transform("top", lambda x: F.octet_length(F.coalesce(x["item"].cast("string"), F.lit(""))).cast("long"))
+    seen = seen.withColumn("bytes", F.aggregate(sizes, F.lit(0).cast("long"), lambda x, y: x + y))
+    found = seen.select("n", F.when(F.col("bytes") <= _NAMED_BYTES, F.col("top")).alias("top"))
+    first = found.first()
+    if first["top"]:
+        kind = T.StructType([T.StructField("value", df.schema[column].dataType)])
+        listed = df.sparkSession.createDataFrame([(x["item"],) for x in first["top"]], kind)
+        same = named(column).eqNullSafe(F.col("_named"))
+        chosen = df.select(named(column)).join(F.broadcast(listed.withColumnRenamed("value", "_named")), same, "left_semi")
+        counted = chosen.groupBy(named(column).alias("value")).agg(F.count("*").alias("rows"))
+        rows = counted.orderBy(F.col("rows").desc(), F.col("value").asc_nulls_first()).collect()
+        whole, rows = sum(row["rows"] for row in rows) == first["n"], rows[:k]
+        if whole or len(rows) == k and rows[-1]["rows"] * tracked > 7 * first["n"]:
+            return df.sparkSession.createDataFrame(rows, T.StructType([*kind.fields, T.StructField("rows", T.LongType())]))
+    return top_values(df, column, k)
+
+
 def _as_text(column: T.StructField) -> Column:
     """Text that differs exactly where the values differ."""
     cell = named(column.name)

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from conftest import metrics, tuples
@@ -301,3 +303,23 @@ def test_long_texts_are_listed_without_being_keys(rows):
     assert listed == {"value_1": long + "b", "value_2": "y", "value_3": None}
     about = metrics(g.profile(df, "d", k=3, approximate=True))
     assert about["profile", "t", "distinct_count"] == 3 and about["profile", "t", "cardinality"] == 3
+
+
+@pytest.mark.parametrize("case", ["heavy tail", "all alike", "few", "nulls", "numbers", "nothing"])
+def test_top_values_in_bounded_memory(spark, case):
+    rnd = random.Random(4)
+    values = {
+        "heavy tail": [f"v{min(int(rnd.paretovariate(0.6)), 10**6)}" for _ in range(20_000)],
+        "all alike": [f"u{k}" for k in range(3000)],
+        "few": ["b", "a", "b", "c"],
+        "nulls": [None] * 50 + ["x"] * 50 + ["y"],
+        "numbers": [k * k % 97 for k in range(2000)],
+        "nothing": [],
+    }[case]
+    df = spark.createDataFrame([(v,) for v in values], "v " + ("long" if case == "numbers" else "string")).repartition(4)
+    for k in (1, 5):
+        bounded = g.top_values_bounded(df, "v", k, tracked=256)
+        assert sorted(map(tuple, bounded.collect()), key=repr) == sorted(map(tuple, g.top_values(df, "v", k).collect()), key=repr)
+        # Only where nothing can be told are all values counted.
+        if case in ("few", "nulls", "numbers") or case == "heavy tail" and k == 1:
+            assert "Exchange" not in bounded._jdf.queryExecution().toString()

@@ -465,6 +465,19 @@ def _top_values(t: Tables) -> DataFrame:
     return g.top_values(t.events, "event_type", 3)
 
 
+@query(
+    "dq_top_values_bounded",
+    "SELECT 'type' AS kind, value, rows FROM (SELECT event_type AS value, count(*) AS rows FROM events GROUP BY 1 ORDER BY rows DESC, value LIMIT 3) "
+    "UNION ALL SELECT 'word', value, rows FROM (SELECT unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+')) AS value, "
+    "count(*) AS rows FROM documents GROUP BY 1 ORDER BY rows DESC, value LIMIT 10)",
+)
+def _top_values_bounded(t: Tables) -> DataFrame:
+    """Few values, and the words of all texts, of which there are very many."""
+    words = t.documents.select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z]+"), F.lit(0))).alias("word"))
+    types = g.top_values_bounded(t.events, "event_type", 3).select(F.lit("type").alias("kind"), "value", "rows")
+    return types.unionByName(g.top_values_bounded(words, "word", 10).select(F.lit("word").alias("kind"), "value", "rows"))
+
+
 @query(
     "dq_rarest_values",
     "SELECT user_id AS value, count(*) AS rows FROM events GROUP BY 1 ORDER BY rows, value LIMIT 5",
