@@ -35,10 +35,12 @@ LOWER[65:91] += 32
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, which the session names in `spark.checkpoint.dir`.
 
-    A temporary one serves only where that is unset, as in tests on one machine.
+    A temporary one serves only where that is unset and the session is local, as in tests.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         import tempfile
 
         folder = tempfile.mkdtemp(prefix="granary-")
@@ -47,7 +49,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:
-    """The rows, cut off from their lineage; Spark removes the files once they are out of use."""
+    """The rows, cut off from their lineage.
+
+    Spark removes the files once they are out of use if the session says so
+    (`spark.cleaner.referenceTracking.cleanCheckpoints`); else they stay.
+    """
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(frame.sparkSession))

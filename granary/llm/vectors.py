@@ -61,12 +61,15 @@ def matrix(held, dim: int) -> np.ndarray:
 
 
 def unit(found: np.ndarray) -> np.ndarray:
-    return found / np.linalg.norm(found, axis=1, keepdims=True)
+    """Vectors of length one; they are scaled by powers of two first, so that no square leaves the range of doubles."""
+    largest = np.abs(found).max(axis=1, initial=0.0)
+    scaled = np.ldexp(found, -np.frexp(largest)[1][:, None])
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def sample(sound: DataFrame, total: int, most: int, dim: int) -> np.ndarray:
     """About `most` vectors, chosen by a hash of their components, in a stable order."""
     draw = F.pmod(F.xxhash64("key", "key2"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    found = sound.where(draw < min(1.0, most / max(total, 1))).select("key", "key2", "vector").toPandas()
-    found = found.sort_values(["key", "key2"]).drop_duplicates(["key", "key2"])
+    found = sound.where(draw < min(1.0, most / max(total, 1))).select("key", "key2", "vector")
+    found = found.dropDuplicates(["key", "key2"]).toPandas().sort_values(["key", "key2"])
     return np.frombuffer(b"".join(map(bytes, found["vector"])), dtype=np.float64).reshape(-1, dim)

@@ -15,6 +15,7 @@ from granary.llm import (
     op8_embeddings,
     op9_packing,
     op10_neighbours,
+    vectors,
 )
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -132,3 +133,23 @@ def test_no_vectors(spark):
     assert op10_neighbours.search(frame, F.col("vec_id") % 50 == 0).collect() == []
     lone = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in op8_embeddings.deduplicate(lone).collect()] == [(1, 0, 1, True)]
+
+
+SIZES = [(0, [1e-200, 0.0, 0.0]), (1, [1e200, 0.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [5e-324, 0.0, 0.0]), (4, [1e-310, 1e-310, 0.0]),
+         (5, [1e308, 1e308, 0.0]), (50, [0.0, 1e300, 1e-300]), (6, [1e200, 1e-200, 0.0])]
+
+
+def test_vectors_of_any_length(spark):
+    frame = spark.createDataFrame(SIZES, "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in op8_embeddings.deduplicate(frame).collect()}
+    assert found == {**{k: (4, 0) for k in (0, 1, 2, 3, 6)}, 4: (1, 4), 5: (1, 4), 50: (0, 50)}
+    near = [r for r in op10_neighbours.search(frame, F.col("vec_id") % 50 == 0, k=7).collect() if r["query_id"] == 0]
+    near.sort(key=lambda r: r["rank"])
+    assert [r["vec_id"] for r in near] == [1, 2, 3, 6, 4, 5, 50]
+    assert [round(r["score"], 12) for r in near] == [1.0] * 4 + [round(0.5**0.5, 12)] * 2 + [0.0]
+
+
+def test_a_copied_vector_is_sampled_once(spark):
+    rows = [(k, [float(k % 7), 1.0, 2.0]) for k in range(300)] + [(1000 + k, [9.0, 9.0, 1.0]) for k in range(300)]
+    read = vectors.read(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4), 3)
+    assert len(vectors.sample(read, 600, 600, 3)) == 8
