@@ -66,7 +66,9 @@ from granary.sources.delimited import (
     read_delimited,
     read_records,
     read_source,
+    stream_source,
 )
+from granary.sources.rowstore import append_new, stored_rows
 from granary.sources.tables import (
     load_table,
     register_table,
@@ -74,6 +76,7 @@ from granary.sources.tables import (
     stage,
     staging_folder,
     table_counts,
+    write_bucketed,
     write_table,
 )
 from granary.spec import Agg, Enrichment, QualitySpec, RatioCheck, Rule, SourceSpec

@@ -9,8 +9,10 @@ from __future__ import annotations
 import argparse
 import logging
 from collections.abc import Iterable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from granary.operators.marts import validate_mart
 from granary.operators.quality import (
@@ -32,6 +34,7 @@ from granary.sources.tables import (
     stage,
     staging_folder,
     summary_of,
+    write_bucketed,
     write_table,
 )
 
@@ -150,6 +153,39 @@ def write_mart(spark: SparkSession, mart: DataFrame, path: str, table: str) -> d
     return checked.asDict()
 
 
+def mart_bucketed(
+    production: DataFrame,
+    sources: Mapping[str, DataFrame | None],
+    database: str,
+    folder: str,
+    buckets: int,
+    heaviest: float = 2.0,
+) -> DataFrame:
+    """The enriched mart from summaries kept in buckets of region and year, joined without a shuffle.
+
+    Summaries have one row per key. The socio-economic rows may repeat keys: they are bucketed
+    unless one key has more than ``heaviest`` times the rows of a mean bucket. Then they
+    stay as they are and are joined last, with a shuffle, in which Spark may split that key.
+    """
+    base, parts = presets.mart_parts(production, sources)
+    root = folder.rstrip("/")
+
+    def kept(name: str, frame: DataFrame) -> DataFrame:
+        return write_bucketed(frame, f"{database}.{name}", f"{root}/{name}", presets.KEYS, buckets)
+
+    stored = []
+    for part in parts:
+        if not part.unique:
+            per_key = part.frame.groupBy(*presets.KEYS).agg(F.count("*").alias("n"))
+            most, total = per_key.agg(F.max("n"), F.sum("n")).first()
+            if (most or 0) > max(heaviest * (total or 0) / buckets, 1):
+                stored.append(part)
+                continue
+        # A left join is right for repeated keys as well; unique says that nothing needs splitting.
+        stored.append(replace(part, frame=kept(part.name, part.frame), unique=True))
+    return presets.finish_enriched(kept("produksi_pangan", base), stored)
+
+
 def run_gold(
     spark: SparkSession,
     gold_dir: str,

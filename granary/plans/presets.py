@@ -5,7 +5,7 @@ Column names, markers, bounds and thresholds are fixed values of the data model.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -579,18 +579,13 @@ def mart_indicators(production: DataFrame) -> DataFrame:
     return finish_indicators(production_summary(production))
 
 
-def mart_enriched(
+def mart_parts(
     production: DataFrame,
     sources: Mapping[str, DataFrame | None] | None = None,
     province_wide: tuple[str, ...] = (),
     unique_social: bool = False,
-) -> DataFrame:
-    """The enriched mart: production with every other cleaned table that is there.
-
-    Sources named in ``province_wide`` hold one region for all, and join by year
-    alone; by default all join by region and year. ``unique_social`` promises
-    one socio-economic row per key.
-    """
+) -> tuple[DataFrame, list[Enrichment]]:
+    """What :func:`mart_enriched` joins: the summary of production, and the sources that are there."""
     sources = sources or {}
     enrichments = []
     for name, aggs in SOURCE_AGGS.items():
@@ -606,10 +601,13 @@ def mart_enriched(
         else:
             rows = normalize_key(frame, REGION)
             enrichments.append(Enrichment(name, rows, KEYS, unique=unique_social))
-    base = summarize_normalized(production, REGION, KEYS, PRODUCTION_AGGS)
-    joined = enrich(base, enrichments)
+    return summarize_normalized(production, REGION, KEYS, PRODUCTION_AGGS), enrichments
+
+
+def finish_enriched(base: DataFrame, enrichments: Sequence[Enrichment]) -> DataFrame:
+    """The enriched mart from its parts."""
     with_ratio = add_ratio(
-        joined,
+        enrich(base, enrichments),
         "produksi_per_kapita",
         "total_produksi",
         "jumlah_penduduk",
@@ -617,3 +615,18 @@ def mart_enriched(
         without_denominator="numerator",
     )
     return add_scores(with_ratio)
+
+
+def mart_enriched(
+    production: DataFrame,
+    sources: Mapping[str, DataFrame | None] | None = None,
+    province_wide: tuple[str, ...] = (),
+    unique_social: bool = False,
+) -> DataFrame:
+    """The enriched mart: production with every other cleaned table that is there.
+
+    Sources named in ``province_wide`` hold one region for all, and join by year
+    alone; by default all join by region and year. ``unique_social`` promises
+    one socio-economic row per key.
+    """
+    return finish_enriched(*mart_parts(production, sources, province_wide, unique_social))

@@ -37,13 +37,15 @@ def read_delimited(
     multi_line: bool = False,
     options: Mapping[str, str] | None = None,
     corrupt_column: str | None = None,
+    stream: bool = False,
 ) -> DataFrame:
     """Read a delimited file; all columns are text unless a schema is given or inferred.
 
     A given schema wins over inference. With ``corrupt_column`` lines of the
     wrong shape are kept whole in that column, which Spark fills only if it is
     part of the schema; without a schema it is made from the header. ``multi_line`` takes
-    records that span lines; the file is then a single task, whatever its size.
+    records that span lines; the file is then a single task, whatever its size. ``stream``
+    reads a folder as a stream of files, with the columns of those that are there already.
     """
     settings = {
         "header": str(header).lower(),
@@ -63,11 +65,12 @@ def read_delimited(
             # A reader that parses only some columns takes wrong line shapes for right.
             "columnPruning": "false",
         }
-        if schema is None:
-            schema = spark.read.options(**settings).csv(path).schema
+    if schema is None and (corrupt_column or stream):
+        schema = spark.read.options(**settings).csv(path).schema
+    if corrupt_column:
         if corrupt_column not in schema.names:
             schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
-    reader = spark.read.options(**settings)
+    reader = (spark.readStream if stream else spark.read).options(**settings)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -198,6 +201,25 @@ def read_source(
     return rename_columns(frame, spec.renames)
 
 
+def stream_source(
+    spark: SparkSession, path: str, spec: SourceSpec, files_per_batch: int | None = None
+) -> DataFrame:
+    """:func:`read_source` as a stream of the files of a folder, old ones first."""
+    if spec.split:
+        raise ValueError("records put together from splits need all lines of a file, not a stream")
+    limit = {"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {}
+    frame = read_delimited(
+        spark,
+        path,
+        spec.separator,
+        multi_line=spec.multi_line,
+        options={**spec.options, **limit},
+        corrupt_column=spec.corrupt_column,
+        stream=True,
+    )
+    return rename_columns(frame, spec.renames)
+
+
 def kind_measures(df: DataFrame) -> dict[str, str]:
     """Aggregates in SQL that tell which text columns hold numbers only.
 

@@ -71,6 +71,35 @@ def absolute_path(spark: SparkSession, path: str) -> str:
     return system.makeQualified(target).toString()
 
 
+def _refuse_managed(spark: SparkSession, name: str, target: str, location: str | None) -> None:
+    kind = spark.catalog.getTable(target).tableType
+    if kind != "EXTERNAL" or not location:
+        raise ValueError(f"{name} is there as {kind.lower()} table and is not replaced")
+
+
+def write_bucketed(
+    df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int, fmt: str = "parquet"
+) -> DataFrame:
+    """Write files at ``path`` bucketed and sorted by ``keys``, register them as ``database.table``,
+    and return the table.
+
+    Tables of one number of buckets and the same keys join without a shuffle. A bucket is
+    one file, written and read by one task, so this is for tables whose keys have one row or few;
+    one heavy key would make one heavy task for ever. Another session registers
+    the files by :func:`register_table` with ``bucket_by``.
+    """
+    spark = df.sparkSession
+    database, table = name.split(".")
+    target = f"{quoted(database)}.{quoted(table)}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+    if spark.catalog.tableExists(target):
+        _refuse_managed(spark, name, target, path)
+    dealt = df.repartition(buckets, *[F.col(quoted(key)) for key in keys])
+    writer = dealt.write.format(fmt).mode("overwrite").option("path", absolute_path(spark, path))
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(target)
+    return spark.table(target)
+
+
 def register_table(
     spark: SparkSession,
     name: str,
@@ -79,6 +108,8 @@ def register_table(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     replace: bool = True,
+    bucket_by: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> None:
     """Register files at ``location`` as table ``database.table``.
 
@@ -86,15 +117,13 @@ def register_table(
     files. An older registration of files elsewhere is replaced and its files stay;
     partitions are brought in line with the directories. Dropping a managed table would
     delete its rows, so a name that bears one is refused, as is a table that exists where
-    no location is given.
+    no location is given. ``bucket_by`` and ``buckets`` are those of :func:`write_bucketed`.
     """
     database, table = name.split(".")
     target = f"{quoted(database)}.{quoted(table)}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
     if replace and spark.catalog.tableExists(target):
-        kind = spark.catalog.getTable(target).tableType
-        if kind != "EXTERNAL" or not location:
-            raise ValueError(f"{name} is there as {kind.lower()} table and is not replaced")
+        _refuse_managed(spark, name, target, location)
         spark.sql(f"DROP TABLE {target}")
     data = [column for column in schema.fields if column.name not in partition_by]
     keys = [schema[key] for key in partition_by]
@@ -104,6 +133,9 @@ def register_table(
     statement = f"CREATE TABLE IF NOT EXISTS {target} ({columns}) USING {fmt}"
     if partition_by:
         statement += f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})"
+    if bucket_by:
+        listed = ", ".join(map(quoted, bucket_by))
+        statement += f" CLUSTERED BY ({listed}) SORTED BY ({listed}) INTO {buckets} BUCKETS"
     if location:
         statement += f" LOCATION {literal(absolute_path(spark, location))}"
     spark.sql(statement)

@@ -18,7 +18,8 @@ from granary.functions import (
     year_from,
 )
 from granary.plans import presets
-from granary.plans.jobs import run_gold, run_silver
+from granary.plans.jobs import mart_bucketed, run_gold, run_silver
+from granary.plans.streams import stream_silver
 from workload import scratch
 from workload.views import INDEX_HEADER, VIEWS, Tables, view, with_views
 
@@ -739,6 +740,15 @@ def _distinct_regions(t: Tables) -> DataFrame:
     return g.dedupe(view(t, "production").select("kabupaten_kota"))
 
 
+@query("rows_across_runs", with_views("SELECT DISTINCT * FROM doubled_lines", "doubled_lines"))
+def _rows_across_runs(t: Tables) -> DataFrame:
+    """Two runs, of whose rows the second one brings many that the first one stored."""
+    lines, path = view(t, "doubled_lines"), scratch.folder(t.spark, "rows_across_runs")
+    g.append_new(lines.filter("l_linenumber <= 4"), path)
+    g.append_new(lines.filter("l_linenumber >= 3"), path)
+    return g.stored_rows(t.spark, path)
+
+
 # ---------------------------------------------------------------- summaries and joins
 
 AGG_SQL = {
@@ -958,12 +968,14 @@ for _name, _sql in SILVER_SQL.items():
         return presets.DATASETS[DATASET_NAMES[name]].clean(view(t, f"raw_{name}"))
 
 
-def _raw_file(t: Tables, name: str, folder: str | None = None) -> str:
+def _raw_file(
+    t: Tables, name: str, folder: str | None = None, path: str | None = None, mode: str = "error"
+) -> str:
     """The raw view as a delimited file in the layout of its source."""
     raw = view(t, f"raw_{name}").withColumnsRenamed({"harga_pangan": "harga pangan"})
     source = presets.SOURCES[DATASET_NAMES[name]]
-    path = f"{folder}/{source.name}.csv" if folder else scratch.folder(t.spark, source.name)
-    return scratch.write_csv(raw, path, source.separator)
+    path = path or (f"{folder}/{source.name}.csv" if folder else scratch.folder(t.spark, source.name))
+    return scratch.write_csv(raw, path, source.separator, mode)
 
 
 for _name, _sql in SILVER_SQL.items():
@@ -975,6 +987,19 @@ for _name, _sql in SILVER_SQL.items():
 
 
 # Prices of these lines are written without quotes, so that they have a field too many.
+for _name, _sql in SILVER_SQL.items():
+
+    @query(f"stream_silver_{_name}", with_views(_sql, f"raw_{_name}"))
+    def _stream_silver(t: Tables, name=_name) -> DataFrame:
+        """The files arrive twice, in several batches; what came before is not written again."""
+        source, dataset = _raw_file(t, name), DATASET_NAMES[name]
+        path, checkpoint = (scratch.folder(t.spark, f"stream_{name}_{part}") for part in ("table", "state"))
+        stream_silver(t.spark, dataset, source, path, checkpoint, files_per_batch=4)
+        _raw_file(t, name, mode="append", path=source)
+        stream_silver(t.spark, dataset, source, path, checkpoint)
+        return t.spark.read.parquet(path).select(*presets.SILVER_SCHEMAS[dataset].names)
+
+
 OVERLONG = "tanggal IS NOT NULL AND komoditas LIKE '1%' AND harga_pangan LIKE '_%,___' AND harga_pangan NOT LIKE '%\"%'"
 
 
@@ -1132,6 +1157,14 @@ def _mart_enriched(t: Tables) -> DataFrame:
     return rounded(_mart(t, ALL_SOURCES), *MART_MEASURES, "produksi_per_kapita")
 
 
+@query("mart_enriched_bucketed", ORACLE["mart_enriched"])
+def _mart_enriched_bucketed(t: Tables) -> DataFrame:
+    sources = {SOURCE_NAMES[name]: view(t, name) for name in ALL_SOURCES}
+    folder = scratch.folder(t.spark, "mart_enriched_bucketed")
+    mart = mart_bucketed(view(t, "production"), sources, scratch.database(t.spark), folder, 8)
+    return rounded(mart, *MART_MEASURES, "produksi_per_kapita")
+
+
 # Some rows spell their region in another way; spellings of one region are one region.
 SPELLED = "CASE WHEN komoditas LIKE 'A%' THEN lower(kabupaten_kota) || '!' ELSE kabupaten_kota END"
 _MERGED = [("production", f"SELECT * REPLACE ({SPELLED} AS kabupaten_kota) FROM ({VIEWS['production'].sql})")]

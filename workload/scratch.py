@@ -54,8 +54,8 @@ def database(spark: SparkSession) -> str:
     return _note(spark, "database", f"granary_{uuid.uuid4().hex[:8]}")
 
 
-def write_csv(df: DataFrame, path: str, separator: str) -> str:
-    writer = df.write.option("header", True).option("sep", separator)
+def write_csv(df: DataFrame, path: str, separator: str, mode: str = "error") -> str:
+    writer = df.write.mode(mode).option("header", True).option("sep", separator)
     writer.option("quote", '"').option("escape", '"').csv(path)
     return path
 
