@@ -234,6 +234,11 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
     return hits.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("line")).alias("drops"))
 
 
+def unused(names: Sequence[str]) -> str:
+    """A name for a field that keeps a struct from being empty, longer than all of these."""
+    return "_" * (1 + max(map(len, names), default=0))
+
+
 def dedup_lines(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Documents without the lines that an earlier document holds.
 
@@ -247,7 +252,7 @@ def dedup_lines(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     Columns not named are ignored. An empty table gives an empty result.
     """
     tagged = documents.select(
-        F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.struct(*keep, F.lit(0).alias("_")).alias("kept")
+        F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.struct(*keep, F.lit(0).alias(unused(keep))).alias("kept")
     ).withColumn("tag", F.xxhash64("text"))
     drops = dropped_lines(tagged).withColumnRenamed("tag", "drop_tag")
     joined = tagged.join(drops, (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("doc")) & (F.col("tag") == F.col("drop_tag")), "left")
@@ -265,7 +270,7 @@ def dedup_lines(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def lined_documents(documents: DataFrame) -> DataFrame:
     """The documents in all their columns, texts without repeated lines and n_chars brought up to date."""
     rest = [name for name in documents.columns if name not in ("doc_id", "text")]
-    whole = documents.select("doc_id", "text", F.struct(*rest, F.lit(0).alias("_")).alias("rest"))
+    whole = documents.select("doc_id", "text", F.struct(*rest, F.lit(0).alias(unused(rest))).alias("rest"))
     kept = dedup_lines(whole, keep=("rest",))
     columns = {"doc_id": F.col("doc_id"), "text": F.col("text"), **{name: F.col("rest").getField(name) for name in rest}}
     if "n_chars" in columns:

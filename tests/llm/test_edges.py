@@ -23,6 +23,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = [
     "row", "tag", "part", "n", "sig", "key", "size", "weight", "draw", "rep", "cluster", "gram", "at", "found", "kept", "drops",
     "line", "score", "held_out", "stats", "label", "kind", "blocks", "copies", "vector", "length", "range", "before", "doc",
+    "_", "sig2", "group", "shard", "salt", "held", "i", "j", "near", "component", "drop_tag", "copy", "node", "code",
 ]
 
 LONG = "word " * 120_000 + "idiot"

@@ -361,10 +361,32 @@ def test_embedding_links_of_vectors_that_share_a_direction(spark, monkeypatch, c
     monkeypatch.setattr(op8_embeddings, "BLOCK_COMPONENTS", components, raising=False)
     plain = shared_direction()
     frame = spark.createDataFrame(plain, "vec_id long, embedding array<double>")
-    found = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in op8_embeddings.deduplicate(frame).collect()}
     wanted = brute.vector_links(plain, 0.95)
     assert sum(v[0] for v in wanted.values()) >= 400
-    assert found == wanted
+    for exhaustive in (False, True):
+        rows = op8_embeddings.deduplicate(frame, exhaustive=exhaustive).collect()
+        assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in rows} == wanted
+
+
+@pytest.mark.parametrize("common, dim", [(0.0, 64), (0.5, 64), (0.85, 64), (0.5, 12)])
+def test_embedding_tables_find_nearly_all_links(spark, common, dim):
+    plain = shared_direction(2000, dim, common)
+    frame = spark.createDataFrame(plain, "vec_id long, embedding array<double>")
+    found = sum(r["n_links"] for r in op8_embeddings.deduplicate(frame).collect())
+    units = np.array([row for _, row in plain])
+    wanted = int((units @ units.T >= 0.95).sum()) - len(units)
+    assert wanted >= 2000 and 0.99 * wanted <= found <= wanted
+
+
+def test_embedding_tables_grow_with_the_vectors_and_stay_few():
+    units = np.array([row for _, row in shared_direction(3000, 64, 0.0)])
+    small, large = (op8_embeddings.Rotation.learn(units, 0.95, total) for total in (10**4, 10**7))
+    assert [table[2] for table in (small.tables[0], large.tables[0])] == [10, 20]
+    assert len(small.tables) <= len(large.tables) <= 60
+    codes = large.codes(units)
+    apart = np.bitwise_count(codes[0::2][:700, None] ^ codes[1::2][None, :700]).sum(axis=2)
+    assert (np.diag(apart) <= large.radius).all()
+    assert (apart[~np.eye(700, dtype=bool)] <= large.radius).mean() < 0.001
 
 
 def test_packing(either):
