@@ -454,6 +454,62 @@ def test_neighbours_of_few_vectors(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in found] == [(0, 1, 1), (0, 2, 2), (0, 3, 50), (50, 1, 1), (50, 2, 2), (50, 3, 0)]
 
 
+def _clustered(n):
+    """Vectors in groups of 20 around n / 20 centres, with a sixth of all rows one and the same vector."""
+    draws = np.random.default_rng(10)
+    found = np.repeat(draws.standard_normal((n // 20, 16)), 20, axis=0) + 0.25 * draws.standard_normal((n, 16))
+    found[::6] = found[0]
+    return found
+
+
+@pytest.mark.parametrize("n", [1200, 6000])
+def test_neighbours_in_divided_parts(spark, n):
+    held = _clustered(n)
+    units = held / np.linalg.norm(held, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(held)], "vec_id long, embedding array<double>")
+    given = dict(parts=4, sample_vectors=400, leaf=150)
+    found = defaultdict(list)
+    for r in op10_neighbours.search(frame, F.col("vec_id") % 20 == 0, **given).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    hits = 0
+    for query in range(0, n, 20):
+        scores = np.round(units @ units[query], 12)
+        scores[query] = -2
+        best = np.lexsort((np.arange(n), -scores))[:5].tolist()
+        assert len(found[query]) == 5
+        if query % 6 == 0:
+            assert found[query] == best
+        hits += len(set(best) & set(found[query]))
+    assert hits / (n // 20 * 5) >= 0.9
+
+
+def test_parts_grow_with_the_vectors(spark):
+    """More parts, none above the limit, and a smaller share of them visited."""
+    visited = []
+    for n in (1200, 6000):
+        rows = spark.createDataFrame(
+            [(k % 20 == 1, 1, k * 0.618034 % 1, k, 0, k, row.tobytes()) for k, row in enumerate(_clustered(n)) if k % 6],
+            "asks boolean, turn int, draw double, key long, key2 long, vec_id long, vector binary",
+        )
+        placed = op10_neighbours.place(rows, 16, n * 5 // 6, 5, 4, 400, 0.97, 150).toPandas()
+        members = placed[~placed["asks"]]
+        assert len(members) == members["vec_id"].nunique() == n * 5 // 6 - n // 20
+        assert members.groupby("node").size().max() <= 150
+        visited.append((members["node"].nunique(), placed[placed["asks"]].groupby("vec_id").size().mean()))
+    (few, asked_few), (many, asked_many) = visited
+    assert many >= 3 * few and asked_many / many <= 0.75 * asked_few / few
+
+
+def test_queries_of_thin_parts_are_compared_with_all(spark):
+    held = np.zeros((64, 3))
+    held[:, 0] = 1.0
+    held[:3] = [[0.0, 1.0, 0.0], [0.0, 1.0, 0.01], [0.0, 1.0, 0.02]]
+    held[3:, 2] = np.arange(61) / 1000
+    frame = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(held)], "vec_id long, embedding array<double>")
+    found = op10_neighbours.search(frame, F.col("vec_id") == 0, parts=8, recall=0.01).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found][:2] == [1, 2] and len(found) == 5
+
+
 def test_parts_are_balanced():
     draw = np.random.default_rng(1)
     units = draw.standard_normal((256, 8))
