@@ -14,6 +14,7 @@ from granary.operators.cleaning import (
     rename_columns,
     standardize_name,
 )
+from granary.operators.heavy import join_heavy
 from granary.operators.marts import (
     enrich,
     repeated_keys,

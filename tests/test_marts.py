@@ -123,6 +123,45 @@ def test_a_heavy_key_is_split(spark, tmp_path):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def heavy_rows(spark, path):
+    """A third of the rows under one key, some under none, and some twice."""
+    spark.range(0, 60_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 11 = 0 THEN NULL ELSE id % 1900 END AS k", "id % 50000 AS w"
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_a_heavy_source_is_read_once_and_split(spark, tmp_path):
+    source = heavy_rows(spark, str(tmp_path / "source"))
+    base = spark.range(2000).selectExpr("IF(id = 5, NULL, id) AS k", "id AS v")
+    out = g.join_heavy(base, source, ["k"], spread=16)
+    totals = ["count(*)", "count(w)", "sum(v)", "sum(hash(k, v, w))"]
+    expected = base.join(source, "k", "left").selectExpr(*totals).collect()
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    try:
+        for threshold in ("-1", before):
+            spark.conf.set(setting, threshold)
+            total = out.selectExpr(*totals)
+            assert total.collect() == expected
+            plan = total._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert plan.count("FileScan") == 1
+    finally:
+        spark.conf.set(setting, before)
+    salted = source.filter("k = 7").selectExpr("pmod(xxhash64(k, w), 16) AS salt").groupBy("salt").count()
+    assert salted.count() == 16 and salted.agg({"count": "max"}).first()[0] < 20_000 / 8
+
+
+def test_heavy_join_of_empty_sides(spark, rows):
+    base = rows("k string, j int, v int", ("a", 1, 1), (None, 1, 2), ("b", None, 3))
+    source = rows("j int, k string, w int", (1, "a", 4), (1, "a", 4), (1, None, 5), (None, "b", 6))
+    joined = tuples(base.join(source, ["k", "j"], "left").select("k", "j", "v", "w"))
+    assert tuples(g.join_heavy(base, source, ["k", "j"])) == joined
+    nothing = tuples(base.selectExpr("*", "CAST(NULL AS INT) AS w"))
+    assert tuples(g.join_heavy(base, source.filter("w > 9"), ["k", "j"])) == nothing
+    assert g.join_heavy(base.filter("v > 9"), source, ["k", "j"]).count() == 0
+
+
 def test_two_repeating_sources(base, rows):
     one = rows("region string, year int, x int", ("a", 1, 1), ("a", 1, 2))
     two = rows("region string, year int, y int", ("a", 1, 3), ("a", 1, 4), ("b", 1, 5))

@@ -865,6 +865,22 @@ for _name in SOURCE_NAMES:
         return rounded(joined, *measures("production"), *([] if name == "social" else measures(name)))
 
 
+@query(
+    "join_social_heavy",
+    with_views(
+        with_rounding(
+            f"SELECT * FROM ({grouped_sql('production')}) AS base LEFT JOIN heavy_social USING (kabupaten_kota, tahun)",
+            measures("production"),
+        ),
+        "production",
+        "heavy_social",
+    ),
+)
+def _join_social_heavy(t: Tables) -> DataFrame:
+    base = presets.production_summary(view(t, "production"))
+    return rounded(g.join_heavy(base, view(t, "heavy_social"), KEYS), *measures("production"))
+
+
 @query(
     "join_by_year",
     with_views(

@@ -134,6 +134,18 @@ VIEWS: dict[str, View] = {
             "tahun": "cast(1998 + c_custkey % 6 as int)",
         },
     ),
+    # One key holds a third of all rows
+    "heavy_social": View(
+        lambda t: t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")),
+        "customer JOIN nation ON c_nationkey = n_nationkey",
+        {
+            "kabupaten_kota": "CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 3 = 0 "
+            "THEN 'BRAZIL' ELSE n_name END",
+            "jumlah_penduduk": "cast(c_custkey as int)",
+            "ipkm": "c_acctbal / 1.001",
+            "tahun": "cast(CASE WHEN c_custkey % 3 = 0 THEN 2003 ELSE 1998 + c_custkey % 6 END as int)",
+        },
+    ),
     "consumption": View(
         _customers,
         CUSTOMER_SQL,
