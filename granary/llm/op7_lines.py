@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from granary.llm import texts
 
-# Probes of one shard are dealt to so many tasks, for lines that very many documents hold.
+# Probes of one shard are dealt to so many tasks for each SHARD_LINES of repeats begun, for lines that very many documents hold.
 SALTS = 16
-# Lines that one shard answers for, repeats included.
+# Lines that one shard answers for, repeats included, unless a single line is more often.
 SHARD_LINES = 500_000
 LEAST_CODE_POINTS = 10
 NO_ID = 2**63 - 1
@@ -70,40 +70,53 @@ class MinimalPerfectHash:
 
 @dataclass
 class LineIndex:
-    """One shard: the hash, and the arrays it points into."""
+    """One shard: the hash, and the arrays it points into.
+
+    The hash is over keys, or if two lines of one key meet, over keys moved by their fingerprints
+    and an odd number, which sets them apart.
+    """
 
     hash: MinimalPerfectHash
+    seed: int
     prints: np.ndarray
     counts: np.ndarray
     first: np.ndarray
 
     @staticmethod
     def build(keys: np.ndarray, prints: np.ndarray, counts: np.ndarray, first: np.ndarray) -> LineIndex:
+        seed = 0
+        while len(np.unique(LineIndex._moved(keys, prints, seed))) < len(keys):
+            seed += 1 + seed % 2
+        keys = LineIndex._moved(keys, prints, seed)
         hashed = MinimalPerfectHash.build(keys)
         order = np.argsort(hashed.number(keys))
-        return LineIndex(hashed, prints[order], np.minimum(counts[order], 2**32 - 1).astype(np.uint32), first[order])
+        return LineIndex(hashed, seed, prints[order], np.minimum(counts[order], 2**32 - 1).astype(np.uint32), first[order])
+
+    @staticmethod
+    def _moved(keys: np.ndarray, prints: np.ndarray, seed: int) -> np.ndarray:
+        return keys + np.uint64(seed) * texts.mix(prints) if seed else keys
 
     def to_bytes(self) -> bytes:
-        head = np.array([len(self.hash.sizes), len(self.prints), *self.hash.sizes], dtype=np.int64)
+        head = np.array([len(self.hash.sizes), len(self.prints), self.seed, *self.hash.sizes], dtype=np.int64)
         return b"".join(
             [head.tobytes(), np.packbits(self.hash.bits).tobytes(), self.prints.tobytes(), self.first.tobytes(), self.counts.tobytes()]
         )
 
     @staticmethod
     def from_bytes(held: bytes) -> LineIndex:
-        levels, n = np.frombuffer(held, np.int64, 2)
-        sizes = np.frombuffer(held, np.int64, levels, 16)
-        at, total = 16 + 8 * int(levels), int(sizes.sum())
+        levels, n, seed = np.frombuffer(held, np.int64, 3)
+        sizes = np.frombuffer(held, np.int64, levels, 24)
+        at, total = 24 + 8 * int(levels), int(sizes.sum())
         packed = np.frombuffer(held, np.uint8, (total + 7) // 8, at)
         at += len(packed)
         bits = np.unpackbits(packed, count=total).astype(bool)
         prints, first = np.frombuffer(held, np.uint64, n, at), np.frombuffer(held, np.int64, n, at + 8 * n)
         counts = np.frombuffer(held, np.uint32, n, at + 16 * n)
-        return LineIndex(MinimalPerfectHash(sizes.tolist(), bits, np.cumsum(bits) - 1), prints, counts, first)
+        return LineIndex(MinimalPerfectHash(sizes.tolist(), bits, np.cumsum(bits) - 1), int(seed), prints, counts, first)
 
     def repeats(self, keys: np.ndarray, prints: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Whether each line is held by several documents of which its own is not the first."""
-        number = self.hash.number(keys)
+        number = self.hash.number(self._moved(keys, prints, self.seed))
         known = number >= 0
         known[known] = self.prints[number[known]] == prints[known]
         found = np.zeros(len(keys), dtype=bool)
@@ -179,12 +192,12 @@ def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def build(group: pd.DataFrame) -> pd.DataFrame:
-    """The index of one shard."""
-    group = group.sort_values(["key", "print"]).drop_duplicates("key")
+    """The index of one shard, and how many lines it answers for."""
+    group = group.sort_values(["key", "print"])
     index = LineIndex.build(
         group["key"].to_numpy().view(np.uint64), group["print"].to_numpy().view(np.uint64), group["n"].to_numpy(), group["low"].to_numpy()
     )
-    return pd.DataFrame({"shard": group["shard"].iloc[:1].to_numpy(), "held": [index.to_bytes()]})
+    return pd.DataFrame({"shard": group["shard"].iloc[:1].to_numpy(), "lines": [int(group["n"].sum())], "held": [index.to_bytes()]})
 
 
 def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,12 +233,18 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
     def shard() -> Column:
         return F.pmod(F.col("key"), F.lit(shards)).cast("int")
 
-    indexes = keys.where(F.col("key").isNotNull()).withColumn("shard", shard()).groupBy("shard").applyInPandas(build, "shard int, held binary")
+    held = keys.where(F.col("key").isNotNull()).withColumn("shard", shard())
+    indexes = held.groupBy("shard").applyInPandas(build, "shard int, lines long, held binary")
+    salts = (F.lit(SALTS) * (1 + F.floor(F.col("lines") / SHARD_LINES))).cast("int")
+    # At most one shard in SHARD_LINES lines; a written table, so that Spark knows its size.
+    crowded = held.groupBy("shard").agg(F.sum("n").alias("lines")).where(F.col("lines") >= SHARD_LINES)
+    crowded = texts.written(crowded.select("shard", salts.alias("salts")))
     none = [F.lit(None).cast(kind).alias(name) for name, kind in (("key", "long"), ("print", "long"), ("doc", "long"), ("tag", "long"), ("line", "int"))]
-    copies = indexes.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "held", *none)
-    probes = own.mapInArrow(ask, "key long, print long, doc long, tag long, line int").select(
-        shard().alias("shard"),
-        F.pmod(F.xxhash64("doc", "tag", "line"), F.lit(SALTS)).cast("int").alias("salt"),
+    copies = indexes.select("shard", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), "held", *none)
+    probes = own.mapInArrow(ask, "key long, print long, doc long, tag long, line int").withColumn("shard", shard())
+    probes = probes.join(crowded, "shard", "left").select(
+        "shard",
+        F.pmod(F.xxhash64("doc", "tag", "line"), F.coalesce("salts", F.lit(SALTS))).cast("int").alias("salt"),
         F.lit(None).cast("binary").alias("held"),
         "key", "print", "doc", "tag", "line",
     )

@@ -317,6 +317,27 @@ def test_perfect_hash_numbers_keys_without_gaps():
     assert not index.repeats(keys, keys + 2, doc).any() and not index.repeats(keys, keys + 1, doc * 0).any()
 
 
+def test_lines_of_one_key_are_both_held():
+    keys = np.array([5, 5, 9, 5], dtype=np.uint64)
+    prints = np.array([1, 2, 1, 3], dtype=np.uint64)
+    index = op7_lines.LineIndex.build(keys, prints, np.full(4, 2), np.array([10, 20, 30, 40]))
+    index = op7_lines.LineIndex.from_bytes(index.to_bytes())
+    assert index.seed and index.repeats(keys, prints, np.zeros(4, dtype=np.int64)).all()
+    assert index.repeats(keys, prints, np.array([10, 20, 0, 40])).tolist() == [False, False, True, False]
+    assert not index.repeats(keys, prints + np.uint64(7), np.zeros(4, dtype=np.int64)).any()
+
+
+def test_line_dedup_of_crowded_shards(spark, monkeypatch):
+    monkeypatch.setattr(op7_lines, "SHARD_LINES", 40)
+    plain = [(k, f"one line that all hold\nline {k % 9} that some hold\nand line {k} of its own") for k in range(300)]
+    rows = op7_lines.dedup_lines(spark.createDataFrame(plain, "doc_id long, text string").repartition(7)).collect()
+    kept = {r["doc_id"]: r["text"].split("\n") for r in rows}
+    assert len(rows) == 300
+    for k, text in plain:
+        lines = text.split("\n")
+        assert kept[k] == lines[0 if k == 0 else 1 if k < 9 else 2 :]
+
+
 def test_embedding_links(spark):
     frame = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
     plain = [(r["vec_id"], r["embedding"]) for r in frame.collect()]
