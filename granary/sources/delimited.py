@@ -76,44 +76,170 @@ def read_delimited(
     return reader.csv(path)
 
 
-def _numbered_lines(spark: SparkSession, path: str, quote: str) -> DataFrame:
-    """Lines (file, block, place, value, open, alone, record) of files read in splits.
+def _lines_of_splits(spark: SparkSession, path: str, quote: str) -> DataFrame:
+    """Lines (value, odd, blank, size, at, origin, heads) of files read in splits.
 
-    ``open`` tells whether a quote is open where the line begins, ``record`` counts the records of
-    its file up to it, and ``alone`` marks a record that ends with its line. Quotes are counted
-    within each split; a table of one row per split then gives what stands before it.
+    ``odd`` tells whether a line has an odd number of quotes, ``at`` numbers the splits. ``origin`` is
+    the split in which the record began that is open where this one begins, or -1; ``heads`` holds
+    1 if the first record of the file begins in this split and 2 if the open one is that. All follow
+    from sums per split, over a table of one row per split: lines are not shuffled.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-        "value",
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
     )
-    odd = (F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))) % 2
-    lines = lines.withColumns({"odd": odd, "blank": F.trim(F.rtrim("value", F.lit("\r"))) == ""})
-    split = Window.partitionBy("file", "block")
-    upto = split.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.withColumn("before", (F.sum("odd").over(upto) - F.col("odd")) % 2)
-    # Records that begin in the split, should it begin outside (0) or inside (1) of quotes.
-    for carry in (0, 1):
-        begins = ((F.col("before") + carry) % 2 == 0) & ~F.col("blank")
-        lines = lines.withColumn(f"begun_{carry}", F.sum(begins.cast("long")).over(upto))
-
-    splits = lines.groupBy("file", "block").agg(
-        F.sum("odd").alias("odd"), F.max("begun_0").alias("begun_0"), F.max("begun_1").alias("begun_1")
+    odd = (F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))) % 2 == 1
+    blank = F.trim(F.rtrim("value", F.lit("\r"))) == ""
+    lines = lines.withColumns({"odd": odd, "blank": blank, "size": F.length("value") + 1})
+
+    place = F.monotonically_increasing_id()
+    splits = lines.select("file", "block", "odd", "blank", place.alias("place")).groupBy("file", "block").agg(
+        F.count_if("odd").alias("odds"),
+        F.min(F.when(F.col("odd"), F.col("place"))).alias("first_odd"),
+        F.min(F.when(~F.col("blank"), F.col("place"))).alias("first_filled"),
     )
+    splits = splits.withColumn("at", F.row_number().over(Window.orderBy("file", "block")))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("carry", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
-    begun = lambda carry: F.when(carry == 0, F.col("begun_0")).otherwise(F.col("begun_1"))
-    splits = splits.withColumn("base", F.coalesce(F.sum(begun(F.col("carry"))).over(earlier), F.lit(0)))
-
-    found = lines.join(splits.select("file", "block", "carry", "base"), ["file", "block"])
-    found = found.withColumn("open", (F.col("before") + F.col("carry")) % 2 == 1)
-    return found.filter(F.col("open") | ~F.col("blank")).select(
-        "file", "block", "place", "value", "open",
-        (~F.col("open") & (F.col("odd") == 0)).alias("alone"),
-        (F.col("base") + begun(F.col("carry"))).alias("record"),
+    inside = F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2 == 1
+    begins = F.col("first_filled").isNotNull() & (F.count("first_filled").over(earlier) == 0)
+    splits = splits.withColumns({"inside": inside, "begins": begins})
+    # The record open at the end began here, unless the one open at the beginning goes on.
+    opens = (F.col("inside") != (F.col("odds") % 2 == 1)) & (~F.col("inside") | (F.col("odds") > 0))
+    heads = F.col("begins") & (F.col("odds") == 1) & (F.col("first_odd") == F.col("first_filled"))
+    opened = F.when(opens, F.struct("at", heads.alias("heads")))
+    splits = splits.withColumn("opened", F.when(F.col("inside"), F.last(opened, True).over(earlier)))
+    facts = splits.select(
+        "file", "block", "at",
+        F.coalesce("opened.at", F.lit(-1)).alias("origin"),
+        (F.col("begins").cast("int") + F.coalesce("opened.heads", F.lit(False)).cast("int") * 2).alias("heads"),
     )
+    found = lines.join(F.broadcast(facts), ["file", "block"], "left")
+    known = F.coalesce("at", F.raise_error(F.lit("files were split in another way when they were read again")).cast("int"))
+    return found.select("value", "odd", "blank", "size", known.alias("at"), "origin", "heads")
+
+
+_RECORDS = "value string, head boolean, origin int, at int, size bigint"
+
+
+def _records_of_lines(longest: int, cut: bool):
+    """What a task makes of its lines: (value, head, origin, at, size).
+
+    These are the records that lie within a split, with no ``origin``; or, with ``cut``, the pieces
+    of those that splits cut, one from each split and named by the split in which they begin. ``head``
+    marks the first record of a file. Lines of a piece or record of more than ``longest``
+    characters are records of their own, so that no more than that is held; such a piece has no
+    value, only a size.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kind, names = pa.string(), ("value", "head", "origin", "at", "size")
+        kinds = (pa.bool_(), pa.int32(), pa.int32(), pa.int64())
+        at = origin = heads = None
+        # The record that is open, whether it was so where the split began, its lines and characters.
+        inside, carried, held, size, head = False, False, [], 0, False
+
+        def rows(values, heads, *piece):
+            cells = [pa.array(heads, kinds[0])]
+            cells += [pa.array([cell] * len(values), t) for cell, t in zip(piece or (None, None, None), kinds[1:])]
+            return pa.RecordBatch.from_arrays([values, *cells], names)
+
+        def joined(offsets, values):
+            lists = pa.ListArray if pa.types.is_string(values.type) else pa.LargeListArray
+            lists = lists.from_arrays(pa.array(offsets, pa.int32() if lists is pa.ListArray else pa.int64()), values)
+            return pc.binary_join(lists, "\n")
+
+        def hold(values, sizes):
+            nonlocal held, size
+            held.append(values)
+            size += int(sizes.sum())
+            if size > longest:
+                lines, held = pa.concat_arrays(held), []
+                if not cut:
+                    yield rows(lines, [head] * len(lines))
+
+        def close(whole):
+            nonlocal held, size, carried
+            text = None
+            if size <= longest:
+                lines = pa.concat_arrays(held)
+                text = joined([0, len(lines)], lines)
+            if carried or not whole:
+                if cut:
+                    yield rows(pa.nulls(1, kind) if text is None else text, [head], origin if carried else at, at, size)
+            elif text is not None and not cut:
+                yield rows(text, [head])
+            held, size, carried = [], 0, False
+
+        def follow(values, odd, blank, sizes):
+            nonlocal inside, head, heads
+            after = (np.cumsum(odd) + inside) % 2 == 1
+            kept = (after != odd) | ~blank
+            going, inside = inside, bool(after[-1])
+            if not kept.all():
+                values, sizes, after = values.filter(pa.array(kept)), sizes[kept], after[kept]
+            ends = np.flatnonzero(~after) + 1
+            start = 0
+            if going:
+                start = int(ends[0]) if len(ends) else len(values)
+                yield from hold(values.slice(0, start), sizes[:start])
+                if len(ends):
+                    yield from close(True)
+                ends = ends[1:]
+            if len(ends):
+                if not cut:
+                    offsets = np.concatenate(([start], ends))
+                    numbers = np.zeros(len(ends), bool)
+                    numbers[0] = heads & 1
+                    long = np.add.reduceat(sizes[: ends[-1]], offsets[:-1]) > longest
+                    if long.any():
+                        counts = np.where(long, np.diff(offsets), 1)
+                        own = np.concatenate([np.arange(a, b) if far else [a] for a, b, far in zip(offsets, ends, long)])
+                        offsets, numbers = np.append(own, ends[-1]), np.repeat(numbers, counts)
+                    yield rows(joined(offsets, values), numbers)
+                heads &= 2
+                start = int(ends[-1])
+            if start < len(values):
+                head, heads = bool(heads & 1), heads & 2
+                yield from hold(values.slice(start), sizes[start:])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kind = batch.schema.field("value").type
+            values, odd, blank, sizes, splits, origins, marks = (batch.column(k) for k in range(7))
+            odd, blank = (flags.to_numpy(zero_copy_only=False) for flags in (odd, blank))
+            sizes, splits = sizes.to_numpy().astype(np.int64), splits.to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(splits)) + 1), len(splits)]
+            for a, b in zip(cuts, cuts[1:]):
+                if splits[a] != at:
+                    if inside:
+                        yield from close(False)
+                    at, origin, heads = int(splits[a]), origins[int(a)].as_py(), marks[int(a)].as_py()
+                    inside = carried = origin >= 0
+                    head = bool(heads & 2)
+                yield from follow(values.slice(a, b - a), odd[a:b], blank[a:b], sizes[a:b])
+        if inside:
+            yield from close(False)
+
+    return run
+
+
+def _whole_records(lines: DataFrame, longest: int) -> DataFrame:
+    """Records (value, head) of the lines; only pieces of records that splits cut are shuffled."""
+    within = lines.mapInArrow(_records_of_lines(longest, cut=False), _RECORDS)
+    pieces = lines.mapInArrow(_records_of_lines(longest, cut=True), _RECORDS)
+    whole = F.sum("size").over(Window.partitionBy("origin")) <= longest
+    pieces = pieces.withColumn("whole", whole).filter(F.col("value").isNotNull())
+    ordered = F.array_sort(F.collect_list(F.struct("at", "value")))
+    own = F.when(~F.col("whole"), F.col("at")).alias("own")
+    joined = pieces.groupBy("origin", "head", "whole", own).agg(
+        F.array_join(F.transform(ordered, lambda piece: piece["value"]), "\n").alias("value")
+    )
+    values = F.when(F.col("whole"), F.array("value")).otherwise(F.split("value", "\n"))
+    return within.select("value", "head").unionByName(joined.select(F.explode(values).alias("value"), "head"))
 
 
 def read_records(
@@ -147,22 +273,11 @@ def read_records(
         if corrupt_column not in schema.names:
             schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
 
-    lines = _numbered_lines(spark, path, settings["quote"])
+    records = _whole_records(_lines_of_splits(spark, path, settings["quote"]), longest)
     if header:
-        lines = lines.filter("record > 1")
-    alone = lines.filter("alone").select("value", "record")
-    parts = lines.filter("NOT alone")
-    sizes = parts.groupBy("file", "record").agg(F.sum(F.length("value") + 1).alias("size"))
-    parts = parts.join(sizes, ["file", "record"])
-    whole = F.col("size") <= longest
-    keys = [F.when(~whole, F.col(name)).alias(f"own_{name}") for name in ("block", "place")]
-    ordered = F.array_sort(F.collect_list(F.struct("block", "place", "value")))
-    joined = parts.groupBy("file", "record", *keys).agg(
-        F.array_join(F.transform(ordered, lambda line: line["value"]), "\n").alias("value")
-    )
-    records = alone.unionByName(joined.select("value", "record"))
+        records = records.filter("NOT head")
     text = F.rtrim("value", F.lit("\r"))
-    text = F.when(F.col("record") == 1, F.ltrim(text, F.lit("\ufeff"))).otherwise(text)
+    text = F.when(F.col("head"), F.ltrim(text, F.lit("\ufeff"))).otherwise(text)
     return records.select(F.from_csv(text, _ddl(schema), settings).alias("row")).select("row.*")
 
 

@@ -17,8 +17,7 @@ class SourceSpec:
 
     ``multi_line`` says that records may span lines. Such a file cannot be split and is
     one task whatever its size, so it is off unless asked for; a quote left open then ends
-    with its line. ``split`` reads such a file in splits all the same, at the price of a
-    shuffle of its lines.
+    with its line. ``split`` reads such a file in splits all the same, three times over.
     """
 
     name: str

@@ -87,6 +87,26 @@ def test_a_quote_left_open_does_not_gather_the_rest_of_the_file(spark, tmp_path,
     assert bad.count() == 0 and tuples(good) == sorted([("1", "x"), ("2", "open"), *((str(k), "y") for k in range(3, 200))], key=repr)
 
 
+def test_records_are_put_together_without_a_shuffle_of_lines(spark, tmp_path, capsys):
+    path = write(tmp_path, "a,b\n" + "".join(f'{k},"x\ny"\n' for k in range(50)))
+    g.read_records(spark, path, schema=T.StructType([T.StructField(name, T.StringType()) for name in "ab"])).explain("formatted")
+    nodes = capsys.readouterr().out.split("\n\n")
+    shuffled = [node for node in nodes if ") Exchange" in node]
+    # Only pieces of records that splits cut, which bear the split of their origin, hold text.
+    assert shuffled and all("origin#" in node for node in shuffled if "value#" in node)
+
+
+def test_first_records_cut_by_splits(spark, tmp_path, split_bytes):
+    path = write(tmp_path, "\n \n\ufeff" + '"a\n' + "w\n" * 60 + '",b\n1,x\n2,"' + "y\n" * 60 + '"\n')
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in "ab"])
+    rest = [("1", "x"), ("2", "y\n" * 60)]
+    assert tuples(g.read_records(spark, path, schema=schema)) == rest
+    assert tuples(g.read_records(spark, path, schema=schema, header=False)) == sorted([("a\n" + "w\n" * 60, "b"), *rest], key=repr)
+    # Too long to be put together: no line of the header is a record, the others are their lines.
+    lines = g.read_records(spark, path, schema=schema, longest=50).collect()
+    assert len(lines) == 62 and sum(row["a"] == "y" for row in lines) == 59
+
+
 def test_records_of_nothing(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
     assert g.read_records(spark, write(tmp_path, "a,b\n"), schema=schema).collect() == []
