@@ -624,9 +624,10 @@ def _listed_values(
 ) -> DataFrame:
     """The first ``k`` values by frequency of each listed column; ties go by text.
 
-    Values are chosen by count and first characters, ties included, and only the texts of
-    the chosen ones are looked up by their hash; their number is not bounded, so that join
-    has no hint. Up to a ``k`` of 1,000 Spark cuts the groups before the shuffle.
+    Values are chosen by count and first characters, ties included. A text of fewer than
+    ``HEAD`` characters is all in its head; only longer ones that are chosen are looked up by
+    their hash. Their number is not bounded, so that join has no hint; copies are dropped where they
+    are found. Up to a ``k`` of 1,000 Spark cuts the groups before the shuffle.
     """
     by_count = F.col("rows").desc() if order == "desc" else F.col("rows").asc()
     place = Window.partitionBy("column").orderBy(by_count, F.col("head").asc_nulls_first())
@@ -635,23 +636,20 @@ def _listed_values(
         .filter(F.col("column").isin(list(listed)))
         .withColumn("place", F.rank().over(place))
         .filter(F.col("place") <= k)
-        .select("column", "a", "b", "rows")
+        .select("column", "a", "b", "head", "rows")
     )
+    short = F.coalesce(F.length("head") < HEAD, F.lit(True))
+    known = chosen.filter(short).select("column", "rows", F.col("head").alias("text"))
     cells = []
     for name in listed:
         first, second = _text_hash(named(name))
-        there = named(name).isNotNull()
-        key = [F.when(there, first).alias("a"), F.when(there, second).alias("b")]
+        key = [first.alias("a"), second.alias("b")]
         cells.append(F.struct(F.lit(name).alias("column"), *key, named(name).alias("text")))
-    found = df.select(F.inline(F.array(*cells))).alias("cell")
-    same = F.col("cell.column") == F.col("one.column")
-    for key in ("a", "b"):
-        same &= F.col(f"cell.{key}").eqNullSafe(F.col(f"one.{key}"))
-    texts = (
-        found.join(chosen.alias("one"), same)
-        .groupBy("one.column", "one.a", "one.b", "one.rows")
-        .agg(F.min("cell.text").alias("text"))
-    )
+    keys = ["column", "a", "b"]
+    found = df.select(F.inline(F.array(*cells))).filter(F.length("text") >= HEAD)
+    found = found.join(chosen.filter(~short).select(*keys, "rows"), keys)
+    found = found.select(*keys, "rows", "text").distinct().groupBy(*keys, "rows").agg(F.min("text").alias("text"))
+    texts = known.unionByName(found.select("column", "rows", "text"))
     by_text = Window.partitionBy("column").orderBy(by_count, F.col("text").asc_nulls_first())
     placed = texts.withColumn("place", F.row_number().over(by_text)).filter(F.col("place") <= k)
     metric = F.concat(F.lit("value_"), F.col("place"))

@@ -323,3 +323,17 @@ def test_top_values_in_bounded_memory(spark, case):
         # Only where nothing can be told are all values counted.
         if case in ("few", "nulls", "numbers") or case == "heavy tail" and k == 1:
             assert "Exchange" not in bounded._jdf.queryExecution().toString()
+
+
+def test_listed_values_read_texts_only_of_long_ones(spark, capsys):
+    long = "z" * 300
+    values = [*["a"] * 50, *["b"] * 3, None, *[long + "1"] * 2, long + "2", "z" * 256, "z" * 255]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    listed = g.profile(df, "d", k=6)
+    found = {r["metric"]: (r["value"], r["detail"]) for r in listed.collect() if r["metric"].startswith("value_")}
+    assert list(dict(sorted(found.items())).values()) == [
+        (1, None), (1, "z" * 255), (1, "z" * 256), (1, long + "2"), (2, long + "1"), (3, "b"),
+    ]
+    listed.explain("formatted")
+    filters = [line for line in capsys.readouterr().out.splitlines() if line.startswith("Condition") and "length" in line]
+    assert any(">= 256" in line for line in filters)
