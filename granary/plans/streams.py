@@ -10,6 +10,15 @@ from granary.sources.tables import absolute_path
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PARTITIONS = "spark.sql.shuffle.partitions"
+# A batch stores its changes, not the whole state; and no row is looked up only to be counted.
+_STATE_SETTINGS = {
+    STATE_STORE: ROCKS_DB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+# State partitions per core: each is opened and stored in every batch, whatever rows it gets.
+_PER_CORE = 3
 
 
 def stream_silver(
@@ -20,6 +29,7 @@ def stream_silver(
     checkpoint: str,
     files_per_batch: int | None = None,
     aliases: presets.Aliases = None,
+    state_partitions: int | None = None,
 ) -> list[int]:
     """Clean the files of ``raw_path`` that no earlier call has seen into the table at ``path``.
 
@@ -28,12 +38,17 @@ def stream_silver(
     ``checkpoint``, a folder that executors share. So a row that came in an earlier file
     or call is not written again. Files are taken ``files_per_batch`` at a time; the call ends when all
     that are there have been cleaned. A call that fails is repeated with the same folders, and then
-    writes each row once. Returns the number of raw rows of every batch.
+    writes each row once. The first call fixes the number of ``state_partitions``, by default that of the
+    session's shuffles but no more than a few per core. Returns the number of raw rows of every batch.
     """
     dataset = presets.DATASETS[name]
     raw = stream_source(spark, raw_path, dataset.source, files_per_batch)
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKS_DB)
+    shuffles = int(spark.conf.get(_PARTITIONS))
+    parts = state_partitions or min(shuffles, _PER_CORE * spark.sparkContext.defaultParallelism)
+    settings = {**_STATE_SETTINGS, _PARTITIONS: str(parts)}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         query = (
             dataset.cleaned(raw, aliases)
@@ -46,8 +61,9 @@ def stream_silver(
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(STATE_STORE)
-        else:
-            spark.conf.set(STATE_STORE, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return [progress["numInputRows"] for progress in query.recentProgress if progress["numInputRows"]]

@@ -127,3 +127,24 @@ def test_a_managed_table_is_not_replaced_by_buckets(spark, rows, tmp_path):
         g.write_bucketed(rows("a int", (2,)), "kept.own", str(tmp_path / "own"), ["a"], 2)
     assert tuples(spark.table("kept.own")) == [(1,)]
     spark.sql("DROP DATABASE kept CASCADE")
+
+
+def test_state_has_few_partitions_and_stores_changes(spark, tmp_path):
+    raw, path, state = (tmp_path / name for name in ("raw", "table", "state"))
+    raw.mkdir()
+    (raw / "one.csv").write_text("TANGGAL;suhu;curah_hujan\n01-02-2018;27;1\n01-02-2018;27;1\n02-02-2018;28;2\n")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        assert streams.stream_silver(spark, "cuaca", str(raw), str(path), str(state)) == [3]
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+        parts = [part for part in (state / "state" / "0").iterdir() if part.name.isdigit()]
+        assert len(parts) == min(50, 3 * spark.sparkContext.defaultParallelism)
+        assert list(parts[0].glob("*.changelog"))
+        # A later call goes on with the partitions that are there.
+        (raw / "two.csv").write_text("TANGGAL;suhu;curah_hujan\n01-02-2018;27;1\n03-02-2018;28;2\n")
+        assert streams.stream_silver(spark, "cuaca", str(raw), str(path), str(state), state_partitions=2) == [2]
+        assert len([part for part in (state / "state" / "0").iterdir() if part.name.isdigit()]) == len(parts)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert spark.read.parquet(str(path)).count() == 3
