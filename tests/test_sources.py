@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 import granary as g
 from granary import SourceSpec
+from granary.sources.delimited import kind_measures
 
 
 def write(tmp_path, text, name="in.csv"):
@@ -269,3 +270,13 @@ def test_run_summary(years):
     assert summary["reduction_percent"] == pytest.approx(100 / 3)
     nothing = g.run_summary(years.filter("false"), years.filter("false")).first()
     assert nothing["reduction_percent"] is None
+
+
+def test_kinds_of_odd_numbers_in_text(spark):
+    cells = [" 1e3 ", "+.5", "-Infinity", "nan", "1.5d", "0x1p3", "Kab 5", "N / O", "n.a.", "inferior", "", "-", "\t7"]
+    df = spark.createDataFrame([(cell,) for cell in cells], "a string")
+    measures = kind_measures(df)
+    tested = df.selectExpr(f"{measures['double_0']} AS n", "count(CASE WHEN try_cast(a AS DOUBLE) IS NOT NULL THEN 1 END) AS all").first()
+    assert tested["n"] == tested["all"] >= 6
+    # What cannot be a number is told by its beginning, before a cast that would fail at a high price.
+    assert measures["double_0"].index("RLIKE") < measures["double_0"].index("try_cast")
